@@ -20,26 +20,35 @@ _SLACK = 1e-9            # safety margin of bounds against rounding
 BOX = ["min_lat", "max_lat", "min_lon", "max_lon"]
 
 
-def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    half_lat = F.radians(lat2 - lat1) / 2
-    half_lon = F.radians(lon2 - lon1) / 2
-    chord = (F.sin(half_lat) * F.sin(half_lat)
-             + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(half_lon) * F.sin(half_lon))
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+def _d(value: float) -> str:
+    """A DOUBLE literal (plain decimals would be DECIMAL)."""
+    return f"{value!r}D"
 
 
-def offset_latitude(lat: Column, north_km: Column) -> Column:
-    return F.bround(lat + north_km / KM_PER_DEGREE, 6)
+def _arc_km(half_lat: str, half_lon: str, lat1: str, lat2: str) -> str:
+    """Haversine formula from half differences (degrees) and the two latitudes."""
+    chord = (f"pow(sin(radians({half_lat})), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+             f" * pow(sin(radians({half_lon})), 2)")
+    return f"{_d(2 * EARTH_RADIUS_KM)} * asin(sqrt(least({chord}, 1.0D)))"
 
 
-def offset_longitude(lat: Column, lon: Column, east_km: Column) -> Column:
-    return F.bround(lon + east_km / (KM_PER_DEGREE * F.cos(F.radians(lat))), 6)
+def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Great-circle distance between two positions, given as SQL expressions in degrees."""
+    return F.expr(_arc_km(f"(({lat2}) - ({lat1})) / 2", f"(({lon2}) - ({lon1})) / 2", lat1, lat2))
 
 
-def nearest_region(lat: Column, lon: Column) -> Column:
+def offset_latitude(lat: str, north_km: str) -> Column:
+    return F.expr(f"bround({lat} + ({north_km}) / {_d(KM_PER_DEGREE)}, 6)")
+
+
+def offset_longitude(lat: str, lon: str, east_km: str) -> Column:
+    return F.expr(f"bround({lon} + ({east_km}) / ({_d(KM_PER_DEGREE)} * cos(radians({lat}))), 6)")
+
+
+def nearest_region(lat: str, lon: str) -> Column:
     """Struct (distance_km, position, region) of the closest centre; ties go to list order."""
     return F.array_min(F.array(*[
-        F.struct(haversine_km(lat, lon, F.lit(r_lat), F.lit(r_lon)).alias("distance_km"),
+        F.struct(haversine_km(lat, lon, _d(r_lat), _d(r_lon)).alias("distance_km"),
                  F.lit(position).alias("position"), F.lit(region).alias("region"))
         for position, (region, _, r_lat, r_lon) in enumerate(REGIONS)
     ]))
@@ -55,27 +64,34 @@ def _row_height(eps_km: float) -> float:
     return math.degrees(eps_km / 1.5 / EARTH_RADIUS_KM)
 
 
-def _columns_in_row(row: Column, height: float) -> Column:
+def _columns_in_row(row: str, height: float) -> str:
     """Number of columns of a row: narrow enough for its widest parallel."""
-    low, high = row * height - 90.0, (row + 1) * height - 90.0
-    nearest_equator = F.when((low <= 0) & (high >= 0), F.lit(0.0)).otherwise(
-        F.least(F.abs(low), F.abs(high)))
-    return F.greatest(
-        F.ceil(360.0 * F.cos(F.radians(nearest_equator)) / height), F.lit(1)).cast("long")
+    low, high = f"({row} * {_d(height)} - 90)", f"(({row} + 1) * {_d(height)} - 90)"
+    widest = f"cos(radians({_near_equator(low, high)}))"
+    return f"greatest(CAST(ceil(360 * {widest} / {_d(height)}) AS BIGINT), 1L)"
+
 
+def _near_equator(low: str, high: str) -> str:
+    """Smallest absolute latitude between two parallels."""
+    return f"CASE WHEN {low} <= 0 AND {high} >= 0 THEN 0.0D ELSE least(abs({low}), abs({high})) END"
 
-def wrap_longitude(lon: Column) -> Column:
+
+def wrap_longitude(lon: str) -> Column:
     """Longitude moved to [0, 360)."""
-    return F.pmod(lon + 180.0, F.lit(360.0))
+    return F.expr(f"pmod({lon} + 180, 360.0D)")
 
 
-def cell_of(lat: Column, lon: Column, eps_km: float) -> Column:
-    """Cell id of a position (``lon`` in the usual -180..180 range)."""
+def with_cell(points: DataFrame, eps_km: float) -> DataFrame:
+    """Adds ``_lon`` (wrapped longitude) and ``cell`` for the columns latitude and longitude."""
     height = _row_height(eps_km)
-    row = F.floor((lat + 90.0) / height)
-    columns = _columns_in_row(row, height)
-    column = F.least(F.floor(wrap_longitude(lon) / (360.0 / columns)), columns - 1)
-    return row * F.lit(_COLUMN_BITS) + column
+    return (
+        points.withColumns({"_lon": wrap_longitude("longitude"),
+                            "_row": F.expr(f"floor((latitude + 90) / {_d(height)})")})
+        .withColumn("_columns", F.expr(_columns_in_row("_row", height)))
+        .withColumn("cell", F.expr(
+            f"_row * {_COLUMN_BITS}L + least(floor(_lon / (360.0D / _columns)), _columns - 1)"))
+        .drop("_row", "_columns")
+    )
 
 
 def explode_near_cells(boxes: DataFrame, eps_km: float, into: str) -> DataFrame:
@@ -86,66 +102,51 @@ def explode_near_cells(boxes: DataFrame, eps_km: float, into: str) -> DataFrame:
     """
     height = _row_height(eps_km)
     eps = math.degrees(eps_km / EARTH_RADIUS_KM) * (1 + _SLACK) + _SLACK
-    c = F.col
-    last_row = F.lit(math.floor(180.0 / height))
-    rows = F.sequence(
-        F.greatest(F.floor((c("min_lat") - eps + 90.0) / height), F.lit(0)).cast("long"),
-        F.least(F.floor((c("max_lat") + eps + 90.0) / height), last_row).cast("long"))
-    far_lat = F.greatest(F.abs(c("min_lat")), F.abs(c("max_lat")))
-    reach = F.when(far_lat + eps >= 90.0, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(
-            math.sin(math.radians(eps)) / F.cos(F.radians(far_lat)), F.lit(1.0)))) + _SLACK)
-    first = F.floor((c("min_lon") - c("_reach")) / c("_width")).cast("long")
-    last = F.floor((c("max_lon") + c("_reach")) / c("_width")).cast("long")
-    span = F.when(last - first + 1 >= c("_columns"), F.sequence(F.lit(0).cast("long"), c("_columns") - 1)
-                  ).otherwise(F.sequence(first, last))
+    last_row = math.floor(180.0 / height)
+    rows = (f"explode(sequence(greatest(floor((min_lat - {_d(eps)} + 90) / {_d(height)}), 0L),"
+            f" least(floor((max_lat + {_d(eps)} + 90) / {_d(height)}), {last_row}L)))")
+    far = "greatest(abs(min_lat), abs(max_lat))"
+    reach = (f"CASE WHEN {far} + {_d(eps)} >= 90 THEN 180.0D ELSE degrees(asin(least("
+             f"{_d(math.sin(math.radians(eps)))} / cos(radians({far})), 1.0D))) + {_d(_SLACK)} END")
+    first = "floor((min_lon - _reach) / (360.0D / _columns))"
+    last = "floor((max_lon + _reach) / (360.0D / _columns))"
+    columns = (f"explode(CASE WHEN {last} - {first} + 1 >= _columns THEN sequence(0L, _columns - 1)"
+               f" ELSE sequence({first}, {last}) END)")
     return (
-        boxes.withColumn("_row", F.explode(rows)).withColumn("_reach", reach)
-        .withColumn("_columns", _columns_in_row(c("_row"), height))
-        .withColumn("_width", F.lit(360.0) / c("_columns"))
-        .withColumn("_column", F.explode(span))
-        .withColumn(into, c("_row") * F.lit(_COLUMN_BITS) + F.pmod(c("_column"), c("_columns")))
-        .drop("_row", "_reach", "_columns", "_width", "_column")
+        boxes.withColumns({"_row": F.expr(rows), "_reach": F.expr(reach)})
+        .withColumn("_columns", F.expr(_columns_in_row("_row", height)))
+        .withColumn("_column", F.expr(columns))
+        .withColumn(into, F.expr(f"_row * {_COLUMN_BITS}L + pmod(_column, _columns)"))
+        .drop("_row", "_reach", "_columns", "_column")
     )
 
 
-def _around(x: Column) -> Column:
-    """Shortest way round a circle of 360 degrees."""
-    return F.least(F.abs(x), 360.0 - F.abs(x))
-
-
-def _near_equator(low: Column, high: Column) -> Column:
-    return F.when((low <= 0) & (high >= 0), F.lit(0.0)).otherwise(F.least(F.abs(low), F.abs(high)))
-
-
-def box_distance_bounds(a: str, b: str) -> tuple[Column, Column]:
-    """Lower and upper bound (km) of the distance between any two points of two boxes.
+def with_distance_bounds(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Adds ``lower_km`` and ``upper_km``: bounds of the distance between points of two boxes.
 
     ``a`` and ``b`` are column prefixes. Each haversine term is bounded on its own, so the
     bounds are safe on the sphere; points are boxes without extent.
     """
-    def side(prefix, name):
-        return F.col(prefix + name)
-
-    a_lo, a_hi, b_lo, b_hi = (side(a, "min_lat"), side(a, "max_lat"),
-                              side(b, "min_lat"), side(b, "max_lat"))
-    lat_gap = F.greatest(b_lo - a_hi, a_lo - b_hi, F.lit(0.0))
-    lat_span = F.greatest(a_hi, b_hi) - F.least(a_lo, b_lo)
-    a_w, a_e, b_w, b_e = (side(a, "min_lon"), side(a, "max_lon"),
-                          side(b, "min_lon"), side(b, "max_lon"))
-    lon_gap = F.when((a_w <= b_e) & (b_w <= a_e), F.lit(0.0)).otherwise(
-        F.least(_around(b_w - a_e), _around(a_w - b_e)))
-    lon_span = F.least(lon_gap + (a_e - a_w) + (b_e - b_w), F.lit(180.0))
-
-    def distance(lat, lon, lat_a, lat_b):
-        half_lat, half_lon = F.radians(lat) / 2, F.radians(lon) / 2
-        chord = (F.sin(half_lat) * F.sin(half_lat) + F.cos(F.radians(lat_a))
-                 * F.cos(F.radians(lat_b)) * F.sin(half_lon) * F.sin(half_lon))
-        return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
-
-    far_a = F.greatest(F.abs(a_lo), F.abs(a_hi))
-    far_b = F.greatest(F.abs(b_lo), F.abs(b_hi))
-    lower = distance(lat_gap, lon_gap, far_a, far_b) * (1 - _SLACK)
-    upper = distance(lat_span, lon_span, _near_equator(a_lo, a_hi),
-                     _near_equator(b_lo, b_hi)) * (1 + _SLACK)
-    return lower, upper
+    def around(x):
+        return f"least(abs({x}), 360 - abs({x}))"
+
+    def far(p):
+        return f"greatest(abs({p}min_lat), abs({p}max_lat))"
+
+    def near(p):
+        return _near_equator(f"{p}min_lat", f"{p}max_lat")
+
+    lon_gap = (f"CASE WHEN {a}min_lon <= {b}max_lon AND {b}min_lon <= {a}max_lon THEN 0.0D ELSE "
+               f"least({around(f'({b}min_lon - {a}max_lon)')}, {around(f'({a}min_lon - {b}max_lon)')}) END")
+    lon_span = f"least(_lon_gap + {a}max_lon - {a}min_lon + {b}max_lon - {b}min_lon, 180.0D)"
+    return (
+        pairs.withColumns({
+            "_lat_gap": F.expr(f"greatest({b}min_lat - {a}max_lat, {a}min_lat - {b}max_lat, 0.0D)"),
+            "_lat_span": F.expr(f"greatest({a}max_lat, {b}max_lat) - least({a}min_lat, {b}min_lat)"),
+            "_lon_gap": F.expr(lon_gap)})
+        .withColumns({
+            "lower_km": F.expr(f"{_arc_km('_lat_gap / 2', '_lon_gap / 2', far(a), far(b))} * {_d(1 - _SLACK)}"),
+            "upper_km": F.expr(f"{_arc_km('_lat_span / 2', f'({lon_span}) / 2', near(a), near(b))}"
+                               f" * {_d(1 + _SLACK)}")})
+        .drop("_lat_gap", "_lat_span", "_lon_gap")
+    )

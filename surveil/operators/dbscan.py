@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from surveil.constants import CLUSTER_EPS_KM, CLUSTER_MIN_SAMPLES
 from surveil.functions import geo
 from surveil.operators.components import connected_components
-from surveil.operators.skew import hot_keys, salted_join
+from surveil.operators.skew import ROWS_PER_SALT, hot_keys, salted_join
 from surveil.operators.validate import refuse_truth_columns
 from surveil.session import stage
 
@@ -38,8 +38,7 @@ def _renamed(frame: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
 
 
 def _distance(a: str, b: str):
-    return geo.haversine_km(F.col(f"{a}latitude"), F.col(f"{a}longitude"),
-                            F.col(f"{b}latitude"), F.col(f"{b}longitude"))
+    return geo.haversine_km(f"{a}latitude", f"{a}longitude", f"{b}latitude", f"{b}longitude")
 
 
 class _Grid:
@@ -47,12 +46,11 @@ class _Grid:
 
     def __init__(self, members: DataFrame, eps_km: float, min_samples: int):
         self.eps, self.m = geo.check_eps(eps_km), min_samples
-        self.points = stage(
-            members.withColumn("cell", geo.cell_of(F.col("latitude"), F.col("longitude"), eps_km))
-            .withColumn("_lon", geo.wrap_longitude(F.col("longitude"))), "points")
+        self.points = stage(geo.with_cell(members, eps_km), "points")
         self.cells = stage(
             self.points.groupBy(*_KEY).agg(F.count("*").alias("n"), *_box_columns()), "cells")
-        self.hot = hot_keys(self.cells, _KEY, "n")
+        self.largest = self.cells.agg(F.max("n")).first()[0] or 0
+        self.hot = hot_keys(self.cells, _KEY, "n") if self.largest > ROWS_PER_SALT else None
         self.near = stage(self._near_cells(), "near")
 
     def dense(self):
@@ -67,19 +65,20 @@ class _Grid:
                                    self.eps, "b_cell")
         a = a.withColumnsRenamed({name: f"a_{name}" for name in geo.BOX})
         b = _renamed(self.cells, "b_", ["window_end"])
-        lower, upper = geo.box_distance_bounds("a_", "b_")
         once = (F.col("a_n") < self.m) | (
             (F.col("b_n") >= self.m) & (F.col("a_cell") < F.col("b_cell")))
-        return (a.join(b, ["window_end", "b_cell"]).filter("a_cell <> b_cell").filter(once)
-                .withColumn("lower_km", lower).withColumn("upper_km", upper)
-                .filter(F.col("lower_km") <= self.eps))
+        pairs = a.join(b, ["window_end", "b_cell"]).filter("a_cell <> b_cell").filter(once)
+        return geo.with_distance_bounds(pairs, "a_", "b_").filter(F.col("lower_km") <= self.eps)
 
     def sparse_points(self) -> DataFrame:
-        """Points of sparse cells. The largest cells are dropped before the shuffle."""
-        largest = (self.cells.filter(self.dense()).orderBy(F.desc("n"), *_KEY)
-                   .limit(1000).select(*_KEY))
-        return (self.points.join(F.broadcast(largest), _KEY, "left_anti")
-                .join(self.cells.filter(~self.dense()).select(*_KEY, "n"), _KEY))
+        """Points of sparse cells."""
+        return self._cool(self.points).join(self.cells.filter(~self.dense()).select(*_KEY, "n"), _KEY)
+
+    def _cool(self, points: DataFrame) -> DataFrame:
+        """Points without those of hot cells, dropped before a shuffle by cell."""
+        if self.hot is None:
+            return points
+        return points.join(F.broadcast(self.hot.select(*_KEY)), _KEY, "left_anti")
 
     def neighbours(self, sparse: DataFrame) -> DataFrame:
         """(window_end, s, s_cell, cell, t, found): neighbours of each sparse point elsewhere.
@@ -87,16 +86,14 @@ class _Grid:
         In a dense cell ``found`` counts them and ``t`` is NULL; in a sparse cell each
         neighbour ``t`` has its own row (fewer than ``min_samples`` per cell).
         """
-        s = sparse.select("window_end", F.col("cell").alias("a_cell"), F.col("event_id").alias("s"),
-                          F.col("latitude").alias("s_latitude"), F.col("longitude").alias("s_longitude"),
-                          F.col("latitude").alias("s_min_lat"), F.col("latitude").alias("s_max_lat"),
-                          F.col("_lon").alias("s_min_lon"), F.col("_lon").alias("s_max_lon"))
+        s = sparse.selectExpr("window_end", "cell AS a_cell", "event_id AS s", "latitude AS s_latitude",
+                              "longitude AS s_longitude", "latitude AS s_min_lat", "latitude AS s_max_lat",
+                              "_lon AS s_min_lon", "_lon AS s_max_lon")
         near = self.near.filter(F.col("a_n") < self.m).drop(
             "lower_km", "upper_km", *[f"a_{name}" for name in geo.BOX])
-        lower, upper = geo.box_distance_bounds("s_", "b_")
-        probes = (s.join(near, ["window_end", "a_cell"]).withColumn("_lower", lower)
-                  .withColumn("_upper", upper).filter(F.col("_lower") <= self.eps))
-        inside = (F.col("b_n") >= self.m) & (F.col("_upper") <= self.eps)
+        probes = geo.with_distance_bounds(s.join(near, ["window_end", "a_cell"]), "s_", "b_").filter(
+            F.col("lower_km") <= self.eps)
+        inside = (F.col("b_n") >= self.m) & (F.col("upper_km") <= self.eps)
         whole = probes.filter(inside).select(
             "window_end", "s", F.col("a_cell").alias("s_cell"), F.col("b_cell").alias("cell"),
             F.lit(None).cast(self.points.schema["event_id"].dataType).alias("t"), F.col("b_n").alias("found"))
@@ -125,23 +122,21 @@ class _Grid:
         # copies of a position count once here; the hottest cells are never small at level 0
         points = self.points.select(*_KEY, "latitude", "longitude", "_lon").distinct()
         zero = F.lit(0).cast("long")
-        placed = points.join(F.broadcast(self.hot), _KEY, "left_anti").withColumn("y", zero).withColumn("x", zero)
+        placed = self._cool(points).withColumn("y", zero).withColumn("x", zero)
         links, level = None, 0
         while True:
             certain = open_pairs.filter(F.col("upper_km") <= self.eps).select("window_end", "a_cell", "b_cell")
             unsure = open_pairs.filter(F.col("upper_km") > self.eps)
             if level:
                 unsure = unsure.join(certain.distinct(), ["window_end", "a_cell", "b_cell"], "left_anti")
-            single = ((F.col("a_min_lat") == F.col("a_max_lat")) & (F.col("a_min_lon") == F.col("a_max_lon"))
-                      & (F.col("b_min_lat") == F.col("b_max_lat")) & (F.col("b_min_lon") == F.col("b_max_lon")))
+            single = F.expr("a_min_lat = a_max_lat AND a_min_lon = a_max_lon"
+                            " AND b_min_lat = b_max_lat AND b_min_lon = b_max_lon")
             small = F.col("a_n") * F.col("b_n") <= PAIRWISE_LIMIT
             found = certain.unionByName(self._touching(unsure.filter(small & ~single), placed)).unionByName(
                 self._coinciding(unsure.filter(single)))
             links = found if links is None else links.unionByName(found)
-            if level == 0:
-                largest = self.cells.agg(F.max("n")).first()[0] or 0
-                if largest * largest <= PAIRWISE_LIMIT:
-                    break
+            if level == 0 and self.largest ** 2 <= PAIRWISE_LIMIT:
+                break
             rest = stage(unsure.filter(~small & ~single), f"open{level}")
             if rest.isEmpty():
                 break
@@ -177,12 +172,10 @@ class _Grid:
         pairs = rest.select("window_end", "a_cell", "b_cell",
                             *[F.col(n).alias(f"{n[0]}_up_{n[2]}") for n in ("a_y", "a_x", "b_y", "b_x")])
         a, b = (_renamed(parts, side, ["window_end"]) for side in ("a_", "b_"))
-        lower, upper = geo.box_distance_bounds("a_", "b_")
-        return (pairs.join(a, ["window_end", "a_cell", "a_up_y", "a_up_x"])
-                .join(b, ["window_end", "b_cell", "b_up_y", "b_up_x"])
-                .drop("a_up_y", "a_up_x", "b_up_y", "b_up_x")
-                .withColumn("lower_km", lower).withColumn("upper_km", upper)
-                .filter(F.col("lower_km") <= self.eps))
+        pairs = (pairs.join(a, ["window_end", "a_cell", "a_up_y", "a_up_x"])
+                 .join(b, ["window_end", "b_cell", "b_up_y", "b_up_x"])
+                 .drop("a_up_y", "a_up_x", "b_up_y", "b_up_x"))
+        return geo.with_distance_bounds(pairs, "a_", "b_").filter(F.col("lower_km") <= self.eps)
 
     def _touching(self, pairs: DataFrame, placed: DataFrame) -> DataFrame:
         """Pairs of small boxes with at least one point pair within eps."""
@@ -195,8 +188,7 @@ class _Grid:
 
     def _coinciding(self, pairs: DataFrame) -> DataFrame:
         """Boxes that are one place each (copies of a position): compare the two places."""
-        gap = geo.haversine_km(F.col("a_min_lat"), F.col("a_min_lon"),
-                               F.col("b_min_lat"), F.col("b_min_lon"))
+        gap = geo.haversine_km("a_min_lat", "a_min_lon", "b_min_lat", "b_min_lon")
         return pairs.filter(gap <= self.eps).select("window_end", "a_cell", "b_cell")
 
 

@@ -16,6 +16,8 @@ def build_session(name: str = "surveil", master: str | None = None, **conf) -> S
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # recording the call site of every column operation makes building plans slow
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in defaults.items():
