@@ -50,7 +50,7 @@ class _Grid:
         self.cells = stage(
             self.points.groupBy(*_KEY).agg(F.count("*").alias("n"), *_box_columns()), "cells")
         self.largest = self.cells.agg(F.max("n")).first()[0] or 0
-        self.hot = hot_keys(self.cells, _KEY, "n") if self.largest > ROWS_PER_SALT else None
+        self.hot = hot_keys(self.cells, _KEY, "n", ROWS_PER_SALT) if self.largest > ROWS_PER_SALT else None
         self.near = stage(self._near_cells(), "near")
 
     def dense(self):

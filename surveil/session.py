@@ -3,9 +3,13 @@
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_staged: ContextVar[list | None] = ContextVar("staged", default=None)
+
 
 def build_session(name: str = "surveil", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs expect; cluster settings win over these."""
@@ -55,5 +59,29 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/surveil-{uuid.uuid4().hex}/{name}"
+    if _staged.get() is not None:
+        _staged.get().append(path.rsplit("/", 1)[0])
     frame.write.mode("errorifexists").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lives."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession):
+    """Tables staged inside are deleted at the end; results must be written before that.
+
+    Long-running streams use it so that scratch tables do not pile up.
+    """
+    token = _staged.set([])
+    try:
+        yield
+    finally:
+        paths = _staged.get()
+        _staged.reset(token)
+        for path in paths:
+            delete_path(spark, path)
