@@ -29,7 +29,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def read_document(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """One JSON document (an object or an array); a missing or broken file gives no rows."""
-    shown = StructType(schema.fields).add("_corrupt_record", "string")
+    shown = StructType(list(schema.fields)).add("_corrupt_record", "string")
     try:
         rows = spark.read.schema(shown).option("multiLine", True).json(path)
     except AnalysisException:

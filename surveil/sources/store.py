@@ -21,7 +21,7 @@ TABLES: dict[str, tuple[StructType, str | None]] = {
     "region_risk": (schemas.REGION_RISK, "window_end"),
     "forecasts": (schemas.FORECAST, None),
     "evaluation": (schemas.EVALUATION, None),
-    "quarantine": (StructType.fromDDL("feed string, batch_id bigint, reject_reason string, record string"), None),
+    "quarantine": (schemas.fields("feed string, batch_id bigint, reject_reason string, record string"), None),
     "late_reports": (schemas.STORED_REPORT, None),
     "batch_metrics": (schemas.BATCH_METRICS, None),
 }
@@ -70,11 +70,11 @@ class Store:
     def read(self, table: str) -> DataFrame:
         """All rows; a table that does not exist yet is empty with the right schema."""
         schema, time = TABLES[table]
-        stored = StructType(schema.fields)
+        stored = StructType(list(schema.fields))
         if time:
             stored = stored.add("day", "date").add("slot", "string") if time == "window_end" else stored.add("day", "date")
         if table in VERSIONED:
-            stored = stored.add("version", "bigint")
+            stored = stored.add("version", "long")
         try:
             rows = self.spark.read.schema(stored).parquet(self.path(table))
         except AnalysisException:
@@ -88,7 +88,7 @@ class Store:
         """Rows with start < time <= end; the date partitions are pruned."""
         schema, time = TABLES[table]
         try:
-            rows = self.spark.read.schema(StructType(schema.fields).add("day", "date")).parquet(self.path(table))
+            rows = self.spark.read.schema(StructType(list(schema.fields)).add("day", "date")).parquet(self.path(table))
         except AnalysisException:
             return self.spark.createDataFrame([], schema)
         pruned = F.col("day").between(F.lit(start.date()), F.lit(end.date()))
@@ -158,7 +158,7 @@ class Store:
             raise ValueError(f"{table} is not replaced as a whole")
         version = 1
         if self._exists(self.path(table)):
-            schema = StructType(TABLES[table][0].fields).add("version", "bigint")
+            schema = StructType(list(TABLES[table][0].fields)).add("version", "long")
             version += self.spark.read.schema(schema).parquet(self.path(table)).agg(F.max("version")).first()[0] or 0
         self._shaped(rows, table).withColumn("version", F.lit(version)).write.mode("append").partitionBy(
             "version").parquet(self.path(table))
