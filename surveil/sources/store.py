@@ -30,6 +30,12 @@ VERSIONED = {"forecasts", "evaluation"}
 _MARKER = "_surveil_store"
 
 
+def _known(table: str) -> tuple[StructType, str | None]:
+    if table not in TABLES:
+        raise ValueError(f"Unknown table: {table}")
+    return TABLES[table]
+
+
 class Store:
     """Reads and writes the tables; every write is one committed Spark job."""
 
@@ -37,8 +43,7 @@ class Store:
         self.spark, self.root = spark, root.rstrip("/")
 
     def path(self, table: str) -> str:
-        if table not in TABLES:
-            raise ValueError(f"Unknown table: {table}")
+        _known(table)
         return f"{self.root}/{table}"
 
     def _exists(self, path: str) -> bool:
@@ -69,7 +74,7 @@ class Store:
 
     def read(self, table: str) -> DataFrame:
         """All rows; a table that does not exist yet is empty with the right schema."""
-        schema, time = TABLES[table]
+        schema, time = _known(table)
         stored = StructType(list(schema.fields))
         if time:
             stored = stored.add("day", "date").add("slot", "string") if time == "window_end" else stored.add("day", "date")
@@ -86,7 +91,7 @@ class Store:
 
     def read_range(self, table: str, start: datetime, end: datetime) -> DataFrame:
         """Rows with start < time <= end; the date partitions are pruned."""
-        schema, time = TABLES[table]
+        schema, time = _known(table)
         try:
             rows = self.spark.read.schema(StructType(list(schema.fields)).add("day", "date")).parquet(self.path(table))
         except AnalysisException:
@@ -113,7 +118,7 @@ class Store:
     # writing
 
     def _shaped(self, rows: DataFrame, table: str) -> DataFrame:
-        schema, time = TABLES[table]
+        schema, time = _known(table)
         shaped = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         if time:
             shaped = shaped.withColumn("day", F.to_date(time))
@@ -158,7 +163,7 @@ class Store:
             raise ValueError(f"{table} is not replaced as a whole")
         version = 1
         if self._exists(self.path(table)):
-            schema = StructType(list(TABLES[table][0].fields)).add("version", "long")
+            schema = StructType(list(_known(table)[0].fields)).add("version", "long")
             version += self.spark.read.schema(schema).parquet(self.path(table)).agg(F.max("version")).first()[0] or 0
         self._shaped(rows, table).withColumn("version", F.lit(version)).write.mode("append").partitionBy(
             "version").parquet(self.path(table))
