@@ -1,10 +1,10 @@
 """Distances on the sphere, and the grid that turns radius search into equi-joins.
 
-The grid cuts the sphere into rows of equal height and each row into equal columns,
-wrapping at +-180 degrees. A cell's side is ``eps / 1.5``, so
+A grid cuts the sphere into rows of equal height and each row into equal columns,
+wrapping at +-180 degrees. No cell is longer than the given side, so
 
-* two points of one cell are always closer than ``eps`` (its diagonal is
-  ``0.943 eps``; the bound holds on the sphere for every ``eps`` up to the radius), and
+* with a side of ``eps / 1.5`` two points of one cell are always closer than ``eps`` (the
+  diagonal is ``0.943 eps``; this holds on the sphere for every ``eps`` up to the radius), and
 * all points within ``eps`` of a cell lie in a bounded number of cells around it.
 """
 
@@ -60,8 +60,8 @@ def check_eps(eps_km: float) -> float:
     return eps_km
 
 
-def _row_height(eps_km: float) -> float:
-    return math.degrees(eps_km / 1.5 / EARTH_RADIUS_KM)
+def _row_height(side_km: float) -> float:
+    return math.degrees(side_km / EARTH_RADIUS_KM)
 
 
 def _columns_in_row(row: str, height: float) -> str:
@@ -81,26 +81,26 @@ def wrap_longitude(lon: str) -> Column:
     return F.expr(f"pmod({lon} + 180, 360.0D)")
 
 
-def with_cell(points: DataFrame, eps_km: float) -> DataFrame:
-    """Adds ``_lon`` (wrapped longitude) and ``cell`` for the columns latitude and longitude."""
-    height = _row_height(eps_km)
+def with_cell(points: DataFrame, side_km: float, name: str = "cell") -> DataFrame:
+    """Adds ``_lon`` (wrapped longitude) and a cell id for the columns latitude and longitude."""
+    height = _row_height(side_km)
     return (
         points.withColumns({"_lon": wrap_longitude("longitude"),
                             "_row": F.expr(f"floor((latitude + 90) / {_d(height)})")})
         .withColumn("_columns", F.expr(_columns_in_row("_row", height)))
-        .withColumn("cell", F.expr(
+        .withColumn(name, F.expr(
             f"_row * {_COLUMN_BITS}L + least(floor(_lon / (360.0D / _columns)), _columns - 1)"))
         .drop("_row", "_columns")
     )
 
 
-def explode_near_cells(boxes: DataFrame, eps_km: float, into: str) -> DataFrame:
+def explode_near_cells(boxes: DataFrame, side_km: float, eps_km: float, into: str) -> DataFrame:
     """One row per cell that may hold points within ``eps_km`` of the row's box.
 
-    ``boxes`` carries the columns of ``BOX`` (longitudes wrapped to [0, 360)). About 21
-    cells come out per box, whatever the number of points.
+    ``boxes`` carries the columns of ``BOX`` (longitudes wrapped to [0, 360)). With a side of
+    eps / 1.5 about 21 cells come out per box, with a side of eps about 9.
     """
-    height = _row_height(eps_km)
+    height = _row_height(side_km)
     eps = math.degrees(eps_km / EARTH_RADIUS_KM) * (1 + _SLACK) + _SLACK
     last_row = math.floor(180.0 / height)
     rows = (f"explode(sequence(greatest(floor((min_lat - {_d(eps)} + 90) / {_d(height)}), 0L),"

@@ -1,6 +1,7 @@
 """Exact DBSCAN (haversine) over many time windows at once, without listing point pairs.
 
-Points of a window are put on a grid whose cells are smaller than ``eps`` across. A cell with
+Places where no cluster is possible are set aside by counting coarse blocks. The remaining
+points of a window are put on a grid whose cells are smaller than ``eps`` across. A cell with
 ``min_samples`` points or more is *dense*: all its points are core, known from its count alone.
 Only points of *sparse* cells (fewer than ``min_samples`` points each) need neighbour counts.
 They look at the dense cells around them by bounding box first, and point by point only where
@@ -31,6 +32,12 @@ def _box_columns(prefix: str = "") -> list:
             F.min("_lon").alias(f"{prefix}min_lon"), F.max("_lon").alias(f"{prefix}max_lon")]
 
 
+def _hot(sizes: DataFrame, key: list[str]) -> tuple[int, DataFrame | None]:
+    """Size of the largest key, and the hot keys if there are any."""
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    return largest, hot_keys(sizes, key, "n", ROWS_PER_SALT) if largest > ROWS_PER_SALT else None
+
+
 def _renamed(frame: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
     """All columns but ``keep`` get a prefix."""
     return frame.select(*[F.col(n) if n in keep else F.col(n).alias(prefix + n)
@@ -44,15 +51,38 @@ def _distance(a: str, b: str):
 class _Grid:
     """Staged tables shared by the steps below."""
 
-    def __init__(self, members: DataFrame, eps_km: float, min_samples: int):
-        self.eps, self.m = geo.check_eps(eps_km), min_samples
-        self.points = stage(geo.with_cell(members, eps_km), "points")
+    def __init__(self, members: DataFrame, eps_km: float, min_samples: int, prune: bool = True):
+        self.eps, self.m, self.side = geo.check_eps(eps_km), min_samples, eps_km / 1.5
+        points = geo.with_cell(members, self.side)
+        if prune:
+            points = self._marked(stage(geo.with_cell(points, eps_km, "block"), "members"))
+            points = stage(points.drop("block"), "points")
+            self.points = points.filter("_keep").drop("_keep")
+            self.alone = points.filter("_keep IS NULL")
+        else:
+            self.points = stage(points, "points")
         self.cells = stage(
             self.points.groupBy(*_KEY).agg(F.count("*").alias("n"), *_box_columns()), "cells")
-        self.largest = self.cells.agg(F.max("n")).first()[0] or 0
-        self.hot = hot_keys(self.cells, _KEY, "n", ROWS_PER_SALT) if self.largest > ROWS_PER_SALT else None
+        self.largest, self.hot = _hot(self.cells, _KEY)
         self.near = stage(self._near_cells(), "near")
 
+    def _marked(self, points: DataFrame) -> DataFrame:
+        """Points with ``_keep`` where a cluster is possible at all.
+
+        Blocks as wide as eps are counted first. A block whose surroundings hold fewer than
+        ``min_samples`` points has no core point, and a point is noise when no block near its
+        own can have one. That settles scattered points without looking at any of them.
+        """
+        key = ["window_end", "block"]
+        blocks = stage(points.groupBy(*key).agg(F.count("*").alias("n"), *_box_columns()), "blocks")
+        own = [F.max(F.expr(f"IF(_to = block, {name}, NULL)")).alias(name) for name in geo.BOX]
+        around = geo.explode_near_cells(blocks, self.eps, self.eps, "_to").groupBy("window_end", "_to").agg(
+            F.sum("n").alias("_around"), *own)
+        with_core = around.filter(F.col("min_lat").isNotNull() & (F.col("_around") >= self.m)).drop("_to")
+        keep = geo.explode_near_cells(with_core, self.eps, self.eps, "block").select(*key).distinct()
+        keep = stage(keep.withColumn("_keep", F.lit(True)), "keep")
+        return salted_join(points, keep, key, _hot(blocks, key)[1], "event_id", "left")
+
     def dense(self):
         return F.col("n") >= self.m
 
@@ -62,7 +92,7 @@ class _Grid:
         Both directions for a sparse ``a``; dense-dense pairs once.
         """
         a = geo.explode_near_cells(_renamed(self.cells, "a_", ["window_end", *geo.BOX]),
-                                   self.eps, "b_cell")
+                                   self.side, self.eps, "b_cell")
         a = a.withColumnsRenamed({name: f"a_{name}" for name in geo.BOX})
         b = _renamed(self.cells, "b_", ["window_end"])
         once = (F.col("a_n") < self.m) | (
@@ -220,7 +250,7 @@ def neighbour_degree(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,
     ``degree`` stops at ``min_samples``: that is all the core test needs, and counting on
     would mean listing every pair of a crowded place.
     """
-    grid = _Grid(_members(members), eps_km, min_samples)
+    grid = _Grid(_members(members), eps_km, min_samples, prune=False)
     sparse, _ = _core_sparse(grid)
     dense = _dense_points(grid, grid.cells.filter(grid.dense()).select(*_KEY))
     return dense.select("window_end", "event_id", F.lit(min_samples).cast("long").alias("degree")).unionByName(
@@ -247,7 +277,8 @@ def core_and_members(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,
            .select(*columns, "is_core", in_cluster.alias("in_cluster")))
     dense = _dense_points(grid, grid.cells.filter(grid.dense()).select(*_KEY))
     return few.unionByName(dense.select(
-        *columns, F.lit(True).alias("is_core"), F.lit(True).alias("in_cluster")))
+        *columns, F.lit(True).alias("is_core"), F.lit(True).alias("in_cluster"))).unionByName(
+        grid.alone.select(*columns, F.lit(False).alias("is_core"), F.lit(False).alias("in_cluster")))
 
 
 def find_clusters(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,
@@ -296,7 +327,8 @@ def find_clusters(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,
     few = sparse.join(lowest, ["window_end", "event_id"])
     number = F.coalesce("cluster_no", F.lit(-1)).cast("int")
     label = F.concat(F.date_format("window_end", "yyyyMMdd'T'HHmm"), F.lit("-"), F.col("cluster_no"))
+    alone = grid.alone.select(*columns, F.lit(False).alias("is_core"), F.lit(-1).alias("cluster_no"))
     return dense.select(*columns, "is_core", "cluster_no").unionByName(
-        few.select(*columns, "is_core", "cluster_no")).select(
+        few.select(*columns, "is_core", "cluster_no")).unionByName(alone).select(
         *columns, "is_core", (number >= 0).alias("in_cluster"), number.alias("cluster_no"),
         F.when(number >= 0, label).alias("cluster_id"))

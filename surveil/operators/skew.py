@@ -22,19 +22,19 @@ def hot_keys(sizes: DataFrame, keys: list[str], size: str,
 
 
 def salted_join(rows: DataFrame, few: DataFrame, keys: list[str], hot: DataFrame | None,
-                spread: str) -> DataFrame:
-    """Inner join of ``rows`` (skewed on ``keys``) with ``few`` (few rows per key).
+                spread: str, how: str = "inner") -> DataFrame:
+    """Inner or left join of ``rows`` (skewed on ``keys``) with ``few`` (few rows per key).
 
     Rows of a hot key are spread over its parts by a hash of ``spread``; the matching rows of
     ``few`` are repeated once per part. Other keys join as they are, and so do all when the
     caller has measured that no key is hot (``hot`` is None).
     """
     if hot is None:
-        return rows.join(few, keys)
+        return rows.join(few, keys, how)
     hot = F.broadcast(hot)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     left = (rows.join(hot, keys, "left")
             .withColumn("_part", F.pmod(F.xxhash64(spread), parts).cast("int")).drop("_parts"))
     right = (few.join(hot, keys, "left")
              .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
-    return left.join(right, [*keys, "_part"]).drop("_part")
+    return left.join(right, [*keys, "_part"], how).drop("_part")
