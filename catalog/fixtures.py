@@ -74,20 +74,30 @@ class Feeds:
             "ts AS created_at", "processed_at", "e % 50 = 0 AS _twice")
         return _with_replays(rows)
 
+    def readings_of(self, *columns: str) -> DataFrame:
+        """Stored readings: valid, first copy, with the fixed flag standing in for a model.
+
+        Only the named columns (and the key) go through the shuffle that drops copies.
+        """
+        rows = valid_readings(self.raw_readings).withColumnRenamed("region_id", "region").withColumns({
+            "predicted_anomaly": fixed_flag(),
+            "latency_seconds": latency_seconds(F.col("created_at"), F.col("processed_at"))})
+        return _first(rows, columns)
+
+    def reports_of(self, *columns: str) -> DataFrame:
+        """Stored reports: valid, first copy, renamed; see ``readings_of``."""
+        rows = valid_reports(self.raw_reports).drop("region_name").withColumnsRenamed(
+            {"region_id": "region", "symptom_category": "symptom_type"}).withColumn(
+            "latency_seconds", latency_seconds(F.col("created_at"), F.col("processed_at")))
+        return _first(rows, columns)
+
     @property
     def readings(self) -> DataFrame:
-        """Stored readings: valid, first copy, with the fixed flag standing in for a model."""
-        rows = first_copy(valid_readings(self.raw_readings))
-        return rows.withColumnRenamed("region_id", "region").withColumn(
-            "predicted_anomaly", fixed_flag()).withColumn(
-            "latency_seconds", latency_seconds(F.col("created_at"), F.col("processed_at")))
+        return self.readings_of()
 
     @property
     def reports(self) -> DataFrame:
-        """Stored reports: valid, first copy, renamed."""
-        rows = first_copy(valid_reports(self.raw_reports)).drop("region_name")
-        return rows.withColumnsRenamed({"region_id": "region", "symptom_category": "symptom_type"}).withColumn(
-            "latency_seconds", latency_seconds(F.col("created_at"), F.col("processed_at")))
+        return self.reports_of()
 
     @property
     def reading_labels(self) -> DataFrame:
@@ -163,6 +173,12 @@ def _outbreak_id(fifth: str, parity: str) -> str:
     return f"concat('OB-', lpad(CAST(CAST(2 * ({fifth}) + {parity} AS INT) AS STRING), 3, '0'))"
 
 
+def _first(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    if columns:
+        rows = rows.select(*dict.fromkeys(("event_id", "created_at", *columns)))
+    return first_copy(rows)
+
+
 def _with_replays(rows: DataFrame) -> DataFrame:
     """Some rows arrive a second time, a minute later."""
     names = [name for name in rows.columns if name != "_twice"]

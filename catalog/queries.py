@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.fixtures import FIXED_FOREST, FIXED_FOREST_NORM, FIXED_FOREST_THRESHOLD, Feeds
+from surveil.constants import VITALS
 from surveil.functions import clock, geo
 from surveil.functions.risk import risk_columns
 from surveil.operators import clusters, dbscan, evaluate, forecast, history, iforest, keyed, validate
@@ -25,7 +26,7 @@ def _fixed_scores(feeds: Feeds) -> DataFrame:
 
 
 def _members(feeds: Feeds, slide: int | None = None) -> DataFrame:
-    return clusters.window_members(feeds.reports.select(*risk.REPORT_COLUMNS), slide=slide)
+    return clusters.window_members(feeds.reports_of(*risk.REPORT_COLUMNS).drop("created_at"), slide=slide)
 
 
 def _labelled(feeds: Feeds) -> DataFrame:
@@ -34,18 +35,34 @@ def _labelled(feeds: Feeds) -> DataFrame:
 
 def _latest_risk(feeds: Feeds) -> DataFrame:
     newest = validate.valid_reports(feeds.raw_reports).select("event_time")
-    return risk.region_risk(risk.latest_window_only(feeds.readings, newest),
-                            risk.latest_window_only(feeds.reports, newest))
+    return risk.region_risk(risk.latest_window_only(_flags(feeds), newest),
+                            risk.latest_window_only(feeds.reports_of(*risk.REPORT_COLUMNS), newest))
+
+
+def _flags(feeds: Feeds) -> DataFrame:
+    return feeds.readings_of("event_time", "region", "predicted_anomaly")
+
+
+def _cases(feeds: Feeds) -> DataFrame:
+    return feeds.reports_of("event_time", "region", "symptom_type", "case_count")
 
 
 def _series(feeds: Feeds) -> DataFrame:
-    return history.series_history(feeds.reports)
+    return history.series_history(_cases(feeds))
+
+
+def _verdicts(feeds: Feeds) -> DataFrame:
+    return feeds.readings_of("predicted_anomaly").drop("created_at")
 
 
 def _before(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("created_at") < F.lit(HALF))
 
 
+def _places(feeds: Feeds) -> DataFrame:
+    return feeds.reports_of("event_time", "latitude", "longitude")
+
+
 # sources, scans and keyed writes
 
 def label_counts(f):
@@ -88,9 +105,9 @@ def table_counts(f):
 
 def _tables(f: Feeds, labelled: DataFrame) -> dict[str, DataFrame]:
     return {
-        "vitals_results": f.readings, "geo_events": f.reports,
+        "vitals_results": f.readings_of("event_time"), "geo_events": f.reports_of("event_time"),
         "clusters": clusters.cluster_summary(labelled),
-        "region_risk": risk.risk_of_windows(labelled, f.readings),
+        "region_risk": risk.risk_of_windows(labelled, _flags(f)),
         "forecasts": forecast.trend_forecast(_series(f))}
 
 
@@ -133,28 +150,30 @@ def filter_reports(f):
 
 def store_checks(f):
     labelled = _labelled(f)
-    return reports.store_checks(reports.table_counts(_tables(f, labelled)), f.readings, f.reports)
+    return reports.store_checks(reports.table_counts(_tables(f, labelled)),
+                                f.readings_of("processed_at", "latency_seconds"),
+                                f.reports_of("processed_at", "latency_seconds"))
 
 
 # scalar functions
 
 def utc_text(f):
-    return f.readings.select("event_id", clock.utc_text(F.col("created_at")).alias("created_text"))
+    return f.readings_of("created_at").select("event_id", clock.utc_text(F.col("created_at")).alias("created_text"))
 
 
 def latency_rows(f):
-    return f.readings.select("event_id", "latency_seconds").unionByName(
-        f.reports.select("event_id", "latency_seconds"))
+    return f.readings_of("latency_seconds").select("event_id", "latency_seconds").unionByName(
+        f.reports_of("latency_seconds").select("event_id", "latency_seconds"))
 
 
 def distance_to_region(f):
     centres = reports.regions_table(f.spark).withColumnsRenamed({"latitude": "c_lat", "longitude": "c_lon"})
-    return f.reports.join(F.broadcast(centres), "region").select(
+    return f.reports_of("region", "latitude", "longitude").join(F.broadcast(centres), "region").select(
         "event_id", F.round(geo.haversine_km("latitude", "longitude", "c_lat", "c_lon"), 6).alias("distance_km"))
 
 
 def offset_position(f):
-    return f.reports.select(
+    return f.reports_of("latitude", "longitude", "case_count", "severity").select(
         "event_id", geo.offset_latitude("latitude", "case_count * 0.5D").alias("new_latitude"),
         geo.offset_longitude("latitude", "longitude", "severity * 0.25D").alias("new_longitude"))
 
@@ -162,12 +181,12 @@ def offset_position(f):
 def tick_bucket(f):
     start = F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")
     tick = clock.tick_of(F.col("event_time"), start)
-    return f.readings.select("event_id", tick.alias("tick"), clock.tick_time(tick, start).alias("tick_time"))
+    return f.readings_of("event_time").select("event_id", tick.alias("tick"), clock.tick_time(tick, start).alias("tick_time"))
 
 
 def risk_grid(f):
     """Every patient's share of flagged readings and number of readings, put on the risk scale."""
-    shares = f.readings.groupBy("patient_id").agg(
+    shares = f.readings_of("patient_id", "predicted_anomaly").groupBy("patient_id").agg(
         F.avg(F.col("predicted_anomaly").cast("double")).alias("rate"), (F.count("*") % 45).alias("cases"))
     columns = risk_columns(F.col("rate"), F.col("cases"))
     return shares.select("patient_id", "cases", *[c.alias(n) for n, c in columns.items()])
@@ -178,7 +197,8 @@ def recent_readings(f):
 
 
 def map_points(f):
-    labelled = dbscan.find_clusters(clusters.window_members(f.reports))
+    labelled = dbscan.find_clusters(clusters.window_members(
+        f.reports_of("event_time", "region", "latitude", "longitude", "symptom_type", "severity", "case_count")))
     return reports.map_points(labelled)
 
 
@@ -191,22 +211,22 @@ def normalise_vitals(f):
 
 
 def pattern_tags(f):
-    return validate.pattern_tags(f.readings, ["event_id"])
+    return validate.pattern_tags(f.readings_of(*VITALS), ["event_id"])
 
 
 # joins
 
 def label_join(f):
-    return evaluate.label_join(f.readings.select("event_id", "predicted_anomaly"), f.reading_labels).select(
+    return evaluate.label_join(_verdicts(f), f.reading_labels).select(
         "event_id", "predicted_anomaly", "is_anomaly", "anomaly_type")
 
 
 def label_join_audit(f):
-    return evaluate.label_audit(f.readings, f.reading_labels)
+    return evaluate.label_audit(_verdicts(f), f.reading_labels)
 
 
 def region_risk(f):
-    return risk.region_risk(f.readings, f.reports)
+    return risk.region_risk(_flags(f), f.reports_of(*risk.REPORT_COLUMNS))
 
 
 def risk_map(f):
@@ -215,7 +235,7 @@ def risk_map(f):
 
 def semi_filter(f):
     """Readings of patients that were flagged at least once."""
-    readings = f.readings
+    readings = f.readings_of("patient_id", "event_time", "predicted_anomaly")
     flagged = readings.filter("predicted_anomaly").select("patient_id").distinct()
     return readings.join(flagged, "patient_id", "left_semi").select("event_id", "patient_id", "event_time")
 
@@ -229,7 +249,7 @@ def neighbour_degree(f):
 
 
 def nearest_region(f):
-    found = f.reports.select("event_id", "region", geo.nearest_region("latitude", "longitude").alias("near"))
+    found = f.reports_of("region", "latitude", "longitude").select("event_id", "region", geo.nearest_region("latitude", "longitude").alias("near"))
     return found.select("event_id", "region", F.col("near.region").alias("nearest"),
                         F.round("near.distance_km", 6).alias("distance_km"))
 
@@ -239,7 +259,7 @@ def _in_outbreaks(f: Feeds) -> DataFrame:
     hours = f.outbreaks.withColumn("hour", F.explode(F.expr(
         "sequence(date_trunc('hour', start_time), date_trunc('hour', end_time), INTERVAL 1 HOUR)")))
     distance = geo.haversine_km("latitude", "longitude", "center_latitude", "center_longitude")
-    return (f.reports.withColumn("hour", F.date_trunc("hour", "event_time")).join(hours, "hour")
+    return (f.reports_of("event_time", "latitude", "longitude").withColumn("hour", F.date_trunc("hour", "event_time")).join(hours, "hour")
             .filter("event_time >= start_time AND event_time < end_time")
             .withColumn("distance_km", distance).filter("distance_km <= radius_km"))
 
@@ -257,27 +277,29 @@ def cluster_summary(f):
 
 
 def case_history(f):
-    return history.case_history(f.reports)
+    return history.case_history(_cases(f))
 
 
 def latest_event_time(f):
-    return f.reports.agg(F.max("event_time").alias("latest"))
+    """A second copy cannot change a maximum, so copies stay in."""
+    return validate.valid_reports(f.raw_reports).agg(F.max("event_time").alias("latest"))
 
 
 def headline(f):
     labelled = _labelled(f)
-    latest = reports.latest_rows(risk.risk_of_windows(labelled, f.readings), labelled)
-    return reports.headline(f.readings, f.reports, clusters.cluster_summary(labelled), latest)
+    latest = reports.latest_rows(risk.risk_of_windows(labelled, _flags(f)), labelled)
+    return reports.headline(_verdicts(f), f.reports_of("event_time"), clusters.cluster_summary(labelled), latest)
 
 
 def latency_summary(f):
     def feed(name, rows):
         return rows.select(F.lit(name).alias("feed"), "processed_at", "latency_seconds")
-    return reports.latency_summary(feed("vitals", f.readings).unionByName(feed("reports", f.reports)))
+    times = ("processed_at", "latency_seconds")
+    return reports.latency_summary(feed("vitals", f.readings_of(*times)).unionByName(feed("reports", f.reports_of(*times))))
 
 
 def confusion_metrics(f):
-    return evaluation.evaluate_flags(f.readings, f.reading_labels)
+    return evaluation.evaluate_flags(_verdicts(f), f.reading_labels)
 
 
 def recall_by_type(f):
@@ -285,16 +307,17 @@ def recall_by_type(f):
 
 
 def outbreaks_detected(f):
-    results = evaluate.label_join(evaluation.causal_flags(f.reports), f.report_labels)
+    results = evaluate.label_join(evaluation.causal_flags(_places(f)), f.report_labels)
     return evaluate.outbreaks_detected(results, f.outbreaks)
 
 
 def reconciliation(f):
-    return reports.reconciliation(f.readings, f.reading_labels)
+    return reports.reconciliation(_verdicts(f), f.reading_labels)
 
 
 def symptom_options(f):
-    return f.reports.select("symptom_type").distinct().orderBy("symptom_type")
+    return validate.valid_reports(f.raw_reports).select(F.col("symptom_category").alias("symptom_type")).distinct().orderBy(
+        "symptom_type")
 
 
 # latest rows, sorts, unions
@@ -313,18 +336,18 @@ def risk_table(f):
 
 
 def time_extent(f):
-    return reports.time_extent(f.readings, f.reports)
+    return reports.time_extent(validate.valid_readings(f.raw_readings), validate.valid_reports(f.raw_reports))
 
 
 # detectors and forecasts
 
 def scaled_vitals(f):
-    scaled = iforest.scale_vitals(f.readings, ["event_id"])
+    scaled = iforest.scale_vitals(f.readings_of(*VITALS), ["event_id"])
     return scaled.select("event_id", *[F.round(n, 6).alias(n) for n in scaled.columns if n.startswith("z_")])
 
 
 def forest_nodes(f):
-    return iforest.train(f.readings.drop("predicted_anomaly")).nodes
+    return iforest.train(f.readings_of(*VITALS)).nodes
 
 
 def forest_score_fixed(f):
@@ -332,12 +355,12 @@ def forest_score_fixed(f):
 
 
 def forest_flags(f):
-    readings = f.readings.drop("predicted_anomaly")
+    readings = f.readings_of(*VITALS)
     return iforest.score(iforest.train(readings), readings).select("event_id", "anomaly_score", "predicted_anomaly")
 
 
 def forest_evaluation(f):
-    readings = f.readings.drop("predicted_anomaly")
+    readings = f.readings_of(*VITALS)
     return evaluation.evaluate_forest(_before(readings), readings.filter(F.col("created_at") >= F.lit(HALF)),
                                       f.reading_labels)
 
@@ -363,24 +386,24 @@ def forecast_eligibility(f):
 
 
 def causal_outbreak_flags(f):
-    return evaluation.causal_flags(f.reports)
+    return evaluation.causal_flags(_places(f))
 
 
 def history_and_forecast(f):
     total = _series(f).filter("kind = 'total'")
-    return reports.history_and_forecast(history.case_history(f.reports), forecast.trend_forecast(total))
+    return reports.history_and_forecast(history.case_history(_cases(f)), forecast.trend_forecast(total))
 
 
 def forecast_staleness(f):
     """A forecast made half-way, against the history there is now."""
-    then = history.series_history(_before(f.reports)).filter("kind = 'total'")
-    return reports.forecast_staleness(history.case_history(f.reports), forecast.trend_forecast(then))
+    then = history.series_history(_before(_cases(f))).filter("kind = 'total'")
+    return reports.forecast_staleness(history.case_history(_cases(f)), forecast.trend_forecast(then))
 
 
 def evaluation_table(f):
     return reports.evaluation_table(
-        ("Isolation Forest (patient vital signs)", evaluation.evaluate_flags(f.readings, f.reading_labels)),
-        ("DBSCAN (outbreak events)", evaluation.evaluate_clusters(f.reports, f.report_labels)))
+        ("Isolation Forest (patient vital signs)", evaluation.evaluate_flags(_verdicts(f), f.reading_labels)),
+        ("DBSCAN (outbreak events)", evaluation.evaluate_clusters(_places(f), f.report_labels)))
 
 
 REGISTERED = [
