@@ -9,7 +9,7 @@ from catalog.fixtures import FIXED_FOREST, FIXED_FOREST_NORM, FIXED_FOREST_THRES
 from surveil.constants import VITALS
 from surveil.functions import clock, geo
 from surveil.functions.risk import risk_columns
-from surveil.operators import clusters, dbscan, evaluate, forecast, history, iforest, keyed, validate
+from surveil.operators import clusters, dbscan, evaluate, forecast, history, iforest, keyed, outbreaks, validate
 from surveil.plans import evaluation, reports, risk
 
 START, END = datetime(2024, 1, 10, 6, 0), datetime(2024, 1, 12, 18, 0)
@@ -254,18 +254,10 @@ def nearest_region(f):
                         F.round("near.distance_km", 6).alias("distance_km"))
 
 
-def _in_outbreaks(f: Feeds) -> DataFrame:
-    """Hour buckets turn the interval join into an equi-join."""
-    hours = f.outbreaks.withColumn("hour", F.explode(F.expr(
-        "sequence(date_trunc('hour', start_time), date_trunc('hour', end_time), INTERVAL 1 HOUR)")))
-    distance = geo.haversine_km("latitude", "longitude", "center_latitude", "center_longitude")
-    return (f.reports_of("event_time", "latitude", "longitude").withColumn("hour", F.date_trunc("hour", "event_time")).join(hours, "hour")
-            .filter("event_time >= start_time AND event_time < end_time")
-            .withColumn("distance_km", distance).filter("distance_km <= radius_km"))
-
-
 def outbreak_members(f):
-    return _in_outbreaks(f).select("event_id", "outbreak_id", F.round("distance_km", 6).alias("distance_km"))
+    reports_ = f.reports_of("event_time", "latitude", "longitude")
+    return outbreaks.outbreak_members(reports_, f.outbreaks).select(
+        "event_id", "outbreak_id", F.round("distance_km", 6).alias("distance_km"))
 
 
 # aggregations

@@ -52,6 +52,8 @@ class _Grid:
     """Staged tables shared by the steps below."""
 
     def __init__(self, members: DataFrame, eps_km: float, min_samples: int, prune: bool = True):
+        if min_samples < 1:
+            raise ValueError("min_samples must be at least 1")
         self.eps, self.m, self.side = geo.check_eps(eps_km), min_samples, eps_km / 1.5
         points = geo.with_cell(members, self.side)
         if prune:
@@ -105,8 +107,8 @@ class _Grid:
         return self._cool(self.points).join(self.cells.filter(~self.dense()).select(*_KEY, "n"), _KEY)
 
     def _cool(self, points: DataFrame) -> DataFrame:
-        """Points without those of hot cells, dropped before a shuffle by cell."""
-        if self.hot is None:
+        """Points without those of hot cells (dense ones), dropped before a shuffle by cell."""
+        if self.hot is None or self.m > ROWS_PER_SALT:
             return points
         return points.join(F.broadcast(self.hot.select(*_KEY)), _KEY, "left_anti")
 

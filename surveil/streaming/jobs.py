@@ -153,12 +153,16 @@ def without_replays(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
 
 def run(spark: SparkSession, store: Store, vitals_dir: str, reports_dir: str, score: Callable[[DataFrame], DataFrame],
         mode: str, stop_after: float | None = None, slide: int = CLUSTER_WINDOW_MINUTES,
-        lateness: timedelta | None = None) -> None:
-    """Run both feeds. In 'once' mode readings come first, so risk sees all of them."""
+        lateness: timedelta | None = None, same_day: bool = False) -> None:
+    """Run both feeds. In 'once' mode readings come first, so risk sees all of them.
+
+    Set ``same_day`` where a replayed event keeps its event time: each batch then looks for
+    stored copies on its own days only, however old the store is.
+    """
     store.create()
     feeds = [
-        ("vitals", vitals_dir, schemas.READING, vitals_handler(store, score)),
-        ("reports", reports_dir, schemas.REPORT, reports_handler(store, slide, lateness)),
+        ("vitals", vitals_dir, schemas.READING, vitals_handler(store, score, same_day=same_day)),
+        ("reports", reports_dir, schemas.REPORT, reports_handler(store, slide, lateness, same_day=same_day)),
     ]
     queries: list[StreamingQuery] = []
     try:

@@ -214,3 +214,16 @@ def test_rate_guard_and_display(spark):
     row = spark.range(1).select(display.region_name(F.lit("R6")), display.region_name(F.lit("R9")),
                                 display.yes_no(F.lit(False)), display.nan_to_null(F.lit(float("nan")))).first()
     assert tuple(row) == ("Lake District", None, "No", None)
+
+
+def test_outbreak_membership(spark):
+    from surveil.operators.outbreaks import outbreak_members
+    outbreak = spark.createDataFrame([("OB-1", 12.97, 77.59, 1.0, "fever", T0, T0 + timedelta(minutes=90))],
+                                     "outbreak_id string, center_latitude double, center_longitude double,"
+                                     " radius_km double, symptom_category string, start_time timestamp, end_time timestamp")
+    rows = spark.createDataFrame(
+        [("in", T0, 12.975, 77.59, "fever"), ("other", T0 + timedelta(minutes=89), 12.97, 77.59, "rash"),
+         ("late", T0 + timedelta(minutes=90), 12.97, 77.59, "fever"), ("far", T0, 12.98, 77.59, "fever")],
+        "event_id string, event_time timestamp, latitude double, longitude double, symptom_type string")
+    assert sorted(r["event_id"] for r in outbreak_members(rows, outbreak).collect()) == ["in", "other"]
+    assert [r["event_id"] for r in outbreak_members(rows, outbreak, same_symptom=True).collect()] == ["in"]
