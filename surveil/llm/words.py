@@ -118,10 +118,11 @@ def shingle_sets(texts: list[bytes], n: int = 5) -> tuple[np.ndarray, np.ndarray
     base = words.hashes() if len(short) else None
     for i in range(len(texts)):
         if 0 < counts[i] < n:
-            total = np.uint64(counts[i])
-            for j, x in enumerate(base[words.first[i]:words.first[i + 1]]):
-                total = mix(np.array([total + x * STEP[32 + j]], np.uint64))[0]
-            parts.append(np.array([total], np.uint64))
+            own = base[words.first[i]:words.first[i + 1]]
+            total = np.array([counts[i]], np.uint64)
+            for j in range(len(own)):
+                total = mix(total + own[j:j + 1] * STEP[32 + j])
+            parts.append(total)
         else:
             own = np.sort(h[bounds[i]:bounds[i + 1]])
             parts.append(own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own)
