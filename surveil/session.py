@@ -51,7 +51,7 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stage(frame: DataFrame, name: str) -> DataFrame:
+def stage(frame: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``frame`` as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage for iterative jobs, survives lost executors, and gives the
@@ -61,7 +61,7 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark).rstrip('/')}/surveil-{uuid.uuid4().hex}/{name}"
     if _staged.get() is not None:
         _staged.get().append(path.rsplit("/", 1)[0])
-    frame.write.mode("errorifexists").parquet(path)
+    frame.write.mode("errorifexists").option("compression", codec).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
