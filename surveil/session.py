@@ -62,7 +62,14 @@ def stage(frame: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     if _staged.get() is not None:
         _staged.get().append(path.rsplit("/", 1)[0])
     frame.write.mode("errorifexists").option("compression", codec).parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    staged = spark.read.schema(frame.schema).parquet(path)
+    staged.staged_in = path.rsplit("/", 1)[0]
+    return staged
+
+
+def unstage(staged: DataFrame) -> None:
+    """Delete a table that ``stage`` wrote and nothing reads any more."""
+    delete_path(staged.sparkSession, staged.staged_in)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
