@@ -3,8 +3,8 @@
 from importlib import import_module
 
 MODULES = {
-    "op1_chat": "chat", "op3_warc": "warc", "op4_mixing": "mixing",
-    "op7_quality": "quality", "op9_bpe": "bpe",
+    "op1_chat": "chat", "op2_suffix": "suffix", "op3_warc": "warc", "op4_mixing": "mixing", "op6_minhash": "minhash",
+    "op7_quality": "quality", "op8_embeddings": "covertree", "op9_bpe": "bpe",
 }
 
 
