@@ -1,5 +1,6 @@
 """Session helpers: defaults, and scratch tables that cut lineage."""
 
+import gc
 import os
 import tempfile
 import uuid
@@ -92,3 +93,9 @@ def staged_tables(spark: SparkSession):
         _staged.reset(token)
         for path in paths:
             delete_path(spark, path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished jobs now, not when the driver next collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
