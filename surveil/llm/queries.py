@@ -4,9 +4,10 @@ from importlib import import_module
 
 MODULES = {
     "op1_chat": "chat", "op2_suffix": "suffix", "op3_warc": "warc", "op4_mixing": "mixing", "op5_html": "html", "op6_minhash": "minhash",
-    "op7_quality": "quality", "op8_embeddings": "covertree", "op9_bpe": "bpe",
+    "op7_quality": "quality", "op8_embeddings": "covertree", "op9_bpe": "bpe", "op10_paragraphs": "paragraphs",
 }
 
 
 def llm_queries() -> dict:
-    return {name: import_module(f"surveil.llm.{module}").query for name, module in MODULES.items()}
+    from corpus_pipeline import run
+    return {name: import_module(f"surveil.llm.{module}").query for name, module in MODULES.items()} | {"pipeline": run}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveil.llm.words import BYTE_VALUES, RADIX, _constants, as_bytes, mix
-from surveil.session import stage, unstage
+from surveil.session import release_shuffles, stage, unstage
 
 LENGTH = 100
 GRAM = 24
@@ -296,6 +296,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     keys = keys.filter("n > 1").select("key", (F.col("low") != F.col("high")).alias("differ"))
     live = stage(phrases.join(keys, "key"), "live", "zstd")
     unstage(phrases)
+    release_shuffles(docs.sparkSession)
     first = stage(live.groupBy("key", "name").agg(
         F.min(F.struct("doc", "p0")).alias("first"), F.max("lead").alias("lead"), F.max("windows").alias("windows"),
         F.count("*").alias("n"), F.max("differ").alias("differ")).select("key", "name", "first.*", "lead", "windows", "n", "differ"), "dictionary", "zstd")
