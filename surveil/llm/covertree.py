@@ -31,7 +31,7 @@ COSINE = 0.95
 BLOCK = 2048
 PIVOTS = 64
 GROUPS = 32
-MARGIN = 1e-9
+MARGIN = 1e-7   # distances near zero are exact to about 3e-8
 LEVELS = 8
 
 

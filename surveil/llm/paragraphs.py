@@ -229,8 +229,8 @@ def merged(gone: list[dict] | None, size: int) -> list[tuple[int, int]]:
 
 def remove_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """``docs`` without its text, plus n_bytes, n_removed, n_spans and kept_sha256."""
-    rest = [c for c in docs.columns if c not in ("text", "doc", *RESULTS)]
-    rows = _keyed(docs).join(removals(docs), "doc", "left").select("text", "gone", *[F.col(f"`{c}`") for c in rest])
+    rest = [c for c in docs.columns if c not in ("text", "doc", "_gone", *RESULTS)]
+    rows = _keyed(docs).join(removals(docs).withColumnRenamed("gone", "_gone"), "doc", "left").select("text", "_gone", *[F.col(f"`{c}`") for c in rest])
 
     def run(batches):
         for batch in batches:

@@ -343,9 +343,9 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     ``with_text`` keeps the column with what is left; a character that lost a part is left out.
     """
-    rest = [c for c in docs.columns if c not in ("text", *RESULTS)]
+    rest = [c for c in docs.columns if c not in ("text", "_doc", "_gone", *RESULTS)]
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_doc"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in rest])
-    rows = keyed.join(repeats(docs).withColumnRenamed("doc", "_doc"), "_doc", "left").select("text", "gone", *[F.col(f"`{c}`") for c in rest])
+    rows = keyed.join(repeats(docs).withColumnsRenamed({"doc": "_doc", "gone": "_gone"}), "_doc", "left").select("text", "_gone", *[F.col(f"`{c}`") for c in rest])
 
     def run(batches):
         for batch in batches:
