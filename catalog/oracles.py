@@ -304,12 +304,8 @@ QUERIES: dict[str, str] = {
         body_temperature, respiratory_rate, round_even(anomaly_score, 3) AS anomaly_score,
         CASE WHEN predicted_anomaly THEN 'Yes' ELSE 'No' END AS flagged
         FROM scored x WHERE predicted_anomaly ORDER BY event_time DESC, event_id DESC LIMIT 50""",
-    "map_points": f"""SELECT event_id, latitude, longitude,
-        CASE WHEN in_cluster THEN 'Clustered when processed' ELSE 'Not clustered' END AS point_group,
-        (8 + 2 * least(case_count, 6))::INTEGER AS marker_size,
-        event_id || ' at ' || strftime(event_time, '%H:%M') || ' | ' || {_REGION_NAME} || ' | ' || symptom_type
-            || ', severity ' || severity || ', ' || case_count || ' case(s) | cluster: '
-            || coalesce(cluster_id, 'none (noise)') AS hover_text FROM labels_hour x""",
+    "map_points": f"""SELECT event_id, event_time, latitude, longitude, {_REGION_NAME} AS region_name, symptom_type, severity, case_count,
+        in_cluster, cluster_id FROM labels_hour x""",
     "normalise_vitals": """SELECT event_id, created_at, round_even(heart_rate * 1.013::DOUBLE, 0)::INTEGER AS heart_rate,
         round_even(systolic_bp * 1.017::DOUBLE, 0)::INTEGER AS systolic_bp,
         least(round_even(diastolic_bp * 1.4::DOUBLE, 0)::INTEGER, round_even(systolic_bp * 1.017::DOUBLE, 0)::INTEGER - 10)
@@ -390,8 +386,8 @@ QUERIES: dict[str, str] = {
 }
 _TABLE = "items, precision, recall, f1, false_positive_rate, true_positives, false_positives, false_negatives, true_negatives"
 QUERIES["evaluation_table"] = (
-    f"SELECT 'Isolation Forest (patient vital signs)' AS detector, {_TABLE} FROM ({QUERIES['confusion_metrics']})"
-    f" UNION ALL SELECT 'DBSCAN (outbreak events)', {_TABLE} FROM ("
+    f"SELECT 'forest' AS detector, {_TABLE} FROM ({QUERIES['confusion_metrics']})"
+    f" UNION ALL SELECT 'dbscan', {_TABLE} FROM ("
     + _metrics("causal JOIN report_labels USING (event_id)", "is_outbreak_event", "predicted_outbreak") + ")")
 
 

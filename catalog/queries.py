@@ -56,7 +56,7 @@ def _verdicts(feeds: Feeds) -> DataFrame:
 
 
 def _before(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("created_at") < F.lit(HALF))
+    return rows.filter(F.col("created_at") < clock.utc(HALF))
 
 
 def _places(feeds: Feeds) -> DataFrame:
@@ -179,7 +179,7 @@ def offset_position(f):
 
 
 def tick_bucket(f):
-    start = F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")
+    start = clock.utc(datetime(2024, 1, 1)).cast("timestamp_ntz")
     tick = clock.tick_of(F.col("event_time"), start)
     return f.readings_of("event_time").select("event_id", tick.alias("tick"), clock.tick_time(tick, start).alias("tick_time"))
 
@@ -353,7 +353,7 @@ def forest_flags(f):
 
 def forest_evaluation(f):
     readings = f.readings_of(*VITALS)
-    return evaluation.evaluate_forest(_before(readings), readings.filter(F.col("created_at") >= F.lit(HALF)),
+    return evaluation.evaluate_forest(_before(readings), readings.filter(F.col("created_at") >= clock.utc(HALF)),
                                       f.reading_labels)
 
 
@@ -394,8 +394,8 @@ def forecast_staleness(f):
 
 def evaluation_table(f):
     return reports.evaluation_table(
-        ("Isolation Forest (patient vital signs)", evaluation.evaluate_flags(_verdicts(f), f.reading_labels)),
-        ("DBSCAN (outbreak events)", evaluation.evaluate_clusters(_places(f), f.report_labels)))
+        ("forest", evaluation.evaluate_flags(_verdicts(f), f.reading_labels)),
+        ("dbscan", evaluation.evaluate_clusters(_places(f), f.report_labels)))
 
 
 REGISTERED = [

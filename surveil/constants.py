@@ -87,4 +87,3 @@ FORECAST_BAND_Z = 1.2816  # 80 % of a normal distribution lies within +-1.2816 s
 TICK_MINUTES = 5
 FILES_PER_TRIGGER = 10
 TRIGGER_SECONDS = 2
-MAX_ROWS_PER_BATCH = 5000

@@ -1,11 +1,19 @@
 """Time functions for the simulated clock, windows and latency."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from surveil.constants import CLUSTER_WINDOW_MINUTES, TICK_MINUTES
 
 
+def utc(time: datetime) -> Column:
+    """A literal time; one without a zone is UTC, whatever the zone of the Python process."""
+    aware = time.replace(tzinfo=timezone.utc) if time.tzinfo is None else time.astimezone(timezone.utc)
+    return F.lit(aware.isoformat(timespec="microseconds")).cast("timestamp")
+
+
 def floor_to(time: Column, minutes: int) -> Column:
     """Start of the fixed bin a time falls in; bins are aligned to midnight UTC."""
     return F.window(time, f"{minutes} minutes").start

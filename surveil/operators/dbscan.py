@@ -19,7 +19,7 @@ from surveil.constants import CLUSTER_EPS_KM, CLUSTER_MIN_SAMPLES
 from surveil.functions import geo
 from surveil.operators.components import connected_components
 from surveil.operators.skew import ROWS_PER_SALT, hot_keys, salted_join
-from surveil.operators.validate import refuse_truth_columns
+from surveil.operators.validate import without_labels
 from surveil.session import stage
 
 PAIRWISE_LIMIT = 256   # up to this many point pairs, two boxes are compared point by point
@@ -241,8 +241,7 @@ def _core_sparse(grid: _Grid) -> tuple[DataFrame, DataFrame]:
 
 
 def _members(members: DataFrame) -> DataFrame:
-    refuse_truth_columns(members)
-    return members
+    return without_labels(members)
 
 
 def neighbour_degree(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,

@@ -19,13 +19,24 @@ def label_audit(verdicts: DataFrame, labels: DataFrame, key: str = "event_id") -
         F.count_if(F.expr("v > 1 OR l > 1")).alias("repeated"))
 
 
-def label_join(verdicts: DataFrame, labels: DataFrame, key: str = "event_id", strict: bool = False) -> DataFrame:
-    """Inner join on the key; ``strict`` requires exactly one label for every verdict."""
-    if strict:
-        audit = label_audit(verdicts, labels, key).first()
-        if audit["repeated"] or audit["without_label"]:
-            raise ValueError(f"Verdicts and labels are not one to one: {audit.asDict()}")
-    return verdicts.join(labels, key)
+def label_join(verdicts: DataFrame, labels: DataFrame, key: str = "event_id", strict: bool = True) -> DataFrame:
+    """Verdicts with their labels.
+
+    ``strict`` fails the query when a verdict has no label or a key repeats on either side; the
+    check is part of the join, so nothing is read twice. Otherwise unmatched verdicts are left out.
+    """
+    if not strict:
+        return verdicts.join(labels, key)
+
+    def once(side: DataFrame, name: str) -> DataFrame:
+        rest = [c for c in side.columns if c != key]
+        return side.groupBy(key).agg(F.count("*").alias(f"_{name}s"), F.any_value(F.struct(*rest)).alias(f"_{name}"))
+
+    both = once(verdicts, "verdict").join(once(labels, "label"), key, "left")
+    wrong = F.expr("_verdicts > 1 OR coalesce(_labels, 0) <> 1")
+    message = F.concat(F.lit("not one label per verdict: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    checked = both.withColumn("_ok", F.when(wrong, F.raise_error(message).cast("boolean")).otherwise(True)).filter("_ok")
+    return checked.select(key, "_verdict.*", "_label.*")
 
 
 def confusion_metrics(results: DataFrame, actual: str, predicted: str, by: list[str] = ()) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from surveil.constants import FOREST_CONTAMINATION, FOREST_SEED, FOREST_TREES, VITALS
 from surveil.operators.quantiles import exact_quantiles
-from surveil.operators.validate import refuse_truth_columns
+from surveil.operators.validate import without_labels
 from surveil.session import stage
 
 SAMPLE_ROWS = 256
@@ -86,7 +86,7 @@ def _draw(readings: DataFrame, rows: int, trees: int, seed: int, key: str) -> Da
 def train(readings: DataFrame, trees: int = FOREST_TREES, contamination: float = FOREST_CONTAMINATION,
           seed: int = FOREST_SEED, key: str = "event_id") -> Forest:
     """Train on the vital signs alone; the same data, seed and keys give the same model."""
-    refuse_truth_columns(readings)
+    without_labels(readings)
     readings = readings.select(key, *VITALS)
     stats = feature_stats(readings).first()
     if not stats["n"]:
@@ -173,10 +173,11 @@ def _score(forest: Forest):
 
 def score(forest: Forest, readings: DataFrame) -> DataFrame:
     """Adds ``anomaly_score`` (higher = stranger) and ``predicted_anomaly`` (score above 0)."""
-    refuse_truth_columns(readings)
-    return readings.withColumn(
-        "anomaly_score", F.bround(_score(forest) - F.lit(forest.threshold), 6)).withColumn(
-        "predicted_anomaly", F.col("anomaly_score") > 0)
+    without_labels(readings)
+    # flagged by the exact difference, shown with six decimals
+    exact = readings.withColumn("anomaly_score", _score(forest) - F.lit(forest.threshold))
+    return exact.withColumn("predicted_anomaly", F.col("anomaly_score") > 0).withColumn(
+        "anomaly_score", F.bround("anomaly_score", 6))
 
 
 def score_boxes(readings: DataFrame, boxes: list[tuple[int, dict, float]], norm: float,

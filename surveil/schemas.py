@@ -61,7 +61,7 @@ REGION_RISK = fields(
     " risk_level string"
 )
 FORECAST = fields(
-    "forecast_time timestamp, predicted_cases double, lower_cases double, upper_cases double,"
+    "kind string, name string, forecast_time timestamp, predicted_cases double, lower_cases double, upper_cases double,"
     " generated_at timestamp, history_points bigint"
 )
 EVALUATION = fields(

@@ -7,14 +7,18 @@ from pyspark.sql.types import StructType
 
 from surveil.constants import FILES_PER_TRIGGER
 
+CORRUPT = "_corrupt_record"
+
 
 def stream_json(spark: SparkSession, folder: str, schema: StructType,
                 files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """JSON lines as a stream: only ``*.json``, a bounded number of files per trigger.
 
-    A broken line becomes a row of NULLs, so it is counted as read and then rejected.
+    A broken line becomes a row of NULLs with its text in ``_corrupt_record``, so it is counted as
+    read and then rejected, and can still be looked at.
     """
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "*.json")
+    shown = StructType(list(schema.fields)).add(CORRUPT, "string")
+    return (spark.readStream.schema(shown).option("pathGlobFilter", "*.json")
             .option("maxFilesPerTrigger", files_per_trigger).json(folder))
 
 

@@ -1,13 +1,14 @@
 """The result tables, as Parquet folders under one root."""
 
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from surveil import schemas
+from surveil.functions.clock import utc
+from surveil.functions.display import nan_to_null
 from surveil.operators.clusters import latest_assignment
 from surveil.operators.keyed import insert_if_absent
 from surveil.session import delete_path
@@ -30,6 +31,12 @@ VERSIONED = {"forecasts", "evaluation"}
 _MARKER = "_surveil_store"
 
 
+def _storable(field: StructField):
+    """The column in its stored type; a number that is none is stored as NULL."""
+    value = F.col(field.name).cast(field.dataType)
+    return nan_to_null(value) if isinstance(field.dataType, DoubleType) else value
+
+
 def _known(table: str) -> tuple[StructType, str | None]:
     if table not in TABLES:
         raise ValueError(f"Unknown table: {table}")
@@ -80,24 +87,54 @@ class Store:
             stored = stored.add("day", "date").add("slot", "string") if time == "window_end" else stored.add("day", "date")
         if table in VERSIONED:
             stored = stored.add("version", "long")
-        try:
-            rows = self.spark.read.schema(stored).parquet(self.path(table))
-        except AnalysisException:
+        if not self._exists(self.path(table)):
             return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(stored).parquet(self.path(table))
         if table in VERSIONED:   # partition values only: the newest committed version
             newest = self.spark.read.schema(stored).parquet(self.path(table)).agg(F.max("version"))
             rows = rows.filter(F.col("version") == newest.scalar())
         return rows.select(*schema.names)
 
+    def _by_day(self, table: str) -> DataFrame | None:
+        schema, _ = _known(table)
+        if not self._exists(self.path(table)):
+            return None
+        return self.spark.read.schema(StructType(list(schema.fields)).add("day", "date")).parquet(self.path(table))
+
     def read_range(self, table: str, start: datetime, end: datetime) -> DataFrame:
-        """Rows with start < time <= end; the date partitions are pruned."""
+        """Rows with start < time <= end; the date partitions are pruned.
+
+        Bounds without a zone are UTC, whatever the zone of this process.
+        """
         schema, time = _known(table)
-        try:
-            rows = self.spark.read.schema(StructType(list(schema.fields)).add("day", "date")).parquet(self.path(table))
-        except AnalysisException:
+        rows = self._by_day(table)
+        if rows is None:
+            return self.spark.createDataFrame([], schema)
+        first, last = utc(start), utc(end)
+        pruned = F.col("day").between(F.to_date(first), F.to_date(last))
+        return rows.filter(pruned & (F.col(time) > first) & (F.col(time) <= last)).select(*schema.names)
+
+    def read_days(self, table: str, days: list[str]) -> DataFrame:
+        """Rows of the named days (UTC, ISO text); other partitions are not listed."""
+        schema, _ = _known(table)
+        rows = self._by_day(table)
+        if rows is None:
             return self.spark.createDataFrame([], schema)
-        pruned = F.col("day").between(F.lit(start.date()), F.lit(end.date()))
-        return rows.filter(pruned & (F.col(time) > F.lit(start)) & (F.col(time) <= F.lit(end))).select(*schema.names)
+        return rows.filter(F.col("day").isin([F.lit(d).cast("date") for d in days])).select(*schema.names)
+
+    def days_of(self, rows: DataFrame) -> list[str]:
+        """The UTC days of ``event_time``, as ISO text: as many as a batch touches."""
+        found = rows.filter("event_time IS NOT NULL").select(F.date_format("event_time", "yyyy-MM-dd").alias("d")).distinct()
+        return sorted(r["d"] for r in found.collect())
+
+    def windows_of(self, ends: DataFrame) -> list[tuple[str, str]]:
+        """(day, slot) of window ends: the partitions of a window table."""
+        found = ends.select(F.date_format("window_end", "yyyy-MM-dd").alias("d"), F.date_format("window_end", "HHmm").alias("s")).distinct()
+        return sorted((r["d"], r["s"]) for r in found.collect())
+
+    def now(self) -> str:
+        """One time for a whole batch, as text with its zone."""
+        return datetime.now(timezone.utc).isoformat(timespec="microseconds")
 
     def geo_events(self) -> DataFrame:
         """Reports with the cluster of the last window that included them."""
@@ -105,8 +142,13 @@ class Store:
         return self.read("geo_events").join(last, "event_id", "left").withColumn(
             "in_cluster", F.coalesce("in_cluster", F.lit(False)))
 
-    def latest_report_time(self) -> datetime | None:
-        return self.read("geo_events").agg(F.max("event_time")).first()[0]
+    def newest_micros(self, table: str) -> int | None:
+        """Newest event time in microseconds since 1970; only the newest day is read."""
+        rows = self._by_day(table)
+        if rows is None:
+            return None
+        newest = rows.agg(F.max("day"))
+        return rows.filter(F.col("day") == newest.scalar()).agg(F.max(F.unix_micros("event_time"))).first()[0]
 
     def counts(self) -> DataFrame:
         out = None
@@ -119,39 +161,47 @@ class Store:
 
     def _shaped(self, rows: DataFrame, table: str) -> DataFrame:
         schema, time = _known(table)
-        shaped = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        shaped = rows.select(*[_storable(f).alias(f.name) for f in schema.fields])
         if time:
             shaped = shaped.withColumn("day", F.to_date(time))
         if time == "window_end":
             shaped = shaped.withColumn("slot", F.date_format(time, "HHmm"))
         return shaped
 
-    def insert_if_absent(self, table: str, batch: DataFrame, same_day: bool = False) -> int:
+    def insert_if_absent(self, table: str, batch: DataFrame, days: list[str] | None = None) -> int:
         """Append rows whose key is not stored yet and return how many.
 
-        ``same_day`` looks for stored copies only on the days of the batch: enough when a
-        replayed event keeps its event time, and cheap however old the store is.
+        ``days`` looks for stored copies only there: enough when a replayed event keeps its
+        event time, and cheap however old the store is.
         """
-        stored = self.read(table)
-        if same_day:
-            first, last = batch.agg(F.to_date(F.min("event_time")), F.to_date(F.max("event_time"))).first()
-            if first is None:
-                return 0
-            start = datetime.combine(first, datetime.min.time())
-            stored = self.read_range(table, start.replace(microsecond=0) - _TICK,
-                                     datetime.combine(last, datetime.max.time()))
+        stored = self.read(table) if days is None else self.read_days(table, days)
         written = Observation()
         new = self._shaped(insert_if_absent(batch, stored), table).observe(written, F.count(F.lit(1)).alias("n"))
         new.write.mode("append").partitionBy("day").parquet(self.path(table))
         return written.get.get("n", 0)
 
-    def overwrite_windows(self, table: str, rows: DataFrame) -> None:
-        """Replace the windows present in ``rows`` and no others."""
-        self._shaped(rows, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "day", "slot").parquet(self.path(table))
-
-    def append(self, table: str, rows: DataFrame) -> None:
-        self._shaped(rows, table).write.mode("append").parquet(self.path(table))
+    def overwrite_windows(self, table: str, rows: DataFrame, windows: list[tuple[str, str]] | None = None) -> None:
+        """Replace the windows present in ``rows``; of ``windows`` (day, slot), those without rows become empty."""
+        shaped = self._shaped(rows, table)
+        shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "slot").parquet(self.path(table))
+        if windows:
+            filled = self.windows_of(rows)
+            for day, slot in set(windows) - set(filled):
+                delete_path(self.spark, f"{self.path(table)}/day={day}/slot={slot}")
+
+    def replace_batch(self, table: str, feed: str, batch_id: int, rows: DataFrame) -> None:
+        """The rows a batch of a feed adds to a side table; tried again, the batch replaces them."""
+        schema, _ = _known(table)
+        own = {"feed": F.lit(feed), "batch_id": F.lit(batch_id).cast("long")}
+        shaped = rows.withColumns(own).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in own], *own)
+        shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feed", "batch_id").parquet(self.path(table))
+
+    def record_batch(self, feed: str, batch_id: int, read: int, rejected: int, new: int, flagged: int | None) -> None:
+        """The counters of a batch; the first record stays, for a second try finds its events stored already."""
+        if self._exists(f"{self.path('batch_metrics')}/feed={feed}/batch_id={batch_id}"):
+            return
+        row = self.spark.createDataFrame([(read, rejected, new, flagged)], "rows_read bigint, rows_rejected bigint, rows_new bigint, rows_flagged bigint")
+        self.replace_batch("batch_metrics", feed, batch_id, row.withColumn("recorded_at", F.current_timestamp()))
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Publish a new version of a whole table.
@@ -168,5 +218,3 @@ class Store:
         self._shaped(rows, table).withColumn("version", F.lit(version)).write.mode("append").partitionBy(
             "version").parquet(self.path(table))
 
-
-_TICK = datetime(2000, 1, 1, 0, 0, 0, 1) - datetime(2000, 1, 1)

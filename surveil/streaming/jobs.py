@@ -1,186 +1,229 @@
-"""Both feeds as streams: validate, drop replays, store, score, and update risk.
+"""Both feeds as Structured Streaming jobs, and the batch jobs that follow them.
 
-Each feed is one streaming query with its own checkpoint. A batch stays a DataFrame from
-the files to the store; the only values that reach the driver are its counters.
+Each feed is one query with its own checkpoint. A micro-batch stays a DataFrame from the files to
+the store. Every write of a batch is keyed by what it replaces (an event, a window, or the batch
+itself), so a batch that is tried again leaves the tables as one that worked at once. Times stay in
+Spark; what reaches the driver are counters and the names of touched days and windows.
 """
 
+import time
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from surveil import schemas
 from surveil.constants import CLUSTER_WINDOW_MINUTES, TRIGGER_SECONDS
 from surveil.functions.clock import latency_seconds
 from surveil.operators.clusters import cluster_summary, window_members
 from surveil.operators.dbscan import find_clusters
-from surveil.operators.validate import rate_guard, reading_rules, report_rules, with_reason
+from surveil.operators.forecast import trend_forecast
+from surveil.operators.history import series_history
+from surveil.operators.validate import reading_rules, report_rules, with_reason
 from surveil.plans.risk import risk_of_windows
 from surveil.session import staged_tables
-from surveil.sources.files import stream_json
+from surveil.sources.files import CORRUPT, stream_json
 from surveil.sources.store import Store
 
 Handler = Callable[[DataFrame, int], None]
 
 
-def with_processing_time(rows: DataFrame, now: datetime | None = None) -> DataFrame:
+class BatchTooLarge(RuntimeError):
+    """A micro-batch held more valid records than its feed allows."""
+
+
+def with_processing_time(rows: DataFrame, at=None) -> DataFrame:
     """``processed_at`` (one value for the batch) and the latency since ``created_at``."""
-    at = F.lit(now) if now else F.current_timestamp()
-    return rows.withColumn("processed_at", at).withColumn(
+    return rows.withColumn("processed_at", F.current_timestamp() if at is None else at.cast("timestamp")).withColumn(
         "latency_seconds", latency_seconds(F.col("created_at"), F.col("processed_at")))
 
 
-def _accept(store: Store, feed: str, batch: DataFrame, batch_id: int, rules: list,
-            limit: int | None, write: Callable[[DataFrame], int]) -> tuple[int, dict]:
-    """Mark, quarantine, hand the valid rows to ``write``, and record the counters."""
-    read = Observation()
-    marked = with_reason(batch, rules).observe(
-        read, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reject_reason").isNotNull()).alias("rejected")).persist()
-    try:
-        bad = marked.filter(F.col("reject_reason").isNotNull())
-        store.append("quarantine", bad.select(
-            F.lit(feed).alias("feed"), F.lit(batch_id).alias("batch_id"), "reject_reason",
-            F.to_json(F.struct(*batch.columns)).alias("record")))
-        counts = read.get
-        if limit is not None:
-            rate_guard(counts["rows"] - counts["rejected"], limit, feed)
-        return write(marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")), counts
-    finally:
-        marked.unpersist()
-
+@dataclass
+class Feed:
+    """What differs between the feeds: rules, stored names, and what happens after the insert."""
+    name: str
+    schema: object
+    rules: list
+    table: str
+    renames: dict
+    prepare: Callable[[DataFrame], DataFrame]
+    after: Callable[[DataFrame, int], None]
+    limit: int | None = None
+
+    def handler(self, store: Store, same_day: bool = True) -> Handler:
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            if batch.isEmpty():
+                return
+            with staged_tables(store.spark):
+                self._handle(store, batch, batch_id, same_day)
+        return handle
+
+    def _handle(self, store: Store, batch: DataFrame, batch_id: int, same_day: bool) -> None:
+        seen = Observation()
+        marked = with_reason(batch, self.rules).observe(
+            seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col("reject_reason").isNotNull()).alias("rejected")).persist()
+        try:
+            marked.count()
+            counts = seen.get
+            if self.limit is not None and counts["read"] - counts["rejected"] > self.limit:
+                raise BatchTooLarge(f"batch {batch_id} of {self.name}: more than {self.limit} valid records")
+            text = F.to_json(F.struct(*[c for c in batch.columns if c != CORRUPT]))
+            raw = F.coalesce(F.col(CORRUPT), text) if CORRUPT in batch.columns else text
+            store.replace_batch("quarantine", self.name, batch_id, marked.filter("reject_reason IS NOT NULL").select(
+                "reject_reason", raw.alias("record")))
+            valid = marked.filter("reject_reason IS NULL").drop("reject_reason", CORRUPT).withColumnsRenamed(self.renames)
+            flagged = Observation()
+            rows = with_processing_time(self.prepare(valid), F.lit(store.now()))
+            if "predicted_anomaly" in rows.columns:
+                rows = rows.observe(flagged, F.count_if(F.col("predicted_anomaly")).alias("n"))
+            new = store.insert_if_absent(self.table, rows, store.days_of(valid) if same_day else None)
+            store.record_batch(self.name, batch_id, counts["read"], counts["rejected"], new,
+                               (flagged.get.get("n", 0) if "predicted_anomaly" in rows.columns else None))
+            self.after(valid, batch_id)
+        finally:
+            marked.unpersist()
+
+
+def vitals_feed(store: Store, score: Callable[[DataFrame], DataFrame], slide: int = CLUSTER_WINDOW_MINUTES,
+                limit: int | None = None) -> Feed:
+    """Scored readings. ``score`` adds anomaly_score and predicted_anomaly; windows that already
+    have clusters get their risk again, so risk follows readings that come late."""
+    return Feed("vitals", schemas.READING, reading_rules(), "vitals_results", {"region_id": "region"}, score,
+                lambda valid, _: refresh_risk(store, slide, valid), limit)
+
+
+def reports_feed(store: Store, slide: int = CLUSTER_WINDOW_MINUTES, lateness: timedelta | None = None,
+                 limit: int | None = None) -> Feed:
+    """Reports; the windows they fall in, and only those, are clustered again.
+
+    With ``lateness``, reports older than the newest one stored before the batch by more than that
+    are stored and listed in ``late_reports``, but re-open nothing.
+    """
+    names = {"region_id": "region", "symptom_category": "symptom_type"}
+    newest: dict[str, int | None] = {}
 
-def _record(store: Store, feed: str, batch_id: int, counts: dict, new: int, flagged: int | None) -> None:
-    row = (feed, batch_id, counts["rows"], counts["rejected"], new, flagged)
-    store.append("batch_metrics", store.spark.createDataFrame(
-        [row], "feed string, batch_id bigint, rows_read bigint, rows_rejected bigint, rows_new bigint,"
-               " rows_flagged bigint").withColumn("recorded_at", F.current_timestamp()))
+    def before(valid: DataFrame) -> DataFrame:
+        newest["at"] = store.newest_micros("geo_events") if lateness is not None else None
+        return valid
 
+    def after(valid: DataFrame, batch_id: int) -> None:
+        if newest["at"] is not None:
+            late = F.unix_micros("event_time") < F.lit(newest["at"] - int(lateness.total_seconds() * 1e6))
+            store.replace_batch("late_reports", "reports", batch_id, with_processing_time(valid.filter(late), F.lit(store.now())))
+            valid = valid.filter(~late)
+        update_windows(store, valid, slide)
 
-def vitals_handler(store: Store, score: Callable[[DataFrame], DataFrame], limit: int | None = None,
-                   same_day: bool = False) -> Handler:
-    """Store scored readings. ``score`` adds anomaly_score and predicted_anomaly."""
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        flags = Observation()
+    return Feed("reports", schemas.REPORT, report_rules(), "geo_events", names, before, after, limit)
 
-        def write(valid: DataFrame) -> int:
-            rows = with_processing_time(score(valid.withColumnRenamed("region_id", "region")), datetime.now())
-            rows = rows.observe(flags, F.count_if(F.col("predicted_anomaly")).alias("n"))
-            return store.insert_if_absent("vitals_results", rows, same_day)
 
-        with staged_tables(store.spark):
-            new, counts = _accept(store, "vitals", batch, batch_id, reading_rules(), limit, write)
-            _record(store, "vitals", batch_id, counts, new, flags.get.get("n", 0))
-    return handle
+def vitals_handler(store: Store, score: Callable[[DataFrame], DataFrame], limit: int | None = None, same_day: bool = True) -> Handler:
+    return vitals_feed(store, score, limit=limit).handler(store, same_day)
 
 
 def reports_handler(store: Store, slide: int = CLUSTER_WINDOW_MINUTES, lateness: timedelta | None = None,
-                    limit: int | None = None, same_day: bool = False) -> Handler:
-    """Store reports, then recompute the windows they fall in, and only those.
+                    limit: int | None = None, same_day: bool = True) -> Handler:
+    return reports_feed(store, slide, lateness, limit).handler(store, same_day)
 
-    A late report re-opens its windows. With ``lateness``, reports older than the newest
-    stored one by more than that are stored and listed in ``late_reports``, but re-open nothing.
-    """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        newest = store.latest_report_time() if lateness is not None else None
-
-        def write(valid: DataFrame) -> int:
-            rows = with_processing_time(
-                valid.withColumnsRenamed({"region_id": "region", "symptom_category": "symptom_type"}), datetime.now())
-            new = store.insert_if_absent("geo_events", rows, same_day)
-            in_time = rows
-            if newest is not None:
-                late = F.col("event_time") < F.lit(newest - lateness)
-                store.append("late_reports", rows.filter(late))
-                in_time = rows.filter(~late)
-            update_windows(store, in_time, slide)
-            return new
-
-        with staged_tables(store.spark):
-            new, counts = _accept(store, "reports", batch, batch_id, report_rules(), limit, write)
-            _record(store, "reports", batch_id, counts, new, None)
-    return handle
+
+def _touched(rows: DataFrame, minutes: int, slide: int) -> DataFrame:
+    return window_members(rows.select("event_time"), minutes, slide).select("window_end").distinct()
 
 
 def update_windows(store: Store, touched_by: DataFrame, slide: int = CLUSTER_WINDOW_MINUTES) -> None:
     """Cluster and score again every window that holds one of the given reports."""
     minutes = CLUSTER_WINDOW_MINUTES
-    ends = window_members(touched_by.select("event_time"), minutes, slide).select("window_end").distinct()
-    first, last = ends.agg(F.min("window_end"), F.max("window_end")).first()
-    if first is None:
+    ends = _touched(touched_by, minutes, slide)
+    windows = store.windows_of(ends)
+    if not windows:
         return
-    start = first - timedelta(minutes=minutes)
-    reports = store.read_range("geo_events", start, last)
-    members = window_members(reports, minutes, slide).join(ends, "window_end", "left_semi")
+    days = store.days_of(ends.select(F.explode(F.array("window_end", F.col("window_end") - F.expr(f"INTERVAL {minutes} MINUTES"))).alias("event_time")))
+    members = window_members(store.read_days("geo_events", days), minutes, slide).join(ends, "window_end", "left_semi")
     labelled = find_clusters(members.select("window_end", "event_id", "event_time", "latitude", "longitude",
                                             "region", "case_count"))
     now = F.current_timestamp()
-    store.overwrite_windows("assignments", labelled)
-    store.overwrite_windows("clusters", cluster_summary(labelled).withColumn("calculated_at", now))
-    risk = risk_of_windows(labelled, store.read_range("vitals_results", start, last), minutes, slide)
-    store.overwrite_windows("region_risk", risk.withColumn("calculated_at", now))
+    store.overwrite_windows("assignments", labelled, windows)
+    store.overwrite_windows("clusters", cluster_summary(labelled).withColumn("calculated_at", now), windows)
+    risk = risk_of_windows(labelled, store.read_days("vitals_results", days), minutes, slide)
+    store.overwrite_windows("region_risk", risk.withColumn("calculated_at", now), windows)
+
+
+def refresh_risk(store: Store, slide: int = CLUSTER_WINDOW_MINUTES, touched_by: DataFrame | None = None) -> None:
+    """Risk of stored windows from stored assignments, for readings that came after the reports.
+
+    ``touched_by`` limits it to the windows that hold one of those readings.
+    """
+    minutes = CLUSTER_WINDOW_MINUTES
+    assigned = store.read("assignments")
+    readings, reports = store.read("vitals_results"), store.read("geo_events")
+    if touched_by is not None:
+        ends = _touched(touched_by, minutes, slide)
+        days = store.days_of(ends.select(F.explode(F.array("window_end", F.col("window_end") - F.expr(f"INTERVAL {minutes} MINUTES"))).alias("event_time")))
+        assigned = store.read_days("assignments", days).join(ends, "window_end", "left_semi")
+        readings, reports = store.read_days("vitals_results", days), store.read_days("geo_events", days)
+    windows = store.windows_of(assigned.select("window_end").distinct())
+    if not windows:
+        return
+    members = assigned.join(reports.select("event_id", "region", "case_count"), "event_id")
+    risk = risk_of_windows(members, readings, minutes, slide)
+    store.overwrite_windows("region_risk", risk.withColumn("calculated_at", F.current_timestamp()), windows)
+
+
+def publish_forecasts(store: Store) -> None:
+    """Forecast every series of the stored reports and replace the forecast table."""
+    cases = store.read("geo_events").select("event_time", "region", "symptom_type", "case_count")
+    history = series_history(cases)
+    rows = trend_forecast(history).withColumn("generated_at", F.current_timestamp())
+    store.replace("forecasts", rows)
 
 
-def refresh_risk(store: Store, slide: int = CLUSTER_WINDOW_MINUTES) -> None:
-    """Risk of all stored windows from stored assignments, for readings that came after the reports."""
-    members = store.read("assignments").join(store.read("geo_events").select("event_id", "region", "case_count"), "event_id")
-    risk = risk_of_windows(members, store.read("vitals_results"), CLUSTER_WINDOW_MINUTES, slide)
-    store.overwrite_windows("region_risk", risk.withColumn("calculated_at", F.current_timestamp()))
+TRIGGERS = {"once": {"availableNow": True}, "continuous": {"processingTime": f"{TRIGGER_SECONDS} seconds"}}
 
 
-def start_feed(stream: DataFrame, name: str, handler: Handler, checkpoint: str, mode: str) -> StreamingQuery:
+def start_feed(stream: DataFrame, name: str, handler: Handler, checkpoint: str, mode: str):
     """'once' drains what is there and stops; 'continuous' looks for files every few seconds."""
-    writer = stream.writeStream.queryName(name).foreachBatch(handler).option("checkpointLocation", checkpoint)
-    if mode == "once":
-        return writer.trigger(availableNow=True).start()
-    if mode == "continuous":
-        return writer.trigger(processingTime=f"{TRIGGER_SECONDS} seconds").start()
-    raise ValueError(f"Unknown mode: {mode}")
+    if mode not in TRIGGERS:
+        raise ValueError(f"Unknown mode: {mode}")
+    return stream.writeStream.queryName(name).foreachBatch(handler).option(
+        "checkpointLocation", checkpoint).trigger(**TRIGGERS[mode]).start()
 
 
 def without_replays(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Drop replays inside the stream, with state bounded by the delay.
 
-    The store ignores replays anyway; this keeps them from being scored again.
+    Records without a time or key pass, so that they are still counted and rejected.
     """
     return stream.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def run(spark: SparkSession, store: Store, vitals_dir: str, reports_dir: str, score: Callable[[DataFrame], DataFrame],
         mode: str, stop_after: float | None = None, slide: int = CLUSTER_WINDOW_MINUTES,
-        lateness: timedelta | None = None, same_day: bool = False) -> None:
+        lateness: timedelta | None = None, same_day: bool = True) -> None:
     """Run both feeds. In 'once' mode readings come first, so risk sees all of them.
 
-    Set ``same_day`` where a replayed event keeps its event time: each batch then looks for
-    stored copies on its own days only, however old the store is.
+    With ``same_day`` a batch looks for stored copies on its own days only, which is enough where a
+    replayed event keeps its event time. A failing query ends the run with its own exception.
     """
     store.create()
-    feeds = [
-        ("vitals", vitals_dir, schemas.READING, vitals_handler(store, score, same_day=same_day)),
-        ("reports", reports_dir, schemas.REPORT, reports_handler(store, slide, lateness, same_day=same_day)),
-    ]
-    queries: list[StreamingQuery] = []
+    feeds = [(vitals_feed(store, score, slide), vitals_dir), (reports_feed(store, slide, lateness), reports_dir)]
+    running = []
     try:
-        for name, folder, schema, handler in feeds:
-            queries.append(start_feed(stream_json(spark, folder, schema), name, handler,
-                                      f"{store.root}/checkpoints/{name}", mode))
+        for feed, folder in feeds:
+            running.append(start_feed(stream_json(spark, folder, feed.schema), feed.name, feed.handler(store, same_day),
+                                      f"{store.root}/checkpoints/{feed.name}", mode))
             if mode == "once":
-                queries[-1].awaitTermination()
+                running[-1].awaitTermination()
         if mode == "continuous":
-            deadline = None if stop_after is None else datetime.now() + timedelta(seconds=stop_after)
-            while all(query.isActive for query in queries):
-                if deadline is not None and datetime.now() >= deadline:
-                    break
-                queries[0].awaitTermination(1)
-            for query in queries:
-                if query.exception() is not None:
-                    raise RuntimeError(f"Query '{query.name}' failed: {query.exception()}")
+            spark.streams.resetTerminated()
+            if stop_after is None:
+                spark.streams.awaitAnyTermination()
+            else:
+                end = time.monotonic() + stop_after
+                spark.streams.awaitAnyTermination(max(1, int(end - time.monotonic())))
+            for query in running:  # one that failed hands its exception on
+                if not query.isActive:
+                    query.awaitTermination()
     finally:
-        for query in queries:
-            if query.isActive:
-                query.stop()
+        for query in running:
+            query.stop()

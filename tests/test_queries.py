@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from catalog.oracles import all_oracles
+from catalog.queries import all_queries
 from compare import connect, differences
 
 FOLDER = f"/root/testdata/sf{os.environ.get('SURVEIL_TEST_SF', '0.01')}"
-ORACLES = driver.oracle_sql()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -25,9 +27,10 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_registered_keys():
-    without = set(driver.queries()) - set(ORACLES)
+    assert set(all_queries()) <= set(driver.queries())
+    without = set(all_queries()) - set(ORACLES)
     assert without == {"forest_nodes", "forest_flags", "forest_evaluation", "piecewise_forecast"}
-    assert set(ORACLES) <= set(driver.queries())
+    assert set(ORACLES) <= set(all_queries())
 
 
 def test_entry_has_six_rows_per_window(spark):

@@ -150,8 +150,8 @@ def test_labels_must_be_one_to_one(spark):
     verdicts = spark.createDataFrame([("a", True), ("b", False)], "event_id string, v boolean")
     labels = spark.createDataFrame([("a", True), ("a", False)], "event_id string, l boolean")
     assert rows_of(evaluate.label_audit(verdicts, labels)) == [(1, 1, 0, 1)]
-    with pytest.raises(ValueError, match="not one to one"):
-        evaluate.label_join(verdicts, labels, strict=True)
+    with pytest.raises(Exception, match="not one label per verdict"):
+        evaluate.label_join(verdicts, labels, strict=True).collect()
 
 
 def test_evaluation_table_keeps_older_results(spark):
@@ -207,10 +207,22 @@ def test_positions(spark):
     assert moved[0] == round(12.97 + 1 / 111.32, 6) and 77.59 < moved[1] < 77.6
 
 
-def test_rate_guard_and_display(spark):
-    validate.rate_guard(10, 10, "vitals")
-    with pytest.raises(RuntimeError, match="11 rows"):
-        validate.rate_guard(11, 10, "vitals")
+def test_label_columns_are_found_at_any_depth(spark):
+    frame = spark.sql("SELECT 1 AS Is_Anomaly, named_struct('outbreak_id', 2) AS s, array(named_struct('is_corrupt', 3)) AS a, 4 AS event_id")
+    assert validate.label_columns(frame.schema) == ["Is_Anomaly", "outbreak_id", "is_corrupt"]
+
+
+def test_a_verdict_needs_exactly_one_label(spark):
+    verdicts = spark.createDataFrame([("a", True), ("b", False)], "event_id string, flag boolean")
+    labels = spark.createDataFrame([("a", True), ("b", True), ("c", True)], "event_id string, truth boolean")
+    assert sorted(map(tuple, evaluate.label_join(verdicts, labels).collect())) == [("a", True, True), ("b", False, True)]
+    for left, right in ((verdicts, labels.filter("event_id <> 'b'")), (verdicts, labels.union(labels)), (verdicts.union(verdicts), labels)):
+        with pytest.raises(Exception, match="not one label per verdict"):
+            evaluate.label_join(left, right).collect()
+    assert evaluate.label_join(verdicts, labels.filter("event_id = 'a'"), strict=False).count() == 1
+
+
+def test_display(spark):
     row = spark.range(1).select(display.region_name(F.lit("R6")), display.region_name(F.lit("R9")),
                                 display.yes_no(F.lit(False)), display.nan_to_null(F.lit(float("nan")))).first()
     assert tuple(row) == ("Lake District", None, "No", None)

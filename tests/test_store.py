@@ -1,7 +1,7 @@
 """Result store and file sources."""
 
 import json
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -41,17 +41,20 @@ def test_status_names_and_unknown_tables(spark, tmp_path):
     with pytest.raises(ValueError, match="Unknown table"):
         store.read("other")
     assert {r["table_name"]: r["rows"] for r in store.counts().collect()}["geo_events"] == 0
-    assert store.latest_report_time() is None
+    assert store.newest_micros("geo_events") is None
 
 
 @pytest.mark.parametrize("same_day", [False, True])
 def test_first_stored_copy_wins(spark, store, same_day):
-    assert store.insert_if_absent("geo_events", reports(spark, report(1, 0), report(2, 60), report(1, 0, 9.0)), same_day) == 2
-    assert store.insert_if_absent("geo_events", reports(spark, report(1, 0, 60.0), report(3, 1500)), same_day) == 1
-    assert store.insert_if_absent("geo_events", reports(spark, report(3, 1500)).limit(0), same_day) == 0
+    def insert(*rows):
+        frame = reports(spark, *rows)
+        return store.insert_if_absent("geo_events", frame, store.days_of(frame) if same_day else None)
+    assert insert(report(1, 0), report(2, 60), report(1, 0, 9.0)) == 2
+    assert insert(report(1, 0, 60.0), report(3, 1500)) == 1
+    assert insert() == 0
     kept = {r["event_id"]: r["latency_seconds"] for r in store.read("geo_events").collect()}
     assert kept == {"G-1": 0.0, "G-2": 0.0, "G-3": 0.0}
-    assert store.latest_report_time() == T0 + timedelta(minutes=1500)
+    assert store.newest_micros("geo_events") == int((T0 + timedelta(minutes=1500)).replace(tzinfo=timezone.utc).timestamp() * 1e6)
 
 
 def test_range_is_open_left_and_prunes_days(spark, store):
@@ -75,6 +78,13 @@ def test_overwrite_touches_only_its_windows(spark, store):
         "20240101T0100-0", "20240101T0200-0", "20240101T0200-1"]
 
 
+def test_a_recomputed_window_without_rows_is_empty(spark, store):
+    both = cluster(spark, 1, 3).unionByName(cluster(spark, 2, 2))
+    store.overwrite_windows("clusters", both, store.windows_of(both))
+    store.overwrite_windows("clusters", cluster(spark, 2, 1), store.windows_of(both))
+    assert [r["cluster_id"] for r in store.read("clusters").collect()] == ["20240101T0200-0"]
+
+
 def test_last_assignment_decides(spark, store):
     store.insert_if_absent("geo_events", reports(spark, report(1, 0), report(2, 1)))
     one, two = datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 2)
@@ -85,7 +95,7 @@ def test_last_assignment_decides(spark, store):
 
 
 def forecast(spark, values):
-    return spark.createDataFrame([(T0 + timedelta(minutes=15 * i), v, 0.0, 9.0, T0, 12) for i, v in enumerate(values)],
+    return spark.createDataFrame([("total", "all", T0 + timedelta(minutes=15 * i), v, 0.0, 9.0, T0, 12) for i, v in enumerate(values)],
                                  schemas.FORECAST)
 
 
@@ -99,6 +109,11 @@ def test_forecast_is_replaced_or_kept_whole(spark, store):
     assert sorted(r["predicted_cases"] for r in store.read("forecasts").collect()) == [4.0, 5.0]
 
 
+def test_not_a_number_is_stored_as_null(spark, store):
+    store.replace("forecasts", forecast(spark, [float("nan")]))
+    assert store.read("forecasts").first()["predicted_cases"] is None
+
+
 def test_reset_deletes_stores_only(spark, store, tmp_path):
     (tmp_path / "other").mkdir()
     with pytest.raises(ValueError, match="is not a store"):
