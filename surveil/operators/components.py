@@ -1,60 +1,22 @@
 """Connected components of many independent graphs at once.
 
-Each graph (here: the cells of one time window) is named by ``group``. Nodes are bigint ids.
-Graphs of a checked, small size are labelled inside a grouped task; larger ones go through
-rounds of star contraction (large-star / small-star, Kiveris et al., SoCC 2014), where every
-step is a grouped minimum and a join.
+Each graph (here: the cells of one time window) is named by ``group``. Nodes are bigint ids. All
+graphs go through the same rounds of star contraction (large-star / small-star, Kiveris et al.,
+SoCC 2014); every step is a grouped minimum and a join, and every round is staged.
 """
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveil.session import stage
 
-SMALL_GRAPH_EDGES = 200_000
 
-
-def connected_components(edges: DataFrame, group: str, small: int = SMALL_GRAPH_EDGES) -> DataFrame:
+def connected_components(edges: DataFrame, group: str) -> DataFrame:
     """(group, node, component) for every node of ``edges(group, a, b)``.
 
     ``component`` is the smallest node id of its component. ``edges`` should be staged: it
     is read more than once.
     """
-    sizes = edges.groupBy(group).agg(F.count("*").alias("_edges"))
-    large_groups = sizes.filter(F.col("_edges") > small).select(group)
-    # at most |edges| / small groups are large, so this list is small next to the edges
-    if large_groups.isEmpty():
-        return _label_in_tasks(edges, group)
-    few = edges.join(large_groups, group, "left_anti")
-    many = edges.join(large_groups, group, "left_semi")
-    return _label_in_tasks(few, group).unionByName(_contract(many, group))
-
-
-def _label_in_tasks(edges: DataFrame, group: str) -> DataFrame:
-    def label(frame: pd.DataFrame) -> pd.DataFrame:
-        nodes, ends = np.unique(frame[["a", "b"]].to_numpy(), return_inverse=True)
-        ends = ends.reshape(-1, 2)
-        root = np.arange(len(nodes))
-        while True:
-            low = np.minimum(root[ends[:, 0]], root[ends[:, 1]])
-            new = root.copy()
-            np.minimum.at(new, root[ends[:, 0]], low)
-            np.minimum.at(new, root[ends[:, 1]], low)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
-        return pd.DataFrame({
-            group: frame[group].iloc[0], "node": nodes, "component": nodes[root]})
-
-    kind = edges.schema[group].dataType.simpleString()
-    return edges.select(group, "a", "b").groupBy(group).applyInPandas(
-        label, f"{group} {kind}, node bigint, component bigint")
-
-
-def _contract(edges: DataFrame, group: str) -> DataFrame:
     nodes = edges.select(group, F.explode(F.array("a", "b")).alias("node")).distinct()
     links = _oriented(edges, group)
     before = None

@@ -12,7 +12,7 @@ Clusters are components of the cell graph: core points of a cell belong together
 cells are linked when some core point of one is within ``eps`` of some core point of the other.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveil.constants import CLUSTER_EPS_KM, CLUSTER_MIN_SAMPLES
@@ -22,7 +22,9 @@ from surveil.operators.skew import ROWS_PER_SALT, hot_keys, salted_join
 from surveil.operators.validate import without_labels
 from surveil.session import stage
 
-PAIRWISE_LIMIT = 256   # up to this many point pairs, two boxes are compared point by point
+# Up to this many point pairs, two boxes are compared point by point; beyond, they are split and decided
+# again. It moves work between two ways of the same exact decision and changes no result.
+PAIRWISE_LIMIT = 256
 SPLIT = 4              # otherwise each box is split into SPLIT x SPLIT parts
 _KEY = ["window_end", "cell"]
 
@@ -107,10 +109,11 @@ class _Grid:
         return self._cool(self.points).join(self.cells.filter(~self.dense()).select(*_KEY, "n"), _KEY)
 
     def _cool(self, points: DataFrame) -> DataFrame:
-        """Points without those of hot cells (dense ones), dropped before a shuffle by cell."""
-        if self.hot is None or self.m > ROWS_PER_SALT:
+        """Points without those of hot dense cells, dropped before a shuffle by cell."""
+        if self.hot is None:
             return points
-        return points.join(F.broadcast(self.hot.select(*_KEY)), _KEY, "left_anti")
+        hot = self.cells.filter((F.col("n") > ROWS_PER_SALT) & self.dense()).select(*_KEY)
+        return points.join(hot, _KEY, "left_anti")
 
     def neighbours(self, sparse: DataFrame) -> DataFrame:
         """(window_end, s, s_cell, cell, t, found): neighbours of each sparse point elsewhere.
@@ -282,6 +285,21 @@ def core_and_members(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,
         grid.alone.select(*columns, F.lit(False).alias("is_core"), F.lit(False).alias("in_cluster")))
 
 
+def _numbered(clusters: DataFrame) -> DataFrame:
+    """(window_end, component, cluster_no): clusters of a window numbered from 0 by ``_first``.
+
+    Clusters are counted per second of their first event; a window has few seconds, so the sums
+    over them are small, and the clusters themselves are ranked second by second.
+    """
+    timed = stage(clusters.withColumn("_second", F.unix_seconds(F.col("_first.event_time").cast("timestamp"))), "clusters")
+    seconds = timed.groupBy("window_end", "_second").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("window_end").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    seconds = seconds.select("window_end", "_second", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("window_end", "_second").orderBy("_first")
+    return timed.withColumn("_place", F.row_number().over(within)).join(seconds, ["window_end", "_second"]).select(
+        "window_end", "component", (F.col("_before") + F.col("_place") - 1).cast("int").alias("cluster_no"))
+
+
 def find_clusters(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,
                   min_samples: int = CLUSTER_MIN_SAMPLES) -> DataFrame:
     """``members`` with ``is_core``, ``in_cluster``, ``cluster_no`` (-1 = noise) and ``cluster_id``.
@@ -312,9 +330,7 @@ def find_clusters(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,
     first_sparse = sparse.filter("is_core").groupBy(*_KEY).agg(F.min(position).alias("_first"))
     clusters = components.join(first_dense.unionByName(first_sparse), _KEY).groupBy(
         "window_end", "component").agg(F.min("_first").alias("_first"))
-    # one row per cluster and window, not per event
-    order = "dense_rank() OVER (PARTITION BY window_end ORDER BY _first) - 1"
-    numbered = clusters.select("window_end", "component", F.expr(order).alias("cluster_no"))
+    numbered = _numbered(clusters)
     labels = stage(components.join(numbered, ["window_end", "component"]).select(*_KEY, "cluster_no"), "labels")
 
     dense = _dense_points(grid, labels.join(dense_cells, _KEY, "left_semi")).withColumn(

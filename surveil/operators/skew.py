@@ -3,22 +3,14 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000            # hot keys are broadcast, so their number is fixed
 ROWS_PER_SALT = 200_000
 
 
 def hot_keys(sizes: DataFrame, keys: list[str], size: str,
              rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """The largest keys and the number of parts each is split into.
-
-    At most ``HOT_KEYS`` rows come out: beyond them a key holds less than a thousandth of
-    all rows, and one task can take it.
-    """
-    return (
-        sizes.filter(F.col(size) > rows_per_salt)
-        .select(*keys, F.ceil(F.col(size) / rows_per_salt).cast("int").alias("_parts"))
-        .orderBy(F.desc("_parts"), *keys).limit(HOT_KEYS)
-    )
+    """Every key with more rows than one task should take, and the number of parts it is split into."""
+    return sizes.filter(F.col(size) > rows_per_salt).select(
+        *keys, F.ceil(F.col(size) / rows_per_salt).cast("int").alias("_parts"))
 
 
 def salted_join(rows: DataFrame, few: DataFrame, keys: list[str], hot: DataFrame | None,
@@ -31,7 +23,6 @@ def salted_join(rows: DataFrame, few: DataFrame, keys: list[str], hot: DataFrame
     """
     if hot is None:
         return rows.join(few, keys, how)
-    hot = F.broadcast(hot)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     left = (rows.join(hot, keys, "left")
             .withColumn("_part", F.pmod(F.xxhash64(spread), parts).cast("int")).drop("_parts"))
