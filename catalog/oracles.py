@@ -365,6 +365,9 @@ QUERIES: dict[str, str] = {
     "active_clusters": f"""SELECT cluster_id, region, {_REGION_NAME} AS region_name, event_count, total_cases,
         round_even(center_latitude, 4) AS center_latitude, round_even(center_longitude, 4) AS center_longitude
         FROM summary x WHERE window_end = (SELECT max(window_end) FROM risk)""",
+    "last_clusters": f"""SELECT cluster_id, region, {_REGION_NAME} AS region_name, event_count, total_cases,
+        round_even(center_latitude, 4) AS center_latitude, round_even(center_longitude, 4) AS center_longitude
+        FROM summary x WHERE window_end = (SELECT max(window_end) FROM summary)""",
     "risk_table": f"""SELECT region, {_REGION_NAME} AS region_name, anomaly_rate, clustered_cases, anomaly_part,
         cluster_part, risk_score, risk_level FROM newest_risk x""",
     "time_extent": """SELECT min(event_time) AS first_time, max(event_time) AS last_time FROM (

@@ -323,6 +323,12 @@ def active_clusters(f):
     return reports.active_clusters(reports.latest_rows(clusters.cluster_summary(labelled), labelled))
 
 
+def last_clusters(f):
+    """Clusters of the newest window that has any."""
+    found = clusters.cluster_summary(_labelled(f))
+    return reports.active_clusters(reports.latest_rows(found))
+
+
 def risk_table(f):
     return reports.risk_table(_latest_risk(f))
 
@@ -406,7 +412,7 @@ REGISTERED = [
     label_join, label_join_audit, region_risk, risk_map, semi_filter, window_members, neighbour_degree,
     nearest_region, outbreak_members, cluster_summary, case_history, latest_event_time, headline,
     latency_summary, confusion_metrics, recall_by_type, outbreaks_detected, reconciliation, symptom_options,
-    latest_risk, active_clusters, risk_table, time_extent, scaled_vitals, forest_nodes, forest_score_fixed,
+    latest_risk, active_clusters, last_clusters, risk_table, time_extent, scaled_vitals, forest_nodes, forest_score_fixed,
     forest_flags, forest_evaluation, dbscan_core, dbscan_labels, trend_forecast, piecewise_forecast,
     forecast_eligibility, causal_outbreak_flags, history_and_forecast, forecast_staleness, evaluation_table,
 ]

@@ -6,11 +6,12 @@ group. The model is a table of tree nodes whose size depends on its parameters o
 (trees x 2^depth), so it can be sent to every task.
 """
 
+import time
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from surveil.operators.quantiles import exact_quantiles
 from surveil.operators.validate import without_labels
 from surveil.session import stage
 
-SAMPLE_ROWS = 256
+SAMPLE_ROWS = 256   # rows per tree by default, as in the paper of the method
 NODE_SCHEMA = "tree int, node int, feature int, split double, path_len double"
 _EULER = 0.5772156649
 
@@ -63,29 +64,29 @@ def scale_vitals(readings: DataFrame, keys: list[str]) -> DataFrame:
                                            [stats[f"sd_{v}"] for v in VITALS]))
 
 
-def _draw(readings: DataFrame, rows: int, trees: int, seed: int, key: str) -> DataFrame:
+def _draw(readings: DataFrame, rows: int, sample: int, trees: int, seed: int, key: str) -> DataFrame:
     """(tree, _order, ...) candidates, about three times what each tree needs.
 
-    The number of candidates is fixed, whatever the number of rows: large inputs are thinned
-    by one hash per row, and a row is offered to as many trees as the target needs.
+    One rule for any number of rows: every row is offered ``3 * sample * trees / rows`` times, each
+    time to a tree drawn by hash; below one offer, a row is offered with that probability.
     """
-    if rows <= 3 * SAMPLE_ROWS:
-        offered = readings.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    else:
-        offers = 3.0 * SAMPLE_ROWS * trees / rows
-        if offers < 1:
-            share = F.expr(f"(xxhash64({key}, {seed}) & 9007199254740991L) / 9007199254740992.0D")
-            readings = readings.filter(share < offers)
-        offered = readings.withColumn(
-            "_offer", F.explode(F.sequence(F.lit(1), F.lit(max(1, int(np.ceil(offers))))))).withColumn(
-            "tree", F.expr(f"CAST(pmod(xxhash64({key}, {seed}, _offer), {trees}) AS INT)"))
-        offered = offered.drop("_offer").dropDuplicates(["tree", key])
-    return offered.withColumn("_order", F.expr(f"xxhash64({key}, {seed}, tree, 'order')"))
+    offers = 3.0 * sample * trees / rows
+    share = F.expr(f"(xxhash64({key}, {seed}) & 9007199254740991L) / 9007199254740992.0D")
+    times = F.floor(F.lit(offers)).cast("int") + (share < offers - np.floor(offers)).cast("int")
+    offered = readings.withColumn("_times", times).filter("_times > 0").withColumn(
+        "_offer", F.explode(F.sequence(F.lit(1), F.col("_times")))).withColumn(
+        "tree", F.expr(f"CAST(pmod(xxhash64({key}, {seed}, _offer), {trees}) AS INT)"))
+    return offered.drop("_offer", "_times").dropDuplicates(["tree", key]).withColumn(
+        "_order", F.expr(f"xxhash64({key}, {seed}, tree, 'order')"))
 
 
 def train(readings: DataFrame, trees: int = FOREST_TREES, contamination: float = FOREST_CONTAMINATION,
-          seed: int = FOREST_SEED, key: str = "event_id") -> Forest:
-    """Train on the vital signs alone; the same data, seed and keys give the same model."""
+          seed: int = FOREST_SEED, key: str = "event_id", sample_rows: int = SAMPLE_ROWS) -> Forest:
+    """Train on the vital signs alone; the same data, seed and keys give the same model.
+
+    ``sample_rows`` is the algorithm's own parameter: each tree isolates a sample of that many
+    rows. Scaling and the threshold use every row.
+    """
     without_labels(readings)
     readings = readings.select(key, *VITALS)
     stats = feature_stats(readings).first()
@@ -93,9 +94,9 @@ def train(readings: DataFrame, trees: int = FOREST_TREES, contamination: float =
         raise ValueError("No readings to train on.")
     means = [stats[f"avg_{v}"] for v in VITALS]
     deviations = [stats[f"sd_{v}"] for v in VITALS]
-    sample = min(SAMPLE_ROWS, stats["n"])
+    sample = min(sample_rows, stats["n"])
     depth = max(1, int(np.ceil(np.log2(max(sample, 2)))))
-    drawn = _draw(readings, stats["n"], trees, seed, key).select(
+    drawn = _draw(readings, stats["n"], sample_rows, trees, seed, key).select(
         "tree", "_order", key, *_scaled(means, deviations))
     nodes = stage(drawn.groupBy("tree").applyInPandas(_grower(sample, depth, seed, key), NODE_SCHEMA),
                   "forest")
@@ -198,20 +199,27 @@ def score_boxes(readings: DataFrame, boxes: list[tuple[int, dict, float]], norm:
 
 
 def save(forest: Forest, path: str) -> None:
-    """Write the model as two tables; the summary comes last, so a half-written model is never read."""
+    """Add a version of the model under ``path``; versions already there are not touched.
+
+    A version counts once its summary is committed, and that is written last, so a reader gets
+    trees and threshold of the same model, the old one or the new one.
+    """
     spark = forest.nodes.sparkSession
-    forest.nodes.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    version = f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    forest.nodes.coalesce(1).write.parquet(f"{version}/nodes")
     row = (forest.means, [float(sd or 0.0) for sd in forest.deviations], forest.sample_rows, forest.depth,
            float(forest.threshold))
     spark.createDataFrame([row], "means array<double>, deviations array<double>, sample_rows int,"
-                                 " depth int, threshold double").coalesce(1).write.mode(
-        "overwrite").parquet(f"{path}/summary")
+                                 " depth int, threshold double").coalesce(1).write.parquet(f"{version}/summary")
 
 
 def load(spark: SparkSession, path: str) -> Forest:
-    try:
-        row = spark.read.parquet(f"{path}/summary").first()
-    except AnalysisException as error:
-        raise FileNotFoundError(f"No model at {path}; train one and save it there first.") from error
+    """The newest complete version of the model under ``path``."""
+    files = spark._jvm.org.apache.hadoop.fs
+    done = files.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files.Path(f"{path}/*/summary/_SUCCESS"))
+    versions = sorted(status.getPath().getParent().getParent().toString() for status in done or [])
+    if not versions:
+        raise FileNotFoundError(f"No model at {path}; train one and save it there first.")
+    row = spark.read.parquet(f"{versions[-1]}/summary").first()
     return Forest(list(row["means"]), list(row["deviations"]), spark.read.schema(NODE_SCHEMA).parquet(
-        f"{path}/nodes"), row["sample_rows"], row["depth"], row["threshold"])
+        f"{versions[-1]}/nodes"), row["sample_rows"], row["depth"], row["threshold"])
