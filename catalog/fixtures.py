@@ -74,22 +74,23 @@ class Feeds:
             "ts AS created_at", "processed_at", "e % 50 = 0 AS _twice")
         return _with_replays(rows)
 
-    def readings_of(self, *columns: str) -> DataFrame:
+    def readings_of(self, *columns: str, where=None) -> DataFrame:
         """Stored readings: valid, first copy, with the fixed flag standing in for a model.
 
-        Only the named columns (and the key) go through the shuffle that drops copies.
+        Only the named columns (and the key) go through the shuffle that drops copies. ``where`` is applied
+        before that shuffle; it may use whatever the copies of an event share, such as its time and region.
         """
         rows = valid_readings(self.raw_readings).withColumnRenamed("region_id", "region").withColumns({
             "predicted_anomaly": fixed_flag(),
             "latency_seconds": latency_seconds(F.col("created_at"), F.col("processed_at"))})
-        return _first(rows, columns)
+        return _first(rows if where is None else rows.filter(where), columns)
 
-    def reports_of(self, *columns: str) -> DataFrame:
+    def reports_of(self, *columns: str, where=None) -> DataFrame:
         """Stored reports: valid, first copy, renamed; see ``readings_of``."""
         rows = valid_reports(self.raw_reports).drop("region_name").withColumnsRenamed(
             {"region_id": "region", "symptom_category": "symptom_type"}).withColumn(
             "latency_seconds", latency_seconds(F.col("created_at"), F.col("processed_at")))
-        return _first(rows, columns)
+        return _first(rows if where is None else rows.filter(where), columns)
 
     @property
     def readings(self) -> DataFrame:

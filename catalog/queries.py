@@ -75,11 +75,11 @@ def scan_vitals(f):
 
 
 def range_scan_vitals(f):
-    return reports.range_scan(f.readings, START, END).select(*READING_VIEW)
+    return reports.range_scan(f.readings_of(*READING_VIEW, where=reports.after_until(START, END))).select(*READING_VIEW)
 
 
 def range_scan_reports(f):
-    return reports.range_scan(f.reports, START, END).select(*REPORT_VIEW)
+    return reports.range_scan(f.reports_of(*REPORT_VIEW, where=reports.after_until(START, END))).select(*REPORT_VIEW)
 
 
 def insert_if_absent_vitals(f):
@@ -140,12 +140,15 @@ def reject_reasons(f):
 
 
 def filter_readings(f):
-    return reports.filter_readings(f.readings, START, END, ["R1", "R3", "R5"], True).select(*READING_VIEW)
+    regions = ["R1", "R3", "R5"]
+    rows = f.readings_of(*READING_VIEW, where=reports.of_regions(START, END, regions))
+    return reports.filter_readings(rows, START, END, regions, True).select(*READING_VIEW)
 
 
 def filter_reports(f):
-    return reports.filter_reports(f.reports, START, END, ["R2", "R4"], [2, 3, 4], ["error", "view"]).select(
-        *REPORT_VIEW)
+    regions = ["R2", "R4"]
+    rows = f.reports_of(*REPORT_VIEW, where=reports.of_regions(START, END, regions))
+    return reports.filter_reports(rows, START, END, regions, [2, 3, 4], ["error", "view"]).select(*REPORT_VIEW)
 
 
 def store_checks(f):
