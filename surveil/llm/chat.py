@@ -60,10 +60,12 @@ def runs(nodes: DataFrame) -> DataFrame:
     while rounds < 64 and not state.filter("open").isEmpty():
         ahead = state.select("tree", F.col("node").alias("head"), F.col("head").alias("_head"),
                              F.col("step").alias("_step"), F.col("open").alias("_open"))
-        state = stage(state.join(ahead, ["tree", "head"], "left").select(
+        # only stretches whose head is not known yet are joined again
+        moved = state.filter("open").join(ahead, ["tree", "head"], "left").select(
             "tree", "node", "parent", F.coalesce("_head", "head").alias("head"),
             (F.col("step") + F.coalesce("_step", F.lit(0))).alias("step"),
-            (F.col("open") & F.coalesce("_open", F.lit(False)) & (F.col("_head") != F.col("node"))).alias("open")), "runs")
+            (F.coalesce("_open", F.lit(False)) & (F.col("_head") != F.col("node"))).alias("open"))
+        state = stage(moved.unionByName(state.filter("NOT open")), "runs")
         rounds += 1
     return state
 
