@@ -8,8 +8,8 @@ text alone; any passage with three sentences before its last 20 words holds such
 A paragraph is its set of 5-word shingles. Bands are tuned for recall: ``tune`` picks the fewest
 values that miss at most ``MISSED`` of pairs at the threshold, which gives single-value bands.
 Paragraphs with equal shingles are one class. In a bucket each class is compared with the
-smallest; then only pairs whose components still differ. Similarity is exact Jaccard on the full
-sets. Of a component, the paragraphs of its first document stay, and the words of all others are
+smallest; then only pairs whose components still differ. Pairs whose sizes or signature bits rule
+the threshold out are dropped before texts are read. Similarity is exact Jaccard on the full sets. Of a component, the paragraphs of its first document stay, and the words of all others are
 removed, so a passage survives once and clean documents keep all they have. Repeats inside the
 first document are left alone.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveil.llm.components import components
-from surveil.llm.minhash import similar
+from surveil.llm.minhash import LONGS, extracts, promising, renamed, signatures, similar
 from surveil.llm.words import STEP, Words, _constants, as_bytes, mix, shingle_sets, slices
 from surveil.session import release_shuffles, stage, unstage
 
@@ -142,21 +142,27 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def cut(units: DataFrame, docs: DataFrame) -> DataFrame:
-    """(u, piece): the bytes of each class at its first place (doc, s, e)."""
+    """(u, piece, n_shingles, bits): each class at its first place (doc, s, e), with its set size and signature bits."""
     per_doc = units.groupBy("doc").agg(F.collect_list(F.struct("u", "s", "e")).alias("wanted"))
-    rows = per_doc.join(_keyed(docs).select("doc", "text"), "doc").select("text", "wanted")
+    rows = per_doc.hint("merge").join(_keyed(docs).select("doc", "text"), "doc").select("text", "wanted")
 
     def run(batches):
         for batch in batches:
-            names, pieces = [], []
+            names, pieces, sizes, bits = [], [], [], []
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = as_bytes(text)
                 for w in wanted:
                     names.append(w["u"])
                     pieces.append(raw[w["s"]:w["e"]])
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(pieces, pa.binary())], names=["u", "piece"])
+            for part in slices([len(x) for x in pieces]):
+                offsets, hashes = shingle_sets(pieces[part], SHINGLE)
+                sizes += np.diff(offsets).tolist()
+                bits += list(extracts(signatures(offsets, hashes)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), pa.array(pieces, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bits, pa.list_(pa.int64()))],
+                names=["u", "piece", "n_shingles", "bits"])
 
-    return rows.mapInArrow(run, "u long, piece binary")
+    return rows.mapInArrow(run, "u long, piece binary, n_shingles long, bits array<long>")
 
 
 def confirm(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -185,26 +191,33 @@ def removals(docs: DataFrame) -> DataFrame:
     found = stage(parse(docs), "paragraphs", "zstd")
     keyed = found.select("u", F.explode("v").alias("key"))
     # buckets that hold two different classes; copies of one class are reduced before the shuffle
-    buckets = keyed.groupBy("key").agg(F.min("u").alias("leader"), F.max("u").alias("high")).filter("leader <> high").select("key", "leader")
+    leaders = F.array_distinct(F.array(F.min("u"), *[F.min_by("u", F.xxhash64("u", F.lit(i))) for i in range(2)]))
+    buckets = keyed.groupBy("key").agg(leaders.alias("leaders"), F.min("u").alias("low"), F.max("u").alias("high")).filter("low <> high").select("key", "leaders")
+    buckets = stage(buckets, "buckets", "zstd")  # staged, so that a key with very many paragraphs can be split in the join
     members = stage(keyed.join(buckets, "key").distinct(), "members", "zstd")
-    release_shuffles(spark)
-    first = stage(members.filter("u <> leader").select(F.col("leader").alias("a"), F.col("u").alias("b")).distinct(), "pairs")
-    asked = first.select(F.explode(F.array("a", "b")).alias("u")).distinct().withColumn("asked", F.lit(True))
+    asked = members.select("u").distinct().withColumn("asked", F.lit(True))
     classes = found.groupBy("u").agg(F.min(F.struct("doc", "s", "e")).alias("at"), F.min("doc").alias("low"), F.max("doc").alias("high"))
     classes = stage(classes.join(asked, "u", "left").filter("asked OR low <> high").select("u", "at.*", "low", "high", "asked"), "classes", "zstd")
     places = stage(found.select("doc", "s", "e", "u").join(classes.select("u"), "u"), "places", "zstd")
     unstage(found)
     release_shuffles(spark)
     pieces = stage(cut(classes.filter("asked").select("u", "doc", "s", "e"), docs), "pieces", "zstd")
+    release_shuffles(spark)
+    sketch = pieces.select(F.col("u").alias("doc"), "n_shingles", *[F.element_at("bits", i + 1).alias(f"bit{i}") for i in range(LONGS)])
+    first = members.select("u", F.explode("leaders").alias("leader")).filter("u <> leader").select(
+        F.least("leader", "u").alias("a"), F.greatest("leader", "u").alias("b")).distinct()
+    first = first.join(renamed(sketch, "a"), "a").join(renamed(sketch, "b"), "b").filter(promising()).select("a", "b")
+    first = stage(first, "pairs")
     links = stage(confirm(first, pieces), "confirmed")
     belongs = stage(components(links), "components")
     located = members.select("key", "u").join(belongs.withColumnRenamed("node", "u"), "u", "left").select(
-        "key", "u", F.coalesce("component", "u").alias("component"))
+        "key", F.col("u").alias("doc"), F.coalesce("component", "u").alias("component"))
     mixed = located.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo <> hi AND n > 2").select("key")
-    open_rows = stage(located.join(mixed, "key"), "open")
-    other = open_rows.select("key", F.col("u").alias("b"), F.col("component").alias("_component"))
-    second = open_rows.withColumnRenamed("u", "a").join(other, "key").filter("a < b AND component <> _component").select("a", "b").distinct()
+    open_rows = stage(located.join(mixed, "key").join(sketch, "doc"), "open", "zstd")
+    ours, other = renamed(open_rows, "a", ["key"]), renamed(open_rows, "b", ["key"])
+    second = ours.join(other, "key").filter(F.expr("a < b AND component_a <> component_b") & promising()).select("a", "b").distinct()
     second = stage(second.join(first, ["a", "b"], "left_anti"), "more-pairs")
+    release_shuffles(spark)
     if not second.isEmpty():
         belongs = stage(components(links.unionByName(confirm(second, pieces))), "components")
     unstage(pieces)
