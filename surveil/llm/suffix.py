@@ -293,7 +293,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     phrases = stage(parse(docs), "phrases", "zstd")
     # one row per key: how often it occurs, and whether its phrases differ
     keys = phrases.groupBy("key").agg(F.count("*").alias("n"), F.min("name").alias("low"), F.max("name").alias("high"))
-    keys = keys.filter("n > 1").select("key", (F.col("low") != F.col("high")).alias("differ"))
+    # staged, so that a key with very many phrases can be split in the join
+    keys = stage(keys.filter("n > 1").select("key", (F.col("low") != F.col("high")).alias("differ")), "keys", "zstd")
     live = stage(phrases.join(keys, "key"), "live", "zstd")
     unstage(phrases)
     release_shuffles(docs.sparkSession)
@@ -302,6 +303,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.max("differ").alias("differ")).select("key", "name", "first.*", "lead", "windows", "n", "differ"), "dictionary", "zstd")
     foreign = stage(foreign_windows(first.filter("differ").select("key", "name", "doc", "p0", "lead", "windows"), docs), "foreign")
     marked = first.select("key", "name", F.struct("doc", "p0").alias("first"), "n").join(foreign, ["key", "name"], "left").filter("n > 1 OR foreign IS NOT NULL")
+    marked = stage(marked, "marked", "zstd")
     here = F.struct("doc", "p0") == F.col("first")
     hits = live.select("key", "name", "doc", "p0", "windows").join(marked, ["key", "name"]).filter(~here | F.col("foreign").isNotNull())
     return hits.select("doc", F.struct("p0", "windows", F.when(here, F.col("foreign")).alias("foreign")).alias("hit")).groupBy("doc").agg(
