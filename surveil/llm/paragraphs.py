@@ -2,12 +2,13 @@
 
 A paragraph here is a run of whole sentences with at least 20 words, and paragraphs overlap: so a
 passage is found wherever in a line or document it was pasted, as long as it keeps its sentences.
-Paragraphs start at sentences whose hash is the least of three neighbours, which depends on the
-text alone; any passage with three sentences before its last 20 words holds such a start.
+One starts at every sentence. A sentence of more than 40 words is cut where the hash of five words
+is the least of 12 to either side, so the cuts move with the words; a piece without such a place
+is cut every 40 words.
 
 A paragraph is its set of 5-word shingles. Bands are tuned for recall: ``tune`` picks the fewest
 values that miss at most ``MISSED`` of pairs at the threshold, which gives single-value bands.
-Paragraphs with equal shingles are one class. In a bucket each class is compared with the
+Paragraphs with equal shingles are one class, reduced to one row before the bands are dealt out. In a bucket each class is compared with the
 smallest; then only pairs whose components still differ. Pairs whose sizes or signature bits rule
 the threshold out are dropped before texts are read. Similarity is exact Jaccard on the full sets. Of a component, the paragraphs of its first document stay, and the words of all others are
 removed, so a passage survives once and clean documents keep all they have. Repeats inside the
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 
 from surveil.llm.components import components
 from surveil.llm.minhash import LONGS, extracts, promising, renamed, signatures, similar
-from surveil.llm.words import STEP, Words, _constants, as_bytes, mix, shingle_sets, slices
+from surveil.llm.words import Words, _constants, as_bytes, mix, shingle_sets, slices
 from surveil.session import release_shuffles, stage, unstage
 
 SHINGLE = 5
 MIN_WORDS = 20
 LONG_SENTENCE = 40
-NEIGHBOURS = 3
+AROUND = 12         # words to either side of a cut in a long sentence
 THRESHOLD = 0.75
 MISSED = 0.02
 LAST_ID = (1 << 63) - 1
@@ -56,8 +57,18 @@ _XOR = _constants("paragraph-xor", BANDS * ROWS)
 _MULTIPLY = _constants("paragraph-multiply", BANDS * ROWS)
 
 
-def _sentence_starts(words: Words) -> np.ndarray:
-    """Index of the first word of every sentence of a batch."""
+def _pieces(start: np.ndarray, n: int) -> np.ndarray:
+    """``start`` with a further cut every LONG_SENTENCE words."""
+    pieces = -(-np.diff(np.append(start, n)) // LONG_SENTENCE)
+    within = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.repeat(start, pieces) + within * LONG_SENTENCE
+
+
+def _sentence_starts(words: Words, shingle: np.ndarray) -> np.ndarray:
+    """Index of the first word of every sentence, or piece of a long one, of a batch.
+
+    ``shingle`` has the hash of the words from each word on.
+    """
     n = len(words.starts)
     newline = np.concatenate([[0], np.cumsum(words.bytes == 10)])
     ends = np.isin(words.bytes[words.ends - 1], np.frombuffer(b".!?", np.uint8))
@@ -65,9 +76,13 @@ def _sentence_starts(words: Words) -> np.ndarray:
     ends[:-1] |= words.of[1:] != words.of[:-1]
     start = np.concatenate([[0], np.flatnonzero(ends[:-1]) + 1])
     length = np.diff(np.append(start, n))
-    pieces = -(-length // LONG_SENTENCE)
-    within = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    return np.repeat(start, pieces) + within * LONG_SENTENCE
+    # words of long sentences with AROUND words on either side in the same sentence
+    stop = start + length - AROUND - SHINGLE
+    room = np.where(length > LONG_SENTENCE, np.maximum(stop - start - AROUND + 1, 0), 0)
+    at = np.repeat(start + AROUND - (np.cumsum(room) - room), room) + np.arange(int(room.sum()))
+    for k in range(1, AROUND + 1):
+        at = at[(shingle[at] < shingle[at - k]) & (shingle[at] <= shingle[at + k])]
+    return _pieces(np.union1d(start, at), n)
 
 
 def paragraphs(texts: list[bytes]):
@@ -79,19 +94,9 @@ def paragraphs(texts: list[bytes]):
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64))
     shingle = np.zeros(n + 1, np.uint64)
     shingle[at] = h
-    starts = _sentence_starts(words)
+    starts = _sentence_starts(words, mix(shingle))
     stops = np.append(starts[1:], n)
     owner = words.of[starts]
-    place = np.arange(n) - np.repeat(starts, stops - starts)
-    sentence = mix(np.add.reduceat(words.hashes() * STEP[place], starts))
-    chosen = np.zeros(len(starts), bool)
-    if len(starts) >= NEIGHBOURS:
-        least = np.minimum.reduce([sentence[k:len(starts) - NEIGHBOURS + 1 + k] for k in range(NEIGHBOURS)])
-        inside = owner[:len(least)] == owner[NEIGHBOURS - 1:]
-        for k in range(NEIGHBOURS):
-            chosen[k:k + len(least)] |= inside & (sentence[k:k + len(least)] == least)
-    per_text = np.bincount(owner, minlength=len(texts))
-    chosen |= per_text[owner] < NEIGHBOURS
     counts = words.counts()
     last = words.first[1:][owner]
     first = starts
@@ -100,7 +105,7 @@ def paragraphs(texts: list[bytes]):
     end = np.where(reach < len(stops), stops[np.minimum(reach, len(stops) - 1)], n + 1)
     short = (counts[owner] < MIN_WORDS) & (first == words.first[owner])
     end = np.where(short, last, end)
-    good = (chosen | short) & (end <= last) & (end - first >= SHINGLE)
+    good = (end <= last) & (end - first >= SHINGLE)
     first, end, owner = first[good], end[good], owner[good]
     if not len(first):
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64))
@@ -189,17 +194,20 @@ def removals(docs: DataFrame) -> DataFrame:
     """(doc, gone): the byte ranges to remove from each document."""
     spark = docs.sparkSession
     found = stage(parse(docs), "paragraphs", "zstd")
-    keyed = found.select("u", F.explode("v").alias("key"))
-    # buckets that hold two different classes; copies of one class are reduced before the shuffle
+    # one row per class before the bands are dealt out
+    distinct = found.groupBy("u").agg(F.min(F.struct("doc", "s", "e")).alias("at"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("v").alias("v"))
+    distinct = stage(distinct, "distinct", "zstd")
+    keyed = distinct.select("u", F.explode(F.array_distinct("v")).alias("key"))
+    # buckets that hold two different classes
     leaders = F.array_distinct(F.array(F.min("u"), *[F.min_by("u", F.xxhash64("u", F.lit(i))) for i in range(2)]))
     buckets = keyed.groupBy("key").agg(leaders.alias("leaders"), F.min("u").alias("low"), F.max("u").alias("high")).filter("low <> high").select("key", "leaders")
     buckets = stage(buckets, "buckets", "zstd")  # staged, so that a key with very many paragraphs can be split in the join
-    members = stage(keyed.join(buckets, "key").distinct(), "members", "zstd")
+    members = stage(keyed.join(buckets, "key"), "members", "zstd")
     asked = members.select("u").distinct().withColumn("asked", F.lit(True))
-    classes = found.groupBy("u").agg(F.min(F.struct("doc", "s", "e")).alias("at"), F.min("doc").alias("low"), F.max("doc").alias("high"))
-    classes = stage(classes.join(asked, "u", "left").filter("asked OR low <> high").select("u", "at.*", "low", "high", "asked"), "classes", "zstd")
+    classes = stage(distinct.drop("v").join(asked, "u", "left").filter("asked OR low <> high").select("u", "at.*", "low", "high", "asked"), "classes", "zstd")
     places = stage(found.select("doc", "s", "e", "u").join(classes.select("u"), "u"), "places", "zstd")
     unstage(found)
+    unstage(distinct)
     release_shuffles(spark)
     pieces = stage(cut(classes.filter("asked").select("u", "doc", "s", "e"), docs), "pieces", "zstd")
     release_shuffles(spark)

@@ -328,6 +328,25 @@ def test_paragraphs_remove_later_copies(spark, docs):
     assert all(hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256 for r in out.collect())
 
 
+def test_every_sentence_starts_a_paragraph(spark):
+    """One copied passage of two sentences among other sentences goes, whatever stands around it."""
+    rng = random.Random(11)
+    passages = [sentence(rng, 11) + " " + sentence(rng, 12) for _ in range(40)]
+    rows = [(100 * r + i, " ".join([sentence(rng, 12) for _ in range(4)] + [p] + [sentence(rng, 12) for _ in range(4)])) for r in range(2) for i, p in enumerate(passages)]
+    got = {r.doc_id: r.n_removed for r in paragraphs.remove_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == 0 and got[100 + i] >= len(p) for i, p in enumerate(passages))
+
+
+def test_long_sentences_are_cut_by_content(spark):
+    """A passage inside long lines without full stops is found at any distance from the line's start."""
+    rng = random.Random(12)
+    words = lambda n: sentence(rng, n)[:-1].lower()
+    passages = [words(150) for _ in range(12)]
+    rows = [(100 * r + i, f"{words(60 + 7 * i * r + 3 * r)} {p} {words(60)}") for r in range(2) for i, p in enumerate(passages)]
+    got = {r.doc_id: r.n_removed for r in paragraphs.remove_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == 0 and got[100 + i] > 0.5 * len(p) for i, p in enumerate(passages))
+
+
 def test_paragraph_bands_reach_their_recall():
     bands, rows = paragraphs.tune()
     assert 1 - (1 - paragraphs.THRESHOLD ** rows) ** bands >= 1 - paragraphs.MISSED
