@@ -15,7 +15,7 @@ removed, so a passage survives once and clean documents keep all they have. Repe
 first document are left alone.
 
 Defined results: null text is empty; a null id comes after all others; rows that repeat an id are
-one document; a text with 5 to 19 words is one paragraph, a shorter one has none; texts may be of
+one document for the order, but each loses only its own passages (``row`` is a hash of the text); a text with 5 to 19 words is one paragraph, a shorter one has none; texts may be of
 any length; an empty table gives no rows.
 """
 
@@ -125,31 +125,34 @@ def paragraphs(texts: list[bytes]):
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """(doc, s, e, u, v): the paragraphs of every text as byte ranges, their class and bands. No shuffle."""
+    """(doc, row, s, e, u, v): the paragraphs of every text as byte ranges, their class and bands. No shuffle."""
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            raw = [as_bytes(t) for t in batch.column(1).to_pylist()]
+            keys = batch.column(1).to_numpy(zero_copy_only=False)
+            raw = [as_bytes(t) for t in batch.column(2).to_pylist()]
             for part in slices([len(b) for b in raw]):
                 owner, s, e, name, values = paragraphs(raw[part])
                 flat = pa.array(values.view(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[part][owner]), pa.array(s.astype(np.int64)), pa.array(e.astype(np.int64)), pa.array(name.view(np.int64)), lists],
-                    names=["doc", "s", "e", "u", "v"])
+                    [pa.array(ids[part][owner]), pa.array(keys[part][owner]), pa.array(s.astype(np.int64)), pa.array(e.astype(np.int64)), pa.array(name.view(np.int64)), lists],
+                    names=["doc", "row", "s", "e", "u", "v"])
 
-    return _keyed(docs).select("doc", "text").mapInArrow(run, "doc long, s long, e long, u long, v array<long>")
+    return _keyed(docs).select("doc", "row", "text").mapInArrow(run, "doc long, row long, s long, e long, u long, v array<long>")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "doc", *RESULTS)]
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.col("text").cast("string").alias("text"), *rest)
+def _keyed(docs: DataFrame, rest: tuple = ()) -> DataFrame:
+    """(doc, row, text, rest): ``doc`` is the place in the order, ``row`` tells the texts of one id apart."""
+    text = F.col("text").cast("string")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("row"), text.alias("text"),
+                       *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(rest)])
 
 
 def cut(units: DataFrame, docs: DataFrame) -> DataFrame:
-    """(u, piece, n_shingles, bits): each class at its first place (doc, s, e), with its set size and signature bits."""
-    per_doc = units.groupBy("doc").agg(F.collect_list(F.struct("u", "s", "e")).alias("wanted"))
-    rows = per_doc.hint("merge").join(_keyed(docs).select("doc", "text"), "doc").select("text", "wanted")
+    """(u, piece, n_shingles, bits): each class at its first place (doc, row, s, e), with its set size and signature bits."""
+    per_doc = units.groupBy("doc", "row").agg(F.collect_list(F.struct("u", "s", "e")).alias("wanted"))
+    rows = per_doc.hint("merge").join(_keyed(docs), ["doc", "row"]).select("text", "wanted")
 
     def run(batches):
         for batch in batches:
@@ -191,11 +194,11 @@ def confirm(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """(doc, gone): the byte ranges to remove from each document."""
+    """(doc, row, gone): the byte ranges to remove from each text."""
     spark = docs.sparkSession
     found = stage(parse(docs), "paragraphs", "zstd")
     # one row per class before the bands are dealt out
-    distinct = found.groupBy("u").agg(F.min(F.struct("doc", "s", "e")).alias("at"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("v").alias("v"))
+    distinct = found.groupBy("u").agg(F.min(F.struct("doc", "s", "e", "row")).alias("at"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("v").alias("v"))
     distinct = stage(distinct, "distinct", "zstd")
     keyed = distinct.select("u", F.explode(F.array_distinct("v")).alias("key"))
     # buckets that hold two different classes
@@ -205,11 +208,11 @@ def removals(docs: DataFrame) -> DataFrame:
     members = stage(keyed.join(buckets, "key"), "members", "zstd")
     asked = members.select("u").distinct().withColumn("asked", F.lit(True))
     classes = stage(distinct.drop("v").join(asked, "u", "left").filter("asked OR low <> high").select("u", "at.*", "low", "high", "asked"), "classes", "zstd")
-    places = stage(found.select("doc", "s", "e", "u").join(classes.select("u"), "u"), "places", "zstd")
+    places = stage(found.select("doc", "row", "s", "e", "u").join(classes.select("u"), "u"), "places", "zstd")
     unstage(found)
     unstage(distinct)
     release_shuffles(spark)
-    pieces = stage(cut(classes.filter("asked").select("u", "doc", "s", "e"), docs), "pieces", "zstd")
+    pieces = stage(cut(classes.filter("asked").select("u", "doc", "row", "s", "e"), docs), "pieces", "zstd")
     release_shuffles(spark)
     sketch = pieces.select(F.col("u").alias("doc"), "n_shingles", *[F.element_at("bits", i + 1).alias(f"bit{i}") for i in range(LONGS)])
     first = members.select("u", F.explode("leaders").alias("leader")).filter("u <> leader").select(
@@ -233,8 +236,8 @@ def removals(docs: DataFrame) -> DataFrame:
     grouped = classes.select("u", "low").join(belongs.withColumnRenamed("node", "u"), "u", "left").withColumn("component", F.coalesce("component", "u"))
     firsts = grouped.groupBy("component").agg(F.min("low").alias("first_doc"))
     owner = grouped.select("u", "component").join(firsts, "component").select("u", "first_doc")
-    hits = places.join(owner, "u").filter("doc <> first_doc").select("doc", "s", "e").distinct()
-    return stage(hits.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("gone")), "gone")
+    hits = places.join(owner, "u").filter("doc <> first_doc").select("doc", "row", "s", "e").distinct()
+    return stage(hits.groupBy("doc", "row").agg(F.collect_list(F.struct("s", "e")).alias("gone")), "gone")
 
 
 def merged(gone: list[dict] | None, size: int) -> list[tuple[int, int]]:
@@ -251,7 +254,7 @@ def merged(gone: list[dict] | None, size: int) -> list[tuple[int, int]]:
 def remove_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """``docs`` without its text, plus n_bytes, n_removed, n_spans and kept_sha256."""
     rest = [c for c in docs.columns if c not in ("text", "doc", "_gone", *RESULTS)]
-    rows = _keyed(docs).join(removals(docs).withColumnRenamed("gone", "_gone"), "doc", "left").select("text", "_gone", *[F.col(f"`{c}`") for c in rest])
+    rows = _keyed(docs, rest).join(removals(docs).withColumnRenamed("gone", "_gone"), ["doc", "row"], "left").select("text", "_gone", *[F.col(f"_{i}").alias(c) for i, c in enumerate(rest)])
 
     def run(batches):
         for batch in batches:

@@ -18,8 +18,8 @@ its size, so the text is parsed first, as prefix-free parsing does for large suf
    every other place of its phrases is removed.
 
 Defined results: null text is empty; a null id comes after all others; rows that repeat an id
-are one document for the order, so neither is earlier at the same start; texts under 100 bytes
-lose nothing; any length is handled in segments; an empty table gives no rows.
+are one document for the order, so neither is earlier at the same start, but each loses only its
+own bytes (``row``, a hash of the text, tells them apart); texts under 100 bytes lose nothing; any length is handled in segments; an empty table gives no rows.
 """
 
 import hashlib
@@ -121,20 +121,27 @@ def _chunk(parts, doc, offset, size):
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """(key, name, doc, p0, lead, windows): the phrases of every text. No shuffle."""
+    """(key, name, doc, row, p0, lead, windows): the phrases of every text. No shuffle."""
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            raw = [as_bytes(t) for t in batch.column(1).to_pylist()]
+            own = batch.column(1).to_numpy(zero_copy_only=False)
+            raw = [as_bytes(t) for t in batch.column(2).to_pylist()]
             for chunk, doc, offset, start, size in _segments(raw):
                 segment, p0, count, anchor, key, name = phrases_of(chunk, start, size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(ids[doc[segment]]),
+                    [pa.array(key.view(np.int64)), pa.array(name.view(np.int64)), pa.array(ids[doc[segment]]), pa.array(own[doc[segment]]),
                      pa.array(p0 - start[segment] + offset[segment]), pa.array((anchor - p0).astype(np.int16)), pa.array(count.astype(np.int16))],
-                    names=["key", "name", "doc", "p0", "lead", "windows"])
+                    names=["key", "name", "doc", "row", "p0", "lead", "windows"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "key long, name long, doc long, p0 long, lead short, windows short")
+    return _keyed(docs).mapInArrow(run, "key long, name long, doc long, row long, p0 long, lead short, windows short")
+
+
+def _keyed(docs: DataFrame, rest: tuple = ()) -> DataFrame:
+    """(doc, row, text, rest): ``doc`` is the place in the order, ``row`` tells the texts of one id apart."""
+    text = F.col("text").cast("string")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("row"), text.alias("text"),
+                       *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(rest)])
 
 
 def cover_ranks(text: np.ndarray, sample: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -244,10 +251,9 @@ def _resolve(rows: list[tuple]) -> pa.RecordBatch:
 
 def foreign_windows(dictionary: DataFrame, docs: DataFrame) -> DataFrame:
     """(key, name, foreign): windows of a phrase's first place that stand earlier elsewhere."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
     sized = dictionary.join(dictionary.groupBy("key").agg(F.ceil(F.count("*") / PHRASES_PER_BUCKET).cast("int").alias("parts")), "key")
-    per_doc = sized.groupBy("doc").agg(F.collect_list(F.struct("key", "name", "p0", "lead", "windows", "parts")).alias("wanted"))
-    rows = per_doc.join(texts, "doc").select("doc", "text", "wanted")
+    per_doc = sized.groupBy("doc", "row").agg(F.collect_list(F.struct("key", "name", "p0", "lead", "windows", "parts")).alias("wanted"))
+    rows = per_doc.join(_keyed(docs), ["doc", "row"]).select("doc", "text", "wanted")
 
     def cut(batches):
         for batch in batches:
@@ -256,8 +262,6 @@ def foreign_windows(dictionary: DataFrame, docs: DataFrame) -> DataFrame:
                 raw = as_bytes(text)
                 for w in wanted:
                     piece = raw[w["p0"]:w["p0"] + w["windows"] + LENGTH - 1]
-                    if len(piece) < w["windows"] + LENGTH - 1:
-                        continue  # another row with this id
                     split: dict[int, list[int]] = {}
                     for o in range(w["windows"]):
                         part = 0 if w["parts"] == 1 else int.from_bytes(hashlib.blake2b(piece[o:o + LENGTH], digest_size=4).digest(), "big") % w["parts"]
@@ -288,7 +292,7 @@ def foreign_windows(dictionary: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc, gone): per document the phrases with removed windows, as (p0, windows, foreign);
+    """(doc, row, gone): per text the phrases with removed windows, as (p0, windows, foreign);
     ``foreign`` is null where all windows go."""
     phrases = stage(parse(docs), "phrases", "zstd")
     # one row per key: how often it occurs, and whether its phrases differ
@@ -299,14 +303,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     unstage(phrases)
     release_shuffles(docs.sparkSession)
     first = stage(live.groupBy("key", "name").agg(
-        F.min(F.struct("doc", "p0")).alias("first"), F.max("lead").alias("lead"), F.max("windows").alias("windows"),
+        F.min(F.struct("doc", "p0", "row")).alias("first"), F.max("lead").alias("lead"), F.max("windows").alias("windows"),
         F.count("*").alias("n"), F.max("differ").alias("differ")).select("key", "name", "first.*", "lead", "windows", "n", "differ"), "dictionary", "zstd")
-    foreign = stage(foreign_windows(first.filter("differ").select("key", "name", "doc", "p0", "lead", "windows"), docs), "foreign")
+    foreign = stage(foreign_windows(first.filter("differ").select("key", "name", "doc", "row", "p0", "lead", "windows"), docs), "foreign")
     marked = first.select("key", "name", F.struct("doc", "p0").alias("first"), "n").join(foreign, ["key", "name"], "left").filter("n > 1 OR foreign IS NOT NULL")
     marked = stage(marked, "marked", "zstd")
     here = F.struct("doc", "p0") == F.col("first")
-    hits = live.select("key", "name", "doc", "p0", "windows").join(marked, ["key", "name"]).filter(~here | F.col("foreign").isNotNull())
-    return hits.select("doc", F.struct("p0", "windows", F.when(here, F.col("foreign")).alias("foreign")).alias("hit")).groupBy("doc").agg(
+    hits = live.select("key", "name", "doc", "row", "p0", "windows").join(marked, ["key", "name"]).filter(~here | F.col("foreign").isNotNull())
+    return hits.select("doc", "row", F.struct("p0", "windows", F.when(here, F.col("foreign")).alias("foreign")).alias("hit")).groupBy("doc", "row").agg(
         F.collect_list("hit").alias("gone"))
 
 
@@ -346,8 +350,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     ``with_text`` keeps the column with what is left; a character that lost a part is left out.
     """
     rest = [c for c in docs.columns if c not in ("text", "_doc", "_gone", *RESULTS)]
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_doc"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in rest])
-    rows = keyed.join(repeats(docs).withColumnsRenamed({"doc": "_doc", "gone": "_gone"}), "_doc", "left").select("text", "_gone", *[F.col(f"`{c}`") for c in rest])
+    gone = repeats(docs).withColumnRenamed("gone", "_gone")
+    rows = _keyed(docs, rest).join(gone, ["doc", "row"], "left").select("text", "_gone", *[F.col(f"_{i}").alias(c) for i, c in enumerate(rest)])
 
     def run(batches):
         for batch in batches:

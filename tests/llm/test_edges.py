@@ -347,6 +347,29 @@ def test_long_sentences_are_cut_by_content(spark):
     assert all(got[i] == 0 and got[100 + i] > 0.5 * len(p) for i, p in enumerate(passages))
 
 
+def same_id_rows():
+    """(id, text): two rows without id and a repeated id whose texts differ; all share a passage with an earlier row."""
+    rng = random.Random(21)
+    passage = " ".join(sentence(rng, 10) for _ in range(4))
+    own = [[sentence(rng, 9) for _ in range(12 + 3 * k)] for k in range(5)]
+    rows = [(1, passage)] + [(i, "\n".join([*t[:2 * k], passage, *t[2 * k:]])) for k, (i, t) in enumerate(zip([None, None, 7, 7], own, strict=False))]
+    return passage, [*rows, (None, "\n".join(own[4])), (7, None)]
+
+
+@pytest.mark.parametrize("remove", [suffix.remove_repeats, paragraphs.remove_passages], ids=["suffix", "paragraphs"])
+def test_rows_of_one_id_lose_only_their_own_repeats(spark, remove):
+    passage, rows = same_id_rows()
+    out = remove(spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(3), with_text=True)
+    got = {r.n: r.text for r in out.collect()}
+    assert len(got) == len(rows) and got[0] == passage and got[5] == rows[5][1] and got[6] == ""
+    for n in range(1, 5):
+        expect = "".join(rows[n][1].replace(passage, "").split())
+        # strings of bytes may go on into the letters around the passage
+        assert passage not in got[n] and len(expect) - 4 * (remove is suffix.remove_repeats) <= len("".join(got[n].split())) <= len(expect)
+    if remove is suffix.remove_repeats:
+        assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()) == sorted(brute_repeats(rows))
+
+
 def test_paragraph_bands_reach_their_recall():
     bands, rows = paragraphs.tune()
     assert 1 - (1 - paragraphs.THRESHOLD ** rows) ** bands >= 1 - paragraphs.MISSED
