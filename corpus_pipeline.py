@@ -30,8 +30,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE: one row per mixed document, in tokens."""
-    return bpe.encode(docs.select("doc_id", "source", "text"), bpe.vocabulary_path(), ids=False)
+    """BPE: one row per mixed document, with its token ids."""
+    return bpe.encode(docs.select("doc_id", "source", "text"), bpe.vocabulary_path())
 
 
 STAGES = [("quality rules", clean), ("minhash near-dedup", deduplicate), ("suffix-array dedup", cut_repeats),

@@ -29,7 +29,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveil.llm.words import slices
+
 CACHE_PIECES = 220_000
+DECODED_IDS = 1 << 18   # ids decoded at a time
 # Unicode white space, as the pattern of the vocabulary file understands it.
 WHITE = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _ODD_SPACES = regex.compile(r"[\x1c-\x1f]")  # str.split() cuts here, the pattern does not
@@ -243,6 +246,16 @@ def _model(text: str) -> PairIndexBpe:
     return _models[key]
 
 
+def _strings(text: str) -> np.ndarray:
+    """The vocabulary's strings by id, None where there is none (the last one included); without the model's pair index."""
+    spec = json.loads(text)
+    pieces = {i: s for s, i in {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec.get("added_tokens", [])}}.items()}
+    table = np.full(max(pieces, default=-1) + 2, None, object)
+    for i, piece in pieces.items():
+        table[i] = piece
+    return table
+
+
 def _groups(texts: list[str | None], limit: int = 1 << 22):
     """Runs of about ``limit`` characters."""
     start = size = 0
@@ -269,18 +282,19 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = True) ->
         model = _model(sent.value)
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         for batch in batches:
-            lists, numbers, first, second = [], [], [], []
+            at = 0
             for group in _groups(batch.column(0).to_pylist()):
-                for joined, decoded, n in model.encode_all(group):
-                    if ids:
-                        lists.append([int(x) for x in joined.split()])
-                    numbers.append(n)
-                    first.append(sha(joined))
-                    second.append(sha(decoded))
-            own = [pa.array(lists, pa.list_(pa.int32()))] if ids else []
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *own, pa.array(numbers, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())],
-                names=[*rest, *added])
+                found = model.encode_all(group)
+                numbers = [n for _, _, n in found]
+                own = []
+                if ids:
+                    flat = np.zeros(0, np.int32) if not any(numbers) else np.fromstring(" ".join([joined for joined, _, n in found if n]), np.int32, sep=" ")
+                    own = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(numbers)]), pa.int32()), pa.array(flat))]
+                first, second = [sha(joined) for joined, _, _ in found], [sha(decoded) for _, decoded, _ in found]
+                yield pa.RecordBatch.from_arrays(
+                    [*[c.slice(at, len(group)) for c in batch.columns[1:]], *own, pa.array(numbers, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())],
+                    names=[*rest, *added])
+                at += len(group)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
     fields += ["ids array<int>"] * ids + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
@@ -295,15 +309,31 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     shaped = rows.select(*[F.col(f"`{c}`") for c in rest])
 
     def run(batches):
-        model = _model(sent.value)
+        table = _strings(sent.value)
         for batch in batches:
-            own = [None if x is None else model.decode(x) for x in batch.column(rest.index(ids)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.string())], names=[*rest, text])
+            lists = batch.column(rest.index(ids))
+            sizes = [x or 0 for x in lists.value_lengths().to_pylist()]
+            for part in slices(sizes, DECODED_IDS):
+                some = lists.slice(part.start, part.stop - part.start)
+                flat = some.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                strings = table[np.where((flat >= 0) & (flat < len(table) - 1), flat, -1)]
+                at, own = 0, []
+                for size, there in zip(sizes[part], some.is_valid().to_pylist(), strict=True):
+                    own.append(" ".join([x for x in strings[at:at + size].tolist() if x is not None]) if there else None)
+                    at += size
+                yield pa.RecordBatch.from_arrays([*[c.slice(part.start, len(own)) for c in batch.columns], pa.array(own, pa.string())], names=[*rest, text])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in shaped.schema.fields]
     return shaped.mapInArrow(run, ", ".join([*fields, f"`{text}` string"]))
 
 
+def digests(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` without ``ids``; ``n_tokens`` and both digests come from the ids and from decoding them."""
+    written = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    found = {"n_tokens": F.size("ids").cast("long"), "ids_sha256": F.sha2(written, 256), "decoded_sha256": F.sha2("decoded", 256)}
+    return decode(rows, path).select(*[F.col(f"`{c}`") for c in rows.columns if c not in ("ids", *found)], *[v.alias(c) for c, v in found.items()])
+
+
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -311,4 +341,4 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return encode(docs, vocabulary_path(), ids=False)
+    return digests(encode(docs, vocabulary_path()), vocabulary_path())

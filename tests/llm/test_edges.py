@@ -210,6 +210,32 @@ def test_bpe_matches_the_library(spark, docs):
     assert bpe.encode(frame.limit(0), path).collect() == []
 
 
+def test_ids_are_written_and_decoded(spark, tmp_path, monkeypatch):
+    """The pipeline's last table has the ids; op9's digests come from ids that went through decode."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    path = bpe.vocabulary_path()
+    library = Tokenizer.from_file(path)
+    rows = [(1, "s", "Some words, ünï <|endoftext|> 12"), (2, "s", None), (3, "t", "")]
+    ids = {i: library.encode(t or "", add_special_tokens=False).ids for i, _, t in rows}
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    assert {r.doc_id: r.ids for r in corpus_pipeline.tokenize(spark, frame, "").collect()} == ids
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    expect = {(i, len(x), sha(" ".join(map(str, x))), sha(library.decode(x, skip_special_tokens=False))) for i, x in ids.items()}
+    out = bpe.query(spark, str(tmp_path))
+    assert {tuple(r) for r in out.collect()} == expect and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    decode = bpe.decode
+    monkeypatch.setattr(bpe, "decode", lambda *a: decode(*a).withColumn("decoded", F_lit("other")))
+    assert {r.decoded_sha256 for r in bpe.query(spark, str(tmp_path)).collect()} == {sha("other")}
+
+
+def F_lit(value):
+    from pyspark.sql import functions as F
+    return F.lit(value)
+
+
 def test_chat_round_trip_and_branches(spark):
     rows = [(1, 1, None, "user", "hi # <b> \\h", 0.0), (1, 2, 1, "assistant", "a\n</turn>", 1.0), (1, 3, 1, "assistant", None, 9.0), (1, 4, 3, None, "deep: ### x: y", 9.0),
             (1, 4, 3, None, "deep: ### x: y", 9.0), (2, 1, 7, "a:ss", "orphan", None), (2, 2, 2, "user", "self", None), (2, 5, 6, "x", "cycle", 0.0), (2, 6, 5, "x", "cycle", 0.0)]
