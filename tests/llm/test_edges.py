@@ -338,6 +338,17 @@ def test_html_template_of_a_host(spark):
     assert got[4] == "Story number 4" and got[21] == "All our services at a glance\nStory number 1"
 
 
+def test_html_template_is_a_share_of_different_pages(spark):
+    """Copies of a page are one page; a small host has template; few of many pages do not make one."""
+    page = "<body><div><p>Menu of {}</p></div><div><p>Story number {}</p></div>{}</body>"
+    rows = [(i, f"http://copies/{i}", page.format("copies", 1, "")) for i in range(10)]
+    rows += [(100 + i, f"http://nine/{i}", page.format("nine", i, "")) for i in range(9)]
+    rows += [(200 + i, f"http://large/{i}", page.format(i, i, "<p>Shared words</p>" if i < 12 else "")) for i in range(60)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Menu of copies\nStory number 1" and got[104] == "Story number 4"
+    assert got[205] == "Menu of 5\nStory number 5\nShared words"
+
+
 def test_paragraphs_remove_later_copies(spark, docs):
     rows = texts()
     got = {(r.doc_id, r.n_bytes): r for r in paragraphs.remove_passages(docs).collect()}
