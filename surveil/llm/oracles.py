@@ -1,6 +1,6 @@
 """DuckDB SQL of the training-data queries that SQL can express.
 
-Without SQL: main text of pages (a parser), BPE, paragraph banding (its candidates are random by
+Without SQL: main text of pages (a parser), BPE (ids, and the shards they are written to), paragraph banding (its candidates are random by
 design) and the pipeline, which contains BPE. tests/llm checks those by brute force.
 """
 
@@ -116,6 +116,50 @@ links AS (SELECT p.id AS a, q.id AS b FROM u p JOIN u q ON p.id <> q.id AND list
 {_components('v', 'links')}
 SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, component_id, id = component_id AS kept FROM v JOIN comp USING (id)"""
 
+OP12 = rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS txt,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({{'role': role, 'txt': txt}} ORDER BY k) AS turns FROM t GROUP BY conv_id),
+s AS (SELECT conv_id, turns, conv_id - conv_id % 20 AS base,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+          lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h FROM c),
+r AS (SELECT s.conv_id, list_concat(coalesce(b.turns, [])[1:s.h], s.turns[s.h + 1:]) AS turns FROM s LEFT JOIN c b ON b.conv_id = s.base),
+p AS (SELECT conv_id, d AS depth, turns[1:d] AS pre, len(turns) = d AS ends, CASE WHEN d > 0 THEN turns[1:d - 1] END AS up
+      FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+n AS (SELECT pre, any_value(up) AS up, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY pre),
+m AS (SELECT n.*, (SELECT count(*) FROM n k WHERE k.up = n.pre) AS n_children,
+        CASE WHEN depth > 0 THEN (n_convs - 1) * len({WORDS.format('pre[depth].txt')}) ELSE 0 END AS own FROM n),
+a AS (SELECT m.pre[1:d] AS pre, sum(own) AS saved, count_if(n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM m) m GROUP BY 1)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, a.n_leaves, a.saved::BIGINT AS saved_tokens, m.ends_sha256
+FROM m JOIN a ON a.pre = m.pre LEFT JOIN m u ON u.pre = m.up"""
+
+OP13 = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+        string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]') AS pieces FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 4) t(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, any_value(w1) AS w1, any_value(w2) AS w2, CASE WHEN k = 3 THEN any_value(w3) END AS w3, count(*) AS a FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+cut AS (SELECT c.lang, c.phrase, c.k, 1 AS first_words, c.a, l.a AS l, r.a AS r FROM c
+          JOIN f l ON l.lang = c.lang AND l.k = 1 AND l.phrase = c.w1
+          JOIN f r ON r.lang = c.lang AND r.k = c.k - 1 AND r.phrase = CASE WHEN c.k = 2 THEN c.w2 ELSE c.w2 || ' ' || c.w3 END
+        UNION ALL SELECT c.lang, c.phrase, c.k, 2, c.a, l.a, r.a FROM c
+          JOIN f l ON c.k = 3 AND l.lang = c.lang AND l.k = 2 AND l.phrase = c.w1 || ' ' || c.w2
+          JOIN f r ON r.lang = c.lang AND r.k = 1 AND r.phrase = c.w3),
+best AS (SELECT lang, phrase, k, a, min({{'score': CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT), 'first_words': first_words, 'l': l, 'r': r}}) AS x FROM cut GROUP BY ALL),
+gone AS (SELECT b.lang, b.phrase FROM c b JOIN c t ON t.lang = b.lang AND b.k = 2 AND t.k = 3
+         AND (b.phrase = t.w1 || ' ' || t.w2 OR b.phrase = t.w2 || ' ' || t.w3) AND 100 * t.a >= 50 * b.a),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY x.score DESC, a DESC, phrase) AS rank, phrase, a, x.l AS l, x.r AS r, x.score AS score
+           FROM best WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM gone))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
 ORACLES: dict[str, str] = {
     "op1_chat": OP1, "op2_suffix": OP2, "op3_warc": OP3, "op4_mixing": OP4, "op6_minhash": OP6, "op7_quality": OP7, "op8_embeddings": OP8,
+    "op12_trie": OP12, "op13_phrases": OP13,
 }
