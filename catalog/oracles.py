@@ -328,7 +328,7 @@ QUERIES: dict[str, str] = {
     "semi_filter": """SELECT event_id, patient_id, event_time FROM readings
         WHERE patient_id IN (SELECT patient_id FROM readings WHERE predicted_anomaly)""",
     "window_members": f"SELECT window_end, event_id FROM ({_members(15)})",
-    "neighbour_degree": "SELECT window_end, event_id, least(degree, 5) AS degree FROM degree_hour",
+    "neighbour_degree": "SELECT window_end, event_id, degree FROM degree_hour",
     "nearest_region": f"""SELECT event_id, region, nearest, round(distance, 6) AS distance_km FROM (
         SELECT r.event_id, r.region, g.region AS nearest,
                {haversine('r.latitude', 'r.longitude', 'g.latitude', 'g.longitude')} AS distance

@@ -9,7 +9,7 @@ from catalog.fixtures import FIXED_FOREST, FIXED_FOREST_NORM, FIXED_FOREST_THRES
 from surveil.constants import VITALS
 from surveil.functions import clock, geo
 from surveil.functions.risk import risk_columns
-from surveil.operators import clusters, dbscan, evaluate, forecast, history, iforest, keyed, outbreaks, validate
+from surveil.operators import clusters, dbscan, evaluate, forecast, history, iforest, keyed, neighbours, outbreaks, validate
 from surveil.plans import evaluation, reports, risk
 
 START, END = datetime(2024, 1, 10, 6, 0), datetime(2024, 1, 12, 18, 0)
@@ -248,7 +248,7 @@ def window_members(f):
 
 
 def neighbour_degree(f):
-    return dbscan.neighbour_degree(_members(f))
+    return neighbours.neighbour_degree(_members(f))
 
 
 def nearest_region(f):

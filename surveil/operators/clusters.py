@@ -39,8 +39,3 @@ def latest_assignment(labelled: DataFrame) -> DataFrame:
     """Each event's cluster in the last window that included it."""
     return latest_per_key(labelled.select("event_id", "window_end", "cluster_id", "in_cluster"),
                           "event_id", "window_end")
-
-
-def verdict_on_arrival(flagged: DataFrame) -> DataFrame:
-    """Verdicts of the window that ends when an event arrives: nothing later is used."""
-    return flagged.filter(F.col("event_time") == F.col("window_end"))

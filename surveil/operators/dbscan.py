@@ -247,21 +247,6 @@ def _members(members: DataFrame) -> DataFrame:
     return without_labels(members)
 
 
-def neighbour_degree(members: DataFrame, eps_km: float = CLUSTER_EPS_KM,
-                     min_samples: int = CLUSTER_MIN_SAMPLES) -> DataFrame:
-    """Neighbours within eps of every event of a window, itself included, up to ``min_samples``.
-
-    ``degree`` stops at ``min_samples``: that is all the core test needs, and counting on
-    would mean listing every pair of a crowded place.
-    """
-    grid = _Grid(_members(members), eps_km, min_samples, prune=False)
-    sparse, _ = _core_sparse(grid)
-    dense = _dense_points(grid, grid.cells.filter(grid.dense()).select(*_KEY))
-    return dense.select("window_end", "event_id", F.lit(min_samples).cast("long").alias("degree")).unionByName(
-        sparse.select("window_end", "event_id",
-                      F.least("degree", F.lit(min_samples)).cast("long").alias("degree")))
-
-
 def _dense_points(grid: _Grid, cells: DataFrame) -> DataFrame:
     """Points joined with a per-cell table of dense cells."""
     return salted_join(grid.points, cells, _KEY, grid.hot, "event_id")

@@ -2,24 +2,18 @@
 
 from pyspark.sql import DataFrame
 
-from surveil.constants import TICK_MINUTES
 from surveil.operators import iforest
-from surveil.operators.clusters import verdict_on_arrival, window_members
-from surveil.operators.dbscan import core_and_members
 from surveil.operators.evaluate import confusion_metrics, label_join
+from surveil.operators.rolling import verdicts_on_arrival
 
 
-
-
-def causal_flags(reports: DataFrame, minutes: int = 60, step: int = TICK_MINUTES) -> DataFrame:
+def causal_flags(reports: DataFrame, minutes: int = 60) -> DataFrame:
     """(event_id, event_time, predicted_outbreak): was an event in a cluster when it arrived?
 
-    At every step the reports of the last ``minutes`` are clustered, and only the events of
-    that step keep the verdict, as a live run would have had it.
+    At every arrival time the reports of the last ``minutes`` count, and only the events that
+    arrive then get a verdict, as a live run would have had it.
     """
-    members = window_members(reports.select("event_id", "event_time", "latitude", "longitude"), minutes, step)
-    return verdict_on_arrival(core_and_members(members)).withColumnRenamed(
-        "in_cluster", "predicted_outbreak").select("event_id", "event_time", "predicted_outbreak")
+    return verdicts_on_arrival(reports, minutes).withColumnRenamed("in_cluster", "predicted_outbreak")
 
 
 def evaluate_clusters(reports: DataFrame, labels: DataFrame) -> DataFrame:
