@@ -50,10 +50,11 @@ LEVEL = 1
 INDEX = "part int, seq int, shard string, n_docs long, n_ids long"
 # letters and digits of which every version of Unicode says the same
 _LETTERS, _DIGITS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
-_FINE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^\s{_LETTERS}{_DIGITS}]+|\s+(?!\S)|\s+")
+_FINE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^\s\0{_LETTERS}{_DIGITS}]+|\s+(?!\S)|\s+|\0")
 _COARSE = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+")
 _UNKNOWN = re.compile("[^\0-\u017f\u2010-\u2027\u20ac]")
-_ODD = re.compile(r"[^\S \n]")  # white space of other kinds, the four separators included that the library's pattern takes for none
+# NUL, and white space of other kinds, the four separators included that the library's pattern takes for none
+_ODD = re.compile("[\0\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 # ---- bit-planes -------------------------------------------------------------------------------
@@ -222,7 +223,7 @@ class CutEncoder:
         self._clear()
 
     def _clear(self):
-        self.number, self.ids = {}, []
+        self.number, self.ids = {"\0": 0}, [(np.zeros(0, np.int32), np.zeros(2, np.int64))]   # a NUL ends a word and has no ids
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that are not known yet."""
@@ -246,31 +247,32 @@ class CutEncoder:
         flat, cuts = self.ids[0]
         return flat, cuts[:-1], np.diff(cuts)
 
-    def pieces(self, words: list[str]) -> list[list[str]]:
-        """The pieces of every word; letters beyond the known ones are left to the library."""
-        if not _UNKNOWN.search("".join(words)):
-            return list(map(_FINE.findall, words))
-        return [(_COARSE if _UNKNOWN.search(w) else _FINE).findall(w) for w in words]
+    def pieces(self, words: list[str]) -> list[str]:
+        """The pieces of all words, with a NUL after each word; letters beyond the known ones are left to the library."""
+        joined = "\0".join([*words, ""])
+        if not _UNKNOWN.search(joined):
+            return _FINE.findall(joined)
+        out = []
+        for word in words:
+            out += (_COARSE if _UNKNOWN.search(word) else _FINE).findall(word)
+            out.append("\0")
+        return out
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all words, their starts, their lengths)."""
         cut = self.pieces(words)
-        distinct = set().union(*cut)
+        distinct = set(cut)
         new = [p for p in distinct if p not in self.number]
         if len(self.number) + len(new) > CACHE_PIECES:
             self._clear()
-            new = list(distinct)
+            new = [p for p in distinct if p != "\0"]
         if new:
             self._learn(new)
-        if not distinct:
-            return np.zeros(0, np.int32), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         flat, starts, lengths = self._table()
-        sizes = np.array([len(c) for c in cut], np.int64)
-        at = np.fromiter((self.number[p] for own in cut for p in own), np.int64, int(sizes.sum()))
-        out = flat[ranges(starts[at], lengths[at])]
-        total = np.concatenate([[0], np.cumsum(lengths[at])])
-        bounds = total[np.concatenate([[0], np.cumsum(sizes)])]
-        return out, bounds[:-1], np.diff(bounds)
+        at = np.fromiter(map(self.number.__getitem__, cut), np.int64, len(cut))
+        length = lengths[at]
+        bounds = np.concatenate([[0], np.cumsum(length)[at == 0]])
+        return flat[ranges(starts[at], length)], bounds[:-1], np.diff(bounds)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text."""
@@ -279,7 +281,7 @@ class CutEncoder:
         for i, t in enumerate(texts):
             if not t:
                 out[i] = np.zeros(0, np.int32)
-            elif _ODD.search(t) or self.added and self.added.search(t) or t[0] == " " or t[-1] == " " or "  " in t or " \n" in t or "\n " in t:
+            elif _ODD.search(t) or self.added and self.added.search(t) or t[0] == " " or t[-1] == " " or t.endswith("\n\n") or "  " in t or " \n" in t or "\n " in t:
                 out[i] = np.array(self.model.encode(t, add_special_tokens=False).ids, np.int32)
             else:
                 plain.append(i)

@@ -485,3 +485,225 @@ def test_pipeline_matches_brute_force(spark):
             expect += [(i, s, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())] * copies
     got = [(r.doc_id, r.source, r.n_tokens, r.ids_sha256) for r in corpus_pipeline.run(spark, folder).collect()]
     assert sorted(got) == sorted(expect)
+
+
+# wavelet shards, conversation trie, phrases
+
+def token_ids(text):
+    from tokenizers import Tokenizer
+    from surveil.llm import wavelet
+    model = Tokenizer.from_file(wavelet.vocabulary_path())
+    return [*model.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+ODD_TEXTS = [None, "", " ", "a  b \n\n c\t d\n", "x<|endoftext|>y", "don't  we'll 's", " a b　c", "日本 語　\n text", "a\x1cb c\x85d", "a b\n\n",
+             "\n\n", "a\0b c", "12 3½ x² é é", "ﬁ ǅ ß ſ İ", "one two\nthree,four 's"]
+
+
+def test_wavelet_reads_back_what_the_library_encodes(spark, docs, tmp_path):
+    import zlib
+    from pyspark.sql import functions as F
+    from surveil.llm import wavelet
+    rows = [(i, t) for i, t in texts()] + [(1000 + i, t) for i, t in enumerate(ODD_TEXTS)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"start": F.lit("x"), "seq": F.lit(1), "shard": F.lit(None).cast("string")})
+    folder = f"file://{tmp_path}/shards"
+    index = wavelet.write_shards(frame.repartition(3), folder, wavelet.vocabulary_path(), shard_tokens=5000)
+    got = wavelet.read_documents(index, folder).collect()
+    encoded = sorted(((i is not None, i or 0, i, token_ids(t)) for i, t in rows), key=lambda r: r[:2])
+    assert index.count() > 3 and sorted((r.doc_id is not None, r.doc_id or 0, r.ids) for r in got) == sorted((a, b, ids) for a, b, _, ids in encoded)
+    flat = [x for r in sorted(got, key=lambda r: r.start) for x in r.ids]
+    assert [r.start for r in sorted(got, key=lambda r: r.start)] == list(itertools.accumulate([0, *(len(r.ids) for r in sorted(got, key=lambda r: r.start))]))[:-1]
+    for r in got:
+        assert r.ids == flat[r.start:r.start + r.n_tokens] and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+    keys = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert keys == sorted(keys, key=lambda i: (i is not None, i or 0))
+    some = [0, 11, 262, 50256, 70000]
+    assert {r.token: r.n for r in wavelet.count_tokens(index, folder, some).collect()} == {t: flat.count(t) for t in some}
+    found = wavelet.find_token(index, folder, 262).collect()
+    assert sorted(r.place for r in found) == [i for i, x in enumerate(flat) if x == 262]
+    by_start = {r.start: r for r in got}
+    for r in found:
+        assert by_start[r.place - r.at].doc_id == r.doc_id
+    asked = spark.createDataFrame([(i,) for i in [*range(0, len(flat), 997), len(flat), -1]], "place long")
+    assert {r.place: r.token for r in wavelet.tokens_at(index, folder, asked).collect()} == {i: flat[i] for i in range(0, len(flat), 997)}
+
+
+def test_wavelet_of_nothing(spark, empty, tmp_path):
+    from surveil.llm import wavelet
+    folder = f"file://{tmp_path}/shards"
+    index = wavelet.write_shards(empty, folder, wavelet.vocabulary_path())
+    assert index.collect() == [] and wavelet.read_documents(index, folder).collect() == [] and wavelet.count_tokens(index, folder, [1]).collect() == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 200, 70_000])
+def test_wavelet_file_answers_like_a_list(n):
+    import io
+    from surveil.llm import wavelet
+    rng = np.random.default_rng(n)
+    ids = (rng.zipf(1.3, n) % 70_000).astype(np.uint32)
+    data = wavelet.PlaneWriter().pack(ids, [5, None], np.array([n // 2, n]))
+
+    class Opened(io.BytesIO):
+        def size(self):
+            return len(data)
+
+        def read_at(self, count, offset):
+            return data[offset:offset + count]
+    file = wavelet.WaveletFile(Opened(data))
+    assert file.decode().tolist() == ids.tolist() and file.doc_ids == [5, None] and file.ends.tolist() == [n // 2, n]
+    for place in rng.integers(0, n, 20).tolist() if n else []:
+        assert file.access(place) == ids[place]
+    for token in {*ids[:5].tolist(), 1, 69_999, 1 << 20}:
+        where = np.flatnonzero(ids == token).tolist()
+        assert file.count(token) == len(where) and file.rank(token, n // 3) == sum(p < n // 3 for p in where)
+        assert [file.select(token, k) for k in range(len(where))][:50] == where[:50]
+        with pytest.raises(IndexError):
+            file.select(token, len(where))
+
+
+def trie_nodes(rows):
+    """The nodes of all rebuilt conversations, by their definition."""
+    import math
+    import zlib
+    name = lambda r, x: hashlib.sha256(f"{len(r)}:{r}{x}".encode()).hexdigest()[:32]
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            words = len(re.findall(r"[^\x20\x09-\x0D]+", text))
+            convs.setdefault(c, []).append((turn is not None, turn or 0, role, name(role, text), words, text))
+    convs = {c: [(t[2], t[5], t[4]) for t in sorted(v)] for c, v in convs.items()}
+    members, ended = {(): []}, {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        turns = tuple(convs.get(c - int(math.fmod(c, 20)), [])[:h] + own[h:])
+        ended.setdefault(turns, []).append(c)
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+    kids = {}
+    for p in members:
+        if p:
+            kids.setdefault(p[:-1], []).append(p)
+    below, out = {}, []
+    for p in sorted(members, key=len, reverse=True):
+        leaves = sum(below[k][0] for k in kids.get(p, [])) or 1
+        saved = sum(below[k][1] for k in kids.get(p, [])) + (len(members[p]) - 1) * (p[-1][2] if p else 0)
+        below[p] = leaves, saved
+        out.append((min(members[p], default=None), len(p), min(members[p[:-1]]) if p else None, len(members[p]), len(kids.get(p, [])), leaves, saved,
+                    hashlib.sha256(",".join(map(str, sorted(ended.get(p, [])))).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def conversations(seed):
+    rng = random.Random(seed)
+    words = ["alpha", "beta gamma", "", None, "delta  epsilon\tzeta"]
+    rows = []
+    for c in [*range(-45, 130), 1 << 40]:
+        first = rng.choice(["hello", "good day"])
+        rows += [(c, t, rng.choice(["user", "assistant", None]), first if t == 0 else rng.choice(words)) for t in range(rng.choice([0, 1, 2, 3, 5, 9]))]
+    for c in range(200, 400):    # a third of all rows: copies of one conversation
+        rows += [(c, t, "user", f"the same {t}") for t in range(5)]
+    rows += [(500, None, "user", "no turn"), (500, 1, "user", "x"), (500, 1, "user", "x"), (500, 1, "assistant", "tie"), (None, 0, "user", "nobody")]
+    rows += [(600, t, "user", "long " * 50) for t in range(300)]
+    return rows
+
+
+@pytest.mark.parametrize("shard_turns", [1 << 18, 60])
+def test_trie_matches_its_definition(spark, monkeypatch, shard_turns):
+    from pyspark.sql import functions as F
+    from surveil.llm import trie
+    monkeypatch.setattr(trie, "SHARD_PATHS", 4)
+    monkeypatch.setattr(trie, "RUN_IDS", 16)
+    rows = conversations(3)
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumns({"seq": F.lit(1), "path": F.lit("x"), "name": F.lit(2)})
+    got = trie.prefix_trie(trie.branch(trie.sequences(frame)), shard_turns)
+    assert sorted(map(tuple, got.collect()), key=str) == trie_nodes(rows)
+
+
+def test_trie_of_nothing(spark):
+    from surveil.llm import trie
+    frame = spark.createDataFrame([(None, 0, "user", "x")], "conv_id long, turn int, role string, text string")
+    assert list(map(tuple, trie.prefix_trie(trie.branch(trie.sequences(frame))).collect())) == [(None, 0, None, 0, 0, 1, 0, trie.EMPTY)]
+
+
+def test_ternary_trees_are_balanced():
+    from surveil.llm import trie
+    tree = trie.TernaryTree()
+    for i in trie.median_order(1023):
+        tree.insert([i])
+    height = {0: 0}
+    deepest = [(tree.down[0], 1)]
+    for node, level in deepest:
+        if node:
+            height[node] = level
+            deepest += [(tree.low[node], level + 1), (tree.high[node], level + 1)]
+    assert max(height.values()) == 10 and sorted(trie.median_order(50)) == list(range(50))
+
+
+def phrase_rows(docs, least=10, top=2000):
+    from collections import Counter
+    from fractions import Fraction
+    counts, total, out = {}, Counter(), []
+    for lang, text in docs:
+        f = counts.setdefault(lang or "und", Counter())
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0A-\x0D]", lowered):
+            words = re.findall("[^\x20\x09]+", piece)
+            total[lang or "und"] += len(words)
+            f.update(tuple(words[i:i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1))
+    for lang, f in counts.items():
+        cands = {p for p, n in f.items() if len(p) > 1 and n >= least}
+        gone = {s for p in cands if len(p) == 3 for s in (p[:2], p[1:]) if 100 * f[p] >= 50 * f[s]}
+        scored = []
+        for p in cands - gone:
+            cut = min((int(Fraction(1_000_000 * f[p] ** 2, f[p[:k]] * f[p[k:]])), k) for k in range(1, len(p)))
+            scored.append((-cut[0], -f[p], " ".join(p).encode(), " ".join(p), f[p], f[p[:cut[1]]], f[p[cut[1]:]]))
+        for rank, x in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, *x[3:], total[lang], -x[0]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("batch", [1 << 23, 300])
+def test_phrases_match_counting_every_phrase(spark, monkeypatch, batch):
+    from pyspark.sql import functions as F
+    from surveil.llm import phrases
+    monkeypatch.setattr(phrases, "BATCH", batch)
+    monkeypatch.setattr(phrases, "ROUNDS", 3)      # long unary paths stay open and are left single
+    rng = random.Random(11)
+    vocabulary = ["Red", "blue", "GREEN", "ünï", "a\xa0b", "x"]
+    licence = " ".join(f"w{i}" for i in range(40))
+    rows = [("en", None), (None, ""), ("en", "."), (None, "one two, three"), ("de", "a b a b a b a b a b a b a b a b a b a b a b a b"), ("de", "tab\tbed word\r\nnext")]
+    rows += [(rng.choice(["en", "de", None]), " ".join(rng.choice(vocabulary) + rng.choice(["", "", "", ",", "!"]) for _ in range(rng.randint(1, 60)))) for _ in range(80)]
+    rows += [("en", licence)] * 15 + [("en", "hot pair " + f"z{i % 40} tail") for i in range(300)] + [("fr", "long " * 4000)]
+    frame = spark.createDataFrame(rows, "lang string, text string").withColumns({"node": F.lit(1), "n": F.lit("x"), "next": F.lit(None).cast("int"), "rank": F.lit(0)})
+    names = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    got = sorted(map(tuple, phrases.collocations(frame.repartition(4)).select(names).collect()))
+    assert got == phrase_rows(rows)
+    top = sorted(map(tuple, phrases.collocations(frame, least=2, top=7).select(names).collect()))
+    assert top == phrase_rows(rows, 2, 7) and len(top) > 15
+
+
+def test_phrases_of_nothing(spark, empty):
+    from surveil.llm import phrases
+    assert phrases.collocations(empty).collect() == []
+
+
+def test_hot_nodes_are_spread_and_counts_stay(spark, monkeypatch):
+    from surveil.llm import phrases
+    monkeypatch.setattr(phrases, "SALTS", 5)
+    rows = [("en", f"very common word{i % 50} here, very common")  for i in range(600)]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    hot = phrases.hot_nodes(frame)
+    assert "very common" in hot["en"]
+    edges, flows = phrases.heavy_graph(frame)
+    assert {r.n for r in flows.filter("node = 'very common'").collect()} == {1200}
+    assert sorted(r.n for r in edges.filter("node = 'very common'").collect()) == [12] * 50
+
+
+def test_paths_are_compacted(spark):
+    from surveil.llm import phrases
+    frame = spark.createDataFrame([("en", "a b c d e f g h"), ("en", "x c d y")] * 12, "lang string, text string")
+    edges, flows = phrases.heavy_graph(frame)
+    rows = sorted((r.nodes, r.words, r.counts, r.flows) for r in phrases.paths(edges, flows).collect())
+    assert (["d e", "e f", "f g"], ["f", "g", "h"], [12] * 3, [12] * 4) in rows or any(len(r[0]) >= 3 for r in rows)
+    assert sum(len(r[1]) for r in rows) == edges.count()
