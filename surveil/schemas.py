@@ -69,6 +69,11 @@ EVALUATION = fields(
     " false_positive_rate double, true_positives bigint, false_positives bigint,"
     " false_negatives bigint, true_negatives bigint"
 )
+STREAM_PROGRESS = fields(
+    "feed string, batch_id bigint, started_at timestamp, batch_ms bigint, write_ms bigint, rows_read bigint,"
+    " rows_per_second double, state_rows bigint, state_bytes bigint, replays_dropped bigint"
+)
+COMMIT = fields("seq bigint, table string, day date, slot string, commit string")
 BATCH_METRICS = fields(
     "feed string, batch_id bigint, rows_read bigint, rows_rejected bigint, rows_new bigint,"
     " rows_flagged bigint, recorded_at timestamp"

@@ -57,6 +57,64 @@ def test_first_stored_copy_wins(spark, store, same_day):
     assert store.newest_micros("geo_events") == int((T0 + timedelta(minutes=1500)).replace(tzinfo=timezone.utc).timestamp() * 1e6)
 
 
+def test_a_copy_with_another_event_time_is_found(spark, store):
+    assert store.insert_if_absent("geo_events", reports(spark, *[report(i, 60 * i) for i in range(30)])) == 30
+    moved = reports(spark, *[report(i, 60 * i + 5000) for i in range(40)])     # days later, most ids known
+    assert store.insert_if_absent("geo_events", moved) == 10
+    assert store.insert_if_absent("geo_events", moved) == 0
+    assert store.read("geo_events").count() == 40 == store.read("geo_events").select("event_id").distinct().count()
+    plan = store._keys("geo_events", [1, 2])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan
+
+
+def test_a_batch_that_failed_before_its_keys_were_added_is_not_stored_twice(spark, store, monkeypatch):
+    def broken(*_):
+        raise OSError("disk gone")
+    with monkeypatch.context() as m:
+        m.setattr(store, "_add_keys", broken)
+        with pytest.raises(OSError):
+            store.insert_if_absent("geo_events", reports(spark, report(1, 0), report(2, 60)))
+    assert store.insert_if_absent("geo_events", reports(spark, report(1, 0), report(2, 60), report(3, 0))) == 1
+    assert store.read("geo_events").count() == 3
+    # a store from before the key table gets one
+    from surveil.session import delete_path
+    delete_path(spark, f"{store.root}/_keys")
+    assert store.insert_if_absent("geo_events", reports(spark, report(1, 9000), report(4, 0))) == 1
+
+
+def test_tables_of_a_transaction_change_together(spark, store):
+    both = cluster(spark, 1, 3)
+    end = datetime(2024, 1, 1, 1)
+    assigned = spark.createDataFrame([("G-1", end, "c-0", True)], schemas.ASSIGNMENT)
+    with store.transaction() as put:
+        put("clusters", both)
+        put("assignments", assigned)
+        assert store.read("clusters").count() == 0 == store.read("assignments").count()     # a reader in between
+    assert (store.read("clusters").count(), store.read("assignments").count()) == (3, 1)
+    with pytest.raises(RuntimeError):
+        with store.transaction() as put:
+            put("clusters", cluster(spark, 1, 1))
+            raise RuntimeError("no")
+    assert store.read("clusters").count() == 3
+    assert store.read_days("clusters", ["2024-01-01"]).count() == 3 and store.read_days("clusters", ["2024-01-02"]).count() == 0
+    assert store.vacuum() == 1 and store.vacuum() == 0 and store.read("clusters").count() == 3
+    with pytest.raises(ValueError, match="is not replaced"):
+        with store.transaction() as put:
+            put("geo_events", reports(spark, report(1, 0)))
+
+
+def test_two_writers_cannot_take_one_commit(spark, store):
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda i: store._publish([("forecasts", None, None, f"c{i}")]), range(12)))
+    assert sorted(numbers) == list(range(1, 13))
+    assert [(r["commit"], r["seq"]) for r in store.commits().collect()] == [(f"c{numbers.index(12)}", 12)]
+    assert store.commits(5).first()["seq"] == 5
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda v: store.replace("forecasts", forecast(spark, [v] * 3)), [1.0, 2.0]))
+    assert {r["predicted_cases"] for r in store.read("forecasts").collect()} in ({1.0}, {2.0})
+
+
 def test_range_is_open_left_and_prunes_days(spark, store):
     store.insert_if_absent("geo_events", reports(spark, *[report(i, 30 * i) for i in range(100)]))
     start = datetime(2024, 1, 1, 1, 5)
