@@ -29,9 +29,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveil.llm.idtable import IdTable, ranges
 from surveil.llm.words import slices
 
-CACHE_PIECES = 220_000
+CACHE_PIECES, CACHE_WORDS = 220_000, 220_000
+DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
 DECODED_IDS = 1 << 18   # ids decoded at a time
 # Unicode white space, as the pattern of the vocabulary file understands it.
 WHITE = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -75,11 +77,9 @@ class PairIndexBpe:
         order = np.argsort(keys)
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([rank for rank, _ in self.ranks.values()], np.int64)[order]
-        self.cache: dict[str, tuple[str, str, int]] = {}
-        self.word_cache: dict[str, tuple[str, str, int]] = {}
+        self.words = IdTable()
+        self._forget()
         self.rare_tools = None
-        self.strings = [self.pieces.get(i, "") for i in range(max(self.pieces) + 1)]
-        self.numbers = [str(i) for i in range(len(self.strings))]
 
     def words_of(self, pieces: list[str]) -> list[str]:
         """The normalised words of all pieces, with a line feed after each piece but the last."""
@@ -109,8 +109,8 @@ class PairIndexBpe:
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], -1)
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of every word; all words are merged together through the pair index."""
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each); all words are merged together through the pair index."""
         joined = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum([len(w) for w in words])
         symbols = self.inner[joined]
@@ -173,34 +173,23 @@ class PairIndexBpe:
             if len(touched):
                 note(touched)
         left = symbols >= 0
-        bounds = np.searchsorted(owner[left], np.arange(len(words) + 1)).tolist()
-        flat = symbols[left].tolist()
-        return [flat[i:j] for i, j in zip(bounds, bounds[1:])]
-
-    def _learn(self, pieces: list[str]) -> dict[str, tuple[str, str, int]]:
-        """(ids as text, decoded text, number of ids) of pieces that are not known yet."""
-        if not pieces:
-            return {}
-        words = self.words_of(pieces)
-        if len(self.word_cache) > CACHE_PIECES:
-            self.word_cache = {}
-        table = self.word_cache
-        new = [w for w in set(words) if w not in table and w != "\n"]
-        numbers, strings = self.numbers, self.strings
-        for word, ids in zip(new, self.merge([w.encode("utf-8", "surrogatepass") for w in new]), strict=True):
-            table[word] = (" ".join([numbers[i] for i in ids]), " ".join([strings[i] for i in ids]), len(ids))
-        out, own, at = {}, [], 0
-        for word in [*words, "\n"]:
-            if word != "\n":
-                own.append(table[word])
-                continue
-            if len(own) == 1:
-                out[pieces[at]] = own[0]
-            else:
-                own = [x for x in own if x[2]]
-                out[pieces[at]] = (" ".join([x[0] for x in own]), " ".join([x[1] for x in own]), sum([x[2] for x in own]))
-            own, at = [], at + 1
-        return out
+        return symbols[left].astype(np.int32), np.bincount(owner[left], minlength=len(words))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces that are not known yet; of each only its ids are kept."""
+        words = self.words_of(pieces) if pieces else []
+        if len(self.words.number) > CACHE_WORDS:
+            self.words = IdTable()
+        new = [w for w in set(words) if w not in self.words.number and w != "\n"]
+        if new:
+            self.words.add(new, *self.merge([w.encode("utf-8", "surrogatepass") for w in new]))
+        if "\n" not in self.words.number:
+            self.words.add(["\n"], np.zeros(0, np.int32), np.zeros(1, np.int64))     # ends a piece
+        flat, starts, lengths = self.words.arrays()
+        at = np.fromiter(map(self.words.number.__getitem__, words), np.int64, len(words))
+        bounds = np.concatenate([[0], np.cumsum(lengths[at])])
+        stops = np.concatenate([np.flatnonzero(at == self.words.number["\n"]), [len(words)]])
+        self.pieces_known.add(pieces, flat[ranges(starts[at], lengths[at])], np.diff(bounds[stops], prepend=0))
 
     def decode(self, ids) -> str:
         return " ".join(self.pieces[i] for i in ids if i in self.pieces)
@@ -216,25 +205,25 @@ class PairIndexBpe:
             out += [x] if x in self.special else _PIECE.findall(x) if _ODD_SPACES.search(x) else x.split()
         return out
 
-    def encode_all(self, texts: list[str | None]) -> list[tuple[str, str, int]]:
-        """(ids joined by blanks, decoded text, number of ids) of each text."""
-        if len(self.cache) > CACHE_PIECES:
-            self.cache = {}
-        for s, i in self.special.items():
-            self.cache[s] = (str(i), s, 1)
-        known = self.cache
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
         split = [self.parts(t) if t else [] for t in texts]
-        table = {p: known.get(p) for p in set().union(*split)}
-        learned = self._learn([p for p, x in table.items() if x is None])
-        table.update(learned)
-        if len(known) + len(learned) <= CACHE_PIECES:
-            known.update(learned)
-        out = []
-        for parts in split:
-            found = [x for x in map(table.__getitem__, parts) if x[2]]
-            joined = " ".join([x[0] for x in found])
-            out.append((joined, " ".join([x[1] for x in found]), joined.count(" ") + 1 if joined else 0))
-        return out
+        distinct = set().union(*split)
+        new = [p for p in distinct if p not in self.pieces_known.number]
+        if len(self.pieces_known.number) + len(new) > CACHE_PIECES:
+            self._forget()
+            new = [p for p in distinct if p not in self.special]
+        if new:
+            self._learn(new)
+        flat, starts, lengths = self.pieces_known.arrays()
+        sizes = np.array([len(x) for x in split], np.int64)
+        at = np.fromiter((self.pieces_known.number[p] for own in split for p in own), np.int64, int(sizes.sum()))
+        bounds = np.concatenate([[0], np.cumsum(lengths[at])])[np.concatenate([[0], np.cumsum(sizes)])]
+        return flat[ranges(starts[at], lengths[at])], np.diff(bounds)
+
+    def _forget(self) -> None:
+        self.pieces_known = IdTable()
+        self.pieces_known.add(list(self.special), np.array(list(self.special.values()), np.int32), np.ones(len(self.special), np.int64))
 
 
 def _model(text: str) -> PairIndexBpe:
@@ -269,36 +258,27 @@ def _groups(texts: list[str | None], limit: int = 1 << 22):
         yield texts[start:]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: bool = True) -> DataFrame:
-    """``docs`` without its text, plus ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, with
-    ``ids``, the token ids themselves. No shuffle."""
+def encode(docs: DataFrame, path: str, text: str = "text", digest: bool = True) -> DataFrame:
+    """``docs`` without its text, plus the token ``ids`` and, with ``digest``, ``n_tokens``,
+    ``ids_sha256`` and ``decoded_sha256``, which come from the ids and from decoding them. No shuffle."""
     with open(path, encoding="utf-8") as f:  # the driver's copy of a vocabulary of fixed size
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
-    added = ["ids", "n_tokens", "ids_sha256", "decoded_sha256"][0 if ids else 1:]
-    rest = [c for c in docs.columns if c not in (text, *added)]
+    rest = [c for c in docs.columns if c not in (text, "ids", *(DIGESTS if digest else ()))]
     rows = docs.select(F.col(text).cast("string").alias(text), *[F.col(f"`{c}`") for c in rest])
 
     def run(batches):
         model = _model(sent.value)
-        sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         for batch in batches:
             at = 0
             for group in _groups(batch.column(0).to_pylist()):
-                found = model.encode_all(group)
-                numbers = [n for _, _, n in found]
-                own = []
-                if ids:
-                    flat = np.zeros(0, np.int32) if not any(numbers) else np.fromstring(" ".join([joined for joined, _, n in found if n]), np.int32, sep=" ")
-                    own = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(numbers)]), pa.int32()), pa.array(flat))]
-                first, second = [sha(joined) for joined, _, _ in found], [sha(decoded) for _, decoded, _ in found]
-                yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(at, len(group)) for c in batch.columns[1:]], *own, pa.array(numbers, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())],
-                    names=[*rest, *added])
+                flat, counts = model.encode_all(group)
+                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*[c.slice(at, len(group)) for c in batch.columns[1:]], ids], names=[*rest, "ids"])
                 at += len(group)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
-    fields += ["ids array<int>"] * ids + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
-    return rows.mapInArrow(run, ", ".join(fields))
+    done = rows.mapInArrow(run, ", ".join([*fields, "ids array<int>"]))
+    return digests(done, path, keep_ids=True) if digest else done
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -327,11 +307,12 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     return shaped.mapInArrow(run, ", ".join([*fields, f"`{text}` string"]))
 
 
-def digests(rows: DataFrame, path: str) -> DataFrame:
-    """``rows`` without ``ids``; ``n_tokens`` and both digests come from the ids and from decoding them."""
+def digests(rows: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """``rows`` with ``n_tokens`` and both digests, from the ids and from decoding them."""
     written = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
     found = {"n_tokens": F.size("ids").cast("long"), "ids_sha256": F.sha2(written, 256), "decoded_sha256": F.sha2("decoded", 256)}
-    return decode(rows, path).select(*[F.col(f"`{c}`") for c in rows.columns if c not in ("ids", *found)], *[v.alias(c) for c, v in found.items()])
+    kept = [c for c in rows.columns if c not in found and (keep_ids or c != "ids")]
+    return decode(rows, path).select(*[F.col(f"`{c}`") for c in kept], *[v.alias(c) for c, v in found.items()])
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -341,4 +322,4 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digests(encode(docs, vocabulary_path()), vocabulary_path())
+    return digests(encode(docs, vocabulary_path(), digest=False), vocabulary_path())

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from surveil.llm.idtable import ranges
 from surveil.llm.warc import new_folder
 from surveil.llm.words import slices
 from surveil.session import stage
@@ -303,12 +304,6 @@ class CutEncoder:
         return out
 
 
-def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places of all given stretches, one after the other."""
-    total = np.cumsum(lengths)
-    return np.arange(int(total[-1]) if len(total) else 0) + np.repeat(starts - (total - lengths), lengths)
-
-
 _encoders: dict[str, CutEncoder] = {}
 
 
