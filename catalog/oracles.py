@@ -6,7 +6,8 @@ when its text (or a view it needs) mentions them.
 
 import re
 
-from surveil.constants import PATTERNS, REGIONS, VITALS, VITAL_RANGES
+from surveil.constants import FOREST_SEED, FOREST_TREES, PATTERNS, REGIONS, VITALS, VITAL_RANGES
+from surveil.operators.iforest import average_path
 
 _CENTRE_LAT = "[" + ", ".join(str(round(r[2] * 1e6)) for r in REGIONS) + "]"
 _CENTRE_LON = "[" + ", ".join(str(round(r[3] * 1e6)) for r in REGIONS) + "]"
@@ -61,6 +62,55 @@ def _cluster_views(name: str, slide: int) -> dict[str, str]:
     }
 
 
+_UNIT = "('0x' || substr(md5({}), 1, 13))::BIGINT"
+
+
+def _splits(rows: str) -> str:
+    """``rows`` (tree, node, level, vitals) with the split of their node, by MD5 of (seed, tree, node)."""
+    low, high = ", ".join(f"min({v}) OVER n" for v in VITALS), ", ".join(f"max({v}) OVER n" for v in VITALS)
+    feature = _UNIT.format(f"concat_ws(':', {FOREST_SEED}, tree, node, 'feature')")
+    share = _UNIT.format(f"concat_ws(':', {FOREST_SEED}, tree, node, 'split')")
+    return f"""SELECT *, CASE WHEN feature >= 0 THEN [{', '.join(VITALS)}][feature + 1] END AS value,
+            CASE WHEN feature >= 0 THEN CASE WHEN raw >= high THEN low ELSE raw END END AS split
+        FROM (SELECT *, low + {share} / 4503599627370496::DOUBLE * (high - low) AS raw
+        FROM (SELECT *, lows[feature + 1] AS low, highs[feature + 1] AS high
+        FROM (SELECT *, CASE WHEN level = 8 OR n <= 1 OR len(varying) = 0 THEN -1 ELSE varying[{feature} % greatest(len(varying), 1) + 1] END AS feature
+        FROM (SELECT *, list_filter(range(0, {len(VITALS)}), lambda i: highs[i + 1] > lows[i + 1]) AS varying
+        FROM (SELECT *, count(*) OVER n AS n, [{low}] AS lows, [{high}] AS highs FROM {rows} WINDOW n AS (PARTITION BY tree, node))))))"""
+
+
+def _forest_views(name: str, train: str, target: str) -> dict[str, str]:
+    """drawn, grow, nodes, walks, scores, threshold of a forest trained on ``train`` and applied to ``target``."""
+    vitals = ", ".join(f"{v}::DOUBLE AS {v}" for v in VITALS)
+    plain = ", ".join(VITALS)
+    seed, trees = FOREST_SEED, FOREST_TREES
+    def walk(rows):
+        return f"""SELECT event_id, tree, 0 AS node, {plain}, NULL::DOUBLE AS path_len FROM (SELECT event_id, {vitals} FROM {rows}), range(0, {trees}) t(tree)
+            UNION ALL SELECT w.event_id, w.tree, CASE WHEN n.feature < 0 THEN -1 WHEN [{", ".join("w." + v for v in VITALS)}][n.feature + 1] > n.split THEN 2 * w.node + 2 ELSE 2 * w.node + 1 END,
+                {", ".join("w." + v for v in VITALS)}, n.path_len FROM walk_{{}} w JOIN nodes_{name} n ON n.tree = w.tree AND n.node = w.node"""
+    def scores(walked):
+        return f"SELECT event_id, round(pow(2.0::DOUBLE, -(sum(path_len) / {trees} / {float(average_path(256))!r}::DOUBLE)), 6) AS s FROM {walked} WHERE path_len IS NOT NULL GROUP BY event_id"
+    return {
+        f"drawn_{name}": f"""SELECT tree, {vitals} FROM (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY md5(concat_ws(':', {seed}, event_id, tree, 'order')), event_id) AS place FROM (
+            SELECT DISTINCT event_id, {plain}, ({_UNIT.format(f"concat_ws(':', {seed}, event_id, offer)")} % {trees})::INTEGER AS tree FROM (
+            SELECT *, unnest(range(1, times + 1)) AS offer FROM (
+            SELECT *, floor(offers)::INTEGER + ({_UNIT.format(f"concat_ws(':', {seed}, event_id, 'offer')")} / 4503599627370496::DOUBLE < offers - floor(offers))::INTEGER AS times
+            FROM {train}, (SELECT 3.0::DOUBLE * 256 * {trees} / count(*) AS offers FROM {train}))))) WHERE place <= 256""",
+        f"grow_{name}": f"""SELECT tree, 0 AS node, 0 AS level, {plain} FROM drawn_{name}
+            UNION ALL SELECT tree, 2 * node + CASE WHEN value > split THEN 2 ELSE 1 END, level + 1, {plain} FROM ({_splits(f'grow_{name}')}) WHERE feature >= 0""",
+        f"nodes_{name}": f"""SELECT DISTINCT tree, node, feature::INTEGER AS feature, split, CASE WHEN feature < 0 THEN level::DOUBLE + CASE WHEN n <= 1 THEN 0.0::DOUBLE
+                WHEN n = 2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * (ln(n - 1.0::DOUBLE) + 0.5772156649::DOUBLE) - 2.0::DOUBLE * (n - 1.0::DOUBLE) / n END END AS path_len
+            FROM ({_splits(f'grow_{name}')})""",
+        f"walk_{name}": walk(train).format(name),
+        f"trainscore_{name}": scores(f"walk_{name}"),
+        f"walk_{name}_out": walk(target).format(f"{name}_out"),
+        f"outscore_{name}": scores(f"walk_{name}_out"),
+        f"flags_{name}": f"""SELECT event_id, round_even(s - t, 6) AS anomaly_score, s - t > 0 AS predicted_anomaly
+            FROM {'trainscore' if train == target else 'outscore'}_{name}, (SELECT quantile_cont(s, 0.97) AS t FROM trainscore_{name})""",
+    }
+
+
 _RISK = """least(rate / 0.1::DOUBLE, 1.0::DOUBLE) AS ap, least(cases / 20.0::DOUBLE, 1.0::DOUBLE) AS cp"""
 _SCORE = "round_even(100 * (0.5::DOUBLE * ap + 0.5::DOUBLE * cp), 2)"
 _LEVEL = "CASE WHEN risk_score >= 60 THEN 'High' WHEN risk_score >= 30 THEN 'Medium' ELSE 'Low' END"
@@ -208,6 +258,10 @@ VIEWS: dict[str, str] = {
     "half_span": _span("first_half"),
     "half_series": _series("first_half", "half_span"),
     "half_predicted": _forecast("half_series"),
+    "readings_before": f"SELECT * FROM readings WHERE created_at < {HALF}",
+    "readings_after": f"SELECT * FROM readings WHERE created_at >= {HALF}",
+    **_forest_views("all", "readings", "readings"),
+    **_forest_views("early", "readings_before", "readings_after"),
     # p arrives at its own time; q is near it and at most an hour older; q is core among events up to p's time
     "close": f"""SELECT a.event_id AS p, a.event_time AS pt, b.event_id AS q, b.event_time AS qt
         FROM reports a JOIN reports b ON b.event_time > a.event_time - INTERVAL 60 MINUTE
@@ -351,6 +405,9 @@ QUERIES: dict[str, str] = {
         region AS top_risk_region, risk_score AS top_risk_score, risk_level AS top_risk_level,
         window_end AS latest_window_end FROM newest_risk ORDER BY risk_score DESC, region LIMIT 1""",
     "latency_summary": f"{_latency('vitals', 'readings')} UNION ALL {_latency('reports', 'reports')}",
+    "forest_nodes": "SELECT tree, node, feature, round(split, 9) AS split, round(path_len, 9) AS path_len FROM nodes_all",
+    "forest_flags": "SELECT * FROM flags_all",
+    "forest_evaluation": _metrics("flags_early JOIN reading_labels USING (event_id)", "is_anomaly", "predicted_anomaly"),
     "confusion_metrics": _metrics("readings JOIN reading_labels USING (event_id)", "is_anomaly", "predicted_anomaly"),
     "recall_by_type": """SELECT anomaly_type, count(*) AS items, round_even(avg(predicted_anomaly::INT::DOUBLE), 3) AS recall
         FROM readings JOIN reading_labels USING (event_id) WHERE is_anomaly GROUP BY anomaly_type""",

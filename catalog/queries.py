@@ -348,7 +348,8 @@ def scaled_vitals(f):
 
 
 def forest_nodes(f):
-    return iforest.train(f.readings_of(*VITALS)).nodes
+    nodes = iforest.train(f.readings_of(*VITALS)).nodes
+    return nodes.withColumns({name: F.round(name, 9) for name in ("split", "path_len")})
 
 
 def forest_score_fixed(f):
@@ -356,8 +357,7 @@ def forest_score_fixed(f):
 
 
 def forest_flags(f):
-    readings = f.readings_of(*VITALS)
-    return iforest.score(iforest.train(readings), readings).select("event_id", "anomaly_score", "predicted_anomaly")
+    return iforest.train_and_flag(f.readings_of(*VITALS))[1]
 
 
 def forest_evaluation(f):

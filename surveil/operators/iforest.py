@@ -1,9 +1,12 @@
 """Isolation Forest (Liu, Ting, Zhou, ICDM 2008) trained and applied on Spark.
 
-Training reads the data twice: once for the scale of each feature, once to draw a fixed
-number of rows per tree by a seeded hash of the key. Each tree then grows in its own small
-group. The model is a table of tree nodes whose size depends on its parameters only
-(trees x 2^depth), so it can be sent to every task.
+The key and the six features are staged once. Of them a fixed number of rows per tree is drawn by
+hash of the key, and all trees grow together, level by level: windows over (tree, node) give the
+ranges a split is drawn from, and as the drawn rows are dealt out by tree, no level shuffles.
+Every draw is an MD5 of (seed, tree, node or key), so a model can be repeated anywhere, in SQL
+too. Splits are in the units of the readings: scaling does not change which trees there are.
+The model is a table of tree nodes whose size depends on its parameters only (trees x 2^depth),
+so it can be sent to every task. Training rows are scored once, for threshold and flags alike.
 """
 
 import time
@@ -12,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surveil.constants import FOREST_CONTAMINATION, FOREST_SEED, FOREST_TREES, VITALS
@@ -64,20 +67,61 @@ def scale_vitals(readings: DataFrame, keys: list[str]) -> DataFrame:
                                            [stats[f"sd_{v}"] for v in VITALS]))
 
 
+def _hash(*parts):
+    """52 bits of the MD5 of the parts, joined by colons."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[F.lit(p) if isinstance(p, (str, int)) else p.cast("string") for p in parts])), 1, 13), 16, 10).cast("long")
+
+
+def _unit(*parts):
+    """A number in [0, 1)."""
+    return _hash(*parts).cast("double") / F.lit(float(1 << 52))
+
+
 def _draw(readings: DataFrame, rows: int, sample: int, trees: int, seed: int, key: str) -> DataFrame:
-    """(tree, _order, ...) candidates, about three times what each tree needs.
+    """(tree, key, features): ``sample`` rows of each tree, or all where there are fewer.
 
     One rule for any number of rows: every row is offered ``3 * sample * trees / rows`` times, each
-    time to a tree drawn by hash; below one offer, a row is offered with that probability.
+    time to a tree drawn by hash; below one offer, a row is offered with that probability. Of the
+    rows offered to a tree the first by hash stay.
     """
     offers = 3.0 * sample * trees / rows
-    share = F.expr(f"(xxhash64({key}, {seed}) & 9007199254740991L) / 9007199254740992.0D")
-    times = F.floor(F.lit(offers)).cast("int") + (share < offers - np.floor(offers)).cast("int")
-    offered = readings.withColumn("_times", times).filter("_times > 0").withColumn(
-        "_offer", F.explode(F.sequence(F.lit(1), F.col("_times")))).withColumn(
-        "tree", F.expr(f"CAST(pmod(xxhash64({key}, {seed}, _offer), {trees}) AS INT)"))
-    return offered.drop("_offer", "_times").dropDuplicates(["tree", key]).withColumn(
-        "_order", F.expr(f"xxhash64({key}, {seed}, tree, 'order')"))
+    times = F.floor(F.lit(offers)).cast("int") + (_unit(seed, F.col(key), "offer") < offers - np.floor(offers)).cast("int")
+    offered = readings.withColumn("_times", times).filter("_times > 0").withColumn("_offer", F.explode(F.sequence(F.lit(1), F.col("_times")))).withColumn(
+        "tree", (_hash(seed, F.col(key), F.col("_offer")) % trees).cast("int")).drop("_offer", "_times").dropDuplicates(["tree", key])
+    first = Window.partitionBy("tree").orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key), F.col("tree"), F.lit("order"))), key)
+    return offered.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= sample).drop("_place")
+
+
+def _path_column(rows):
+    """``average_path`` of a column."""
+    return F.when(rows <= 1, 0.0).when(rows == 2, 1.0).otherwise(2.0 * (F.log(rows - 1.0) + _EULER) - 2.0 * (rows - 1.0) / rows)
+
+
+def _grow(drawn: DataFrame, depth: int, seed: int) -> DataFrame:
+    """The nodes of all trees; ``drawn`` is dealt out by tree, and stays so."""
+    here = Window.partitionBy("tree", "node")
+    lows, highs = [f"_low{i}" for i in range(len(VITALS))], [f"_high{i}" for i in range(len(VITALS))]
+    state = drawn.select("tree", *[F.col(v).cast("double").alias(v) for v in VITALS], F.lit(0).alias("node"), F.lit(True).alias("_grows"),
+                         F.lit(None).cast("array<struct<node:int,feature:int,split:double,path_len:double>>").alias("_trail"))
+    for level in range(depth + 1):
+        state = state.withColumns({"_n": F.count("*").over(here), **{n: F.min(v).over(here) for n, v in zip(lows, VITALS)},
+                                   **{n: F.max(v).over(here) for n, v in zip(highs, VITALS)}})
+        varying = F.array_compact(F.array(*[F.when(F.col(h) > F.col(low), i) for i, (low, h) in enumerate(zip(lows, highs))]))
+        state = state.withColumn("_varying", varying)
+        ends = (F.col("_n") <= 1) | (F.size("_varying") == 0) if level < depth else F.lit(True)
+        drawn_feature = F.element_at("_varying", (_hash(seed, F.col("tree"), F.col("node"), "feature") % F.size("_varying")).cast("int") + 1)
+        state = state.withColumn("_feature", F.when(ends, -1).otherwise(drawn_feature))
+        state = state.withColumns({name: F.when(F.col("_feature") >= 0, F.element_at(F.array(*of), F.col("_feature") + 1))
+                                   for name, of in (("_low", lows), ("_high", highs), ("_value", VITALS))})
+        state = state.withColumn("_split", F.col("_low") + _unit(seed, F.col("tree"), F.col("node"), "split") * (F.col("_high") - F.col("_low")))
+        state = state.withColumn("_split", F.when(F.col("_split") >= F.col("_high"), F.col("_low")).otherwise(F.col("_split")))
+        node = F.struct("node", F.col("_feature").alias("feature"), F.col("_split").alias("split"),
+                        F.when(F.col("_feature") < 0, F.lit(float(level)) + _path_column(F.col("_n"))).alias("path_len"))
+        trail = F.concat(F.coalesce("_trail", F.array().cast(state.schema["_trail"].dataType)), F.array(node))
+        on = F.col("_grows") & (F.col("_feature") >= 0)
+        state = state.select("tree", *VITALS, F.when(on, 2 * F.col("node") + F.when(F.col("_value") > F.col("_split"), 2).otherwise(1)).otherwise(F.col("node")).alias("node"),
+                             on.alias("_grows"), F.when(F.col("_grows"), trail).otherwise(F.col("_trail")).alias("_trail"))
+    return state.select("tree", F.explode("_trail").alias("x")).select("tree", "x.*").distinct()
 
 
 def train(readings: DataFrame, trees: int = FOREST_TREES, contamination: float = FOREST_CONTAMINATION,
@@ -87,8 +131,19 @@ def train(readings: DataFrame, trees: int = FOREST_TREES, contamination: float =
     ``sample_rows`` is the algorithm's own parameter: each tree isolates a sample of that many
     rows. Scaling and the threshold use every row.
     """
+    return _trained(readings, trees, contamination, seed, key, sample_rows)[0]
+
+
+def train_and_flag(readings: DataFrame, key: str = "event_id", **options) -> tuple[Forest, DataFrame]:
+    """The forest, and (key, anomaly_score, predicted_anomaly) of the rows it was trained on, which are scored only once."""
+    forest, scores = _trained(readings, key=key, **options)
+    return forest, _flagged(scores, F.col("_score"), forest.threshold).drop("_score")
+
+
+def _trained(readings: DataFrame, trees: int = FOREST_TREES, contamination: float = FOREST_CONTAMINATION,
+             seed: int = FOREST_SEED, key: str = "event_id", sample_rows: int = SAMPLE_ROWS) -> tuple[Forest, DataFrame]:
     without_labels(readings)
-    readings = readings.select(key, *VITALS)
+    readings = stage(readings.select(key, *VITALS), "forest-rows")
     stats = feature_stats(readings).first()
     if not stats["n"]:
         raise ValueError("No readings to train on.")
@@ -96,43 +151,12 @@ def train(readings: DataFrame, trees: int = FOREST_TREES, contamination: float =
     deviations = [stats[f"sd_{v}"] for v in VITALS]
     sample = min(sample_rows, stats["n"])
     depth = max(1, int(np.ceil(np.log2(max(sample, 2)))))
-    drawn = _draw(readings, stats["n"], sample_rows, trees, seed, key).select(
-        "tree", "_order", key, *_scaled(means, deviations))
-    nodes = stage(drawn.groupBy("tree").applyInPandas(_grower(sample, depth, seed, key), NODE_SCHEMA),
-                  "forest")
+    drawn = _draw(readings, stats["n"], sample_rows, trees, seed, key)
+    nodes = stage(_grow(drawn, depth, seed).select(*[x.split()[0] for x in NODE_SCHEMA.split(", ")]), "forest")
     forest = Forest(means, deviations, nodes, sample, depth)
-    scores = readings.select(_score(forest).alias("s"))
-    forest.threshold = exact_quantiles(scores, [], "s", {"t": 1 - contamination}).first()["t"]
-    return forest
-
-
-def _grower(sample: int, depth: int, seed: int, key: str):
-    features = [f"z_{name}" for name in VITALS]
-    path_of = {size: average_path(size) for size in range(sample + 1)}
-
-    def grow(frame: pd.DataFrame) -> pd.DataFrame:
-        tree = int(frame["tree"].iloc[0])
-        chosen = frame.sort_values(["_order", key]).head(sample)[features].to_numpy(dtype=float)
-        random = np.random.default_rng([seed, tree])
-        rows, todo = [], [(0, 0, chosen)]
-        while todo:
-            node, level, part = todo.pop()
-            low, high = part.min(axis=0), part.max(axis=0)
-            varying = np.flatnonzero(high > low)
-            if level == depth or len(part) <= 1 or not len(varying):
-                rows.append((tree, node, -1, None, level + path_of[len(part)]))
-                continue
-            feature = int(random.choice(varying))
-            split = random.uniform(low[feature], high[feature])
-            if split <= low[feature]:
-                split = np.nextafter(low[feature], high[feature])
-            rows.append((tree, node, feature, split, None))
-            right = part[:, feature] >= split
-            todo.append((2 * node + 2, level + 1, part[right]))
-            todo.append((2 * node + 1, level + 1, part[~right]))
-        return pd.DataFrame(rows, columns=["tree", "node", "feature", "split", "path_len"])
-
-    return grow
+    scores = stage(readings.select(key, _score(forest).alias("_score")), "forest-scores")
+    forest.threshold = exact_quantiles(scores, [], "_score", {"t": 1 - contamination}).first()["t"]
+    return forest, scores
 
 
 def _score(forest: Forest):
@@ -155,17 +179,16 @@ def _score(forest: Forest):
         node = np.where(node < inner, 2 * node + 1, node)
     path[ends["tree"], node - inner] = ends["path_len"]
     norm, depth, width = average_path(forest.sample_rows) or 1.0, forest.depth, len(VITALS)
-    means, deviations = np.array(forest.means), np.array([sd or 1.0 for sd in forest.deviations])
 
     @F.pandas_udf("double")
     def score(frame: pd.DataFrame) -> pd.Series:
-        values = ((frame.to_numpy(dtype=float) - means) / deviations)
+        values = frame.to_numpy(dtype=float)
         flat, start = values.ravel(), np.arange(len(values)) * width
         total = np.zeros(len(values))
         for tree in range(trees):
             at = np.zeros(len(values), dtype=np.int64)
             for _ in range(depth):
-                at = 2 * at + 1 + (flat[start + feature[tree][at]] >= split[tree][at])
+                at = 2 * at + 1 + (flat[start + feature[tree][at]] > split[tree][at])
             total += path[tree][at - inner]
         return pd.Series(np.round(2.0 ** (-total / trees / norm), 6))
 
@@ -175,10 +198,13 @@ def _score(forest: Forest):
 def score(forest: Forest, readings: DataFrame) -> DataFrame:
     """Adds ``anomaly_score`` (higher = stranger) and ``predicted_anomaly`` (score above 0)."""
     without_labels(readings)
-    # flagged by the exact difference, shown with six decimals
-    exact = readings.withColumn("anomaly_score", _score(forest) - F.lit(forest.threshold))
-    return exact.withColumn("predicted_anomaly", F.col("anomaly_score") > 0).withColumn(
-        "anomaly_score", F.bround("anomaly_score", 6))
+    return _flagged(readings, _score(forest), forest.threshold)
+
+
+def _flagged(rows: DataFrame, value, threshold: float) -> DataFrame:
+    """Flagged by the exact difference from the threshold, shown with six decimals."""
+    exact = rows.withColumn("anomaly_score", value - F.lit(threshold))
+    return exact.withColumn("predicted_anomaly", F.col("anomaly_score") > 0).withColumn("anomaly_score", F.bround("anomaly_score", 6))
 
 
 def score_boxes(readings: DataFrame, boxes: list[tuple[int, dict, float]], norm: float,
