@@ -382,6 +382,9 @@ QUERIES: dict[str, str] = {
     "semi_filter": """SELECT event_id, patient_id, event_time FROM readings
         WHERE patient_id IN (SELECT patient_id FROM readings WHERE predicted_anomaly)""",
     "window_members": f"SELECT window_end, event_id FROM ({_members(15)})",
+    "members_at_given_ends": """SELECT window_end, event_id FROM reports
+        JOIN (SELECT DISTINCT date_trunc('hour', event_time) + INTERVAL 37 MINUTE AS window_end FROM reports) e
+        ON event_time <= window_end AND event_time > window_end - INTERVAL 45 MINUTE""",
     "neighbour_degree": "SELECT window_end, event_id, degree FROM degree_hour",
     "nearest_region": f"""SELECT event_id, region, nearest, round(distance, 6) AS distance_km FROM (
         SELECT r.event_id, r.region, g.region AS nearest,

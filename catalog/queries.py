@@ -9,7 +9,7 @@ from catalog.fixtures import FIXED_FOREST, FIXED_FOREST_NORM, FIXED_FOREST_THRES
 from surveil.constants import VITALS
 from surveil.functions import clock, geo
 from surveil.functions.risk import risk_columns
-from surveil.operators import clusters, dbscan, evaluate, forecast, history, iforest, keyed, neighbours, outbreaks, validate
+from surveil.operators import clusters, dbscan, evaluate, forecast, history, iforest, intervals, keyed, neighbours, outbreaks, validate
 from surveil.plans import evaluation, reports, risk
 
 START, END = datetime(2024, 1, 10, 6, 0), datetime(2024, 1, 12, 18, 0)
@@ -35,12 +35,12 @@ def _labelled(feeds: Feeds) -> DataFrame:
 
 def _latest_risk(feeds: Feeds) -> DataFrame:
     newest = validate.valid_reports(feeds.raw_reports).select("event_time")
-    return risk.region_risk(risk.latest_window_only(_flags(feeds), newest),
-                            risk.latest_window_only(feeds.reports_of(*risk.REPORT_COLUMNS), newest))
+    latest = risk.in_latest_window(newest)
+    return risk.region_risk(_flags(feeds, latest), feeds.reports_of(*risk.REPORT_COLUMNS, where=latest))
 
 
-def _flags(feeds: Feeds) -> DataFrame:
-    return feeds.readings_of("event_time", "region", "predicted_anomaly")
+def _flags(feeds: Feeds, where=None) -> DataFrame:
+    return feeds.readings_of("event_time", "region", "predicted_anomaly", where=where)
 
 
 def _cases(feeds: Feeds) -> DataFrame:
@@ -247,6 +247,13 @@ def window_members(f):
     return _members(f, slide=15).select("window_end", "event_id")
 
 
+def members_at_given_ends(f):
+    """Reports in the 45 minutes up to 37 past every hour that has reports: ends that no fixed slide meets."""
+    places = f.reports_of("event_time")
+    ends = places.select((F.window("event_time", "1 hour").start + F.expr("INTERVAL 37 MINUTES")).alias("window_end")).distinct()
+    return intervals.members_at(places, ends, 45).select("window_end", "event_id")
+
+
 def neighbour_degree(f):
     return neighbours.neighbour_degree(_members(f))
 
@@ -412,7 +419,7 @@ REGISTERED = [
     insert_if_absent_reports, latest_assignment, table_counts, valid_vitals, valid_reports, reject_counts,
     reject_reasons, filter_readings, filter_reports, store_checks, utc_text, latency_rows, distance_to_region,
     offset_position, tick_bucket, risk_grid, recent_readings, map_points, normalise_vitals, pattern_tags,
-    label_join, label_join_audit, region_risk, risk_map, semi_filter, window_members, neighbour_degree,
+    label_join, label_join_audit, region_risk, risk_map, semi_filter, window_members, members_at_given_ends, neighbour_degree,
     nearest_region, outbreak_members, cluster_summary, case_history, latest_event_time, headline,
     latency_summary, confusion_metrics, recall_by_type, outbreaks_detected, reconciliation, symptom_options,
     latest_risk, active_clusters, last_clusters, risk_table, time_extent, scaled_vitals, forest_nodes, forest_score_fixed,

@@ -1,41 +1,48 @@
-"""Exact quantiles from counts of distinct values, in two levels."""
+"""Exact quantiles from counts of distinct values, by refining the range that holds a rank.
+
+Values are counted first. While a range that holds a wanted rank has more distinct values than one
+task should order, it is cut at ``PARTS`` of its own quantiles (a sketch of bounded size decides where
+to cut, exact counts decide which part holds the rank), so every round divides it by about ``PARTS``
+however the values are spread. Only what is left is put in order. Planning a query therefore runs it.
+"""
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1000
+from surveil.session import stage
 
+PARTS = 64
+ORDERED_VALUES = 100_000   # distinct values of one range that a task orders
 
-def exact_quantiles(rows: DataFrame, by: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
-    """One row per ``by`` with linearly interpolated quantiles of the non-null ``value``.
 
-    Values are counted, and the counts summed over ``BUCKETS`` equal ranges of each group. The sums
-    tell which ranges hold the wanted ranks; only the values of those few ranges are put in order.
-    """
+def exact_quantiles(rows: DataFrame, by: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """One row per ``by`` with linearly interpolated quantiles of the non-null ``value``; no row for a group without values."""
     wanted_by, by = by, by or ["_every"]
     rows = rows if wanted_by else rows.withColumn("_every", F.lit(0))
-    keys = [*by, "_all"]
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_count"))
-    span = counts.groupBy(*by).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.sum("_count").alias("_all"))
-    counts = counts.join(span, by)
-    share = F.expr(f"coalesce(try_divide(CAST({value} AS DOUBLE) - _low, CAST(_high AS DOUBLE) - _low), 0D)")
-    counts = counts.withColumn("_bucket", F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")).drop("_low", "_high")
-    buckets = counts.groupBy(*keys, "_bucket").agg(F.sum("_count").alias("_held"))
-    along = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("_before", F.coalesce(F.sum("_held").over(along), F.lit(0)))
-    holds = " OR ".join(f"(_before <= ceil({q!r}D * (_all - 1)) AND _before + _held > floor({q!r}D * (_all - 1)))" for q in wanted.values())
-    near = counts.join(buckets.filter(holds), [*keys, "_bucket"])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
-    ranked = near.withColumn("_upto", F.col("_before") + F.sum("_count").over(inside))
+    counts = stage(rows.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_value")).agg(F.count("*").alias("_count")), "counts")
+    names = F.explode(F.array(*[F.struct(F.lit(name).alias("_name"), F.lit(float(q)).alias("_q")) for name, q in wanted.items()]))
+    whole = counts.groupBy(*by).agg(F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.sum("_count").alias("_all"), F.count("*").alias("_values"))
+    ranges = whole.select(*by, "_low", "_high", "_all", "_values", F.lit(0).cast("long").alias("_before"), names.alias("_w")).select(
+        *by, "_w._name", (F.col("_w._q") * (F.col("_all") - 1)).alias("_place"), "_low", "_high", "_before", "_values")
+    ranges = stage(ranges, "ranges")
+    key = [*by, "_name"]
+    while ranges.filter(F.col("_values") > ORDERED_VALUES).limit(1).count():
+        open_ranges = ranges.filter(F.col("_values") > ORDERED_VALUES)
+        inside = counts.join(open_ranges, by).filter("_value BETWEEN _low AND _high")
+        cuts = inside.groupBy(*key).agg(F.percentile_approx("_value", [i / PARTS for i in range(1, PARTS)], 16 * PARTS).alias("_cuts"))
+        parts = inside.join(cuts, key).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col("_value")))).groupBy(*key, "_place", "_before", "_part").agg(
+            F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.sum("_count").alias("_held"), F.count("*").alias("_values"))
+        along = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_held").over(along), F.lit(0)))
+        held = parts.filter("_before <= ceil(_place) AND _before + _held > floor(_place)")
+        finer = held.groupBy(*key, "_place").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high"), F.min("_before").alias("_before"), F.sum("_values").alias("_values"))
+        ranges = stage(finer.select(*ranges.columns).unionByName(ranges.filter(F.col("_values") <= ORDERED_VALUES)), "ranges")
+    near = counts.join(ranges, by).filter("_value BETWEEN _low AND _high")
+    upto = near.withColumn("_upto", F.col("_before") + F.sum("_count").over(Window.partitionBy(*key).orderBy("_value")))
 
     def at(rank: str):
-        return F.min(F.expr(f"IF(_upto > {rank}, {value}, NULL)"))
-
-    aggregates = []
-    for name, q in wanted.items():
-        place = f"{q!r}D * (_all - 1)"
-        aggregates += [at(f"floor({place})").alias(f"_{name}_low"), at(f"ceil({place})").alias(f"_{name}_high"),
-                       F.max(F.expr(f"{place} - floor({place})")).alias(f"_{name}_part")]
-    found = ranked.groupBy(*by).agg(*aggregates)
-    return found.selectExpr(*wanted_by, *[
-        f"_{n}_low + (_{n}_high - _{n}_low) * _{n}_part AS {n}" for n in wanted])
+        return F.min(F.expr(f"IF(_upto > {rank}, _value, NULL)"))
+
+    found = upto.groupBy(*key).agg(at("floor(_place)").alias("_a"), at("ceil(_place)").alias("_b"), F.max(F.expr("_place - floor(_place)")).alias("_part"))
+    found = found.select(*by, "_name", F.expr("_a + (_b - _a) * _part").alias("_found"))
+    return found.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == name, F.col("_found"))).alias(name) for name in wanted]).select(*wanted_by, *wanted)

@@ -1,6 +1,6 @@
 """Regional risk per window."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveil.constants import REGION_IDS
@@ -42,11 +42,19 @@ def region_risk(readings: DataFrame, reports: DataFrame, minutes: int = 60, slid
     return risk_of_windows(members, readings, minutes, slide)
 
 
+def in_latest_window(newest: DataFrame, minutes: int = 60) -> Column:
+    """Condition on ``event_time``: in the window that holds the newest of the given times.
+
+    It is a scalar subquery, so it can stand below a dedupe: one window is shuffled instead of all.
+    """
+    end = window_members(newest.agg(F.max("event_time").alias("event_time")), minutes).select("window_end").scalar()
+    return (F.col("event_time") <= end) & (F.col("event_time") > end - F.expr(f"INTERVAL {minutes} MINUTES"))
+
+
 def latest_window_only(events: DataFrame, newest: DataFrame, minutes: int = 60) -> DataFrame:
     """Events of the window that holds the newest report.
 
     ``newest`` is the reports' own times: the filter is a scalar subquery, so only one
     window is clustered instead of all.
     """
-    ends = window_members(newest.agg(F.max("event_time").alias("event_time")), minutes).select("window_end")
-    return window_members(events, minutes).filter(F.col("window_end") == ends.scalar()).drop("window_end")
+    return events.filter(in_latest_window(newest, minutes))

@@ -23,7 +23,11 @@ from surveil.operators.clusters import cluster_summary, window_members
 from surveil.operators.dbscan import find_clusters
 from surveil.operators.forecast import trend_forecast
 from surveil.operators.history import series_history
+from surveil.operators import iforest, validate
+from surveil.operators.keyed import first_copy
 from surveil.operators.validate import reading_rules, reject_reason, report_rules, with_reason
+from surveil.plans.evaluation import evaluate_clusters, evaluate_flags
+from surveil.plans.reports import evaluation_table
 from surveil.plans.risk import risk_of_windows
 from surveil.session import staged_tables
 from surveil.sources.files import CORRUPT, stream_json
@@ -186,6 +190,16 @@ def publish_forecasts(store: Store) -> None:
     store.replace("forecasts", rows)
 
 
+def publish_evaluation(store: Store, train: DataFrame, held_out: DataFrame, labels: DataFrame, reports: DataFrame,
+                       report_labels: DataFrame, model_path: str, **options) -> None:
+    """Train and save a forest on one part, score the other with the saved model, replay the reports, compare both with the
+    labels that were kept apart, and replace the evaluation table."""
+    iforest.save(iforest.train(validate.valid_readings(train), **options), model_path)
+    scored = iforest.score(iforest.load(store.spark, model_path), first_copy(validate.valid_readings(held_out)))
+    store.replace("evaluation", evaluation_table(
+        ("forest", evaluate_flags(scored, labels)), ("dbscan", evaluate_clusters(first_copy(validate.valid_reports(reports)), report_labels))))
+
+
 TRIGGERS = {"once": {"availableNow": True}, "continuous": {"processingTime": f"{TRIGGER_SECONDS} seconds"}}
 
 
