@@ -39,7 +39,7 @@ POSITION_BITS = 17
 CHUNK = (1 << POSITION_BITS) - 64
 SEGMENT = CHUNK - 256               # window starts of one segment
 PHRASES_PER_BUCKET = 2000
-BUCKET_BYTES = 1 << 20
+BUCKET_WORK = 1 << 19            # bytes and windows of phrases sorted at a time; each takes some 100 bytes of a task
 LAST_ID = (1 << 63) - 1
 
 # A perfect difference set; every distance modulo 31 is a difference of two of them.
@@ -279,11 +279,11 @@ def foreign_windows(dictionary: DataFrame, docs: DataFrame) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > BUCKET_BYTES and row[:2] != held[-1][:2]:
+                if size > BUCKET_WORK and row[:2] != held[-1][:2]:
                     yield _resolve(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[7])
+                size += len(row[6]) + len(row[7])
         if held:
             yield _resolve(held)
 
@@ -299,6 +299,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     keys = phrases.groupBy("key").agg(F.count("*").alias("n"), F.min("name").alias("low"), F.max("name").alias("high"))
     # staged, so that a key with very many phrases can be split in the join
     keys = stage(keys.filter("n > 1").select("key", (F.col("low") != F.col("high")).alias("differ")), "keys", "zstd")
+    release_shuffles(docs.sparkSession)
     live = stage(phrases.join(keys, "key"), "live", "zstd")
     unstage(phrases)
     release_shuffles(docs.sparkSession)
