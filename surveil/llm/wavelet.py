@@ -43,7 +43,7 @@ from surveil.session import stage
 SHARD_TOKENS = 1 << 22
 BLOCK_BITS = 1 << 16
 BATCH_CHARS = 1 << 23
-CACHE_PIECES = 800_000
+CACHE_PIECES = 1_200_000
 END_ID = 0
 MAGIC = b"wavelet1"
 LEVEL = 1
@@ -73,22 +73,21 @@ class PlaneWriter:
         row = ids.astype(np.uint16 if width <= 16 else np.uint32)
         zeros, ones, offsets = [], [], []
         for level in range(width - 1, -1, -1):
-            bits = (row >> row.dtype.type(level)).astype(np.uint8) & np.uint8(1)
-            mask = bits.view(bool)
-            packed = np.packbits(bits, bitorder="little").tobytes()
+            mask = (row & row.dtype.type(1 << level)) != 0
+            packed = np.packbits(mask, bitorder="little").tobytes()
             before, step = 0, BLOCK_BITS // 8
             for start in range(0, len(packed), step):
                 raw = packed[start:start + step]
                 ones.append(before)
-                before += int(np.count_nonzero(bits[start * 8:start * 8 + BLOCK_BITS]))
+                before += int(np.count_nonzero(mask[start * 8:start * 8 + BLOCK_BITS]))
                 small = self.squeeze.compress(raw)
                 block = b"\1" + small if len(small) < len(raw) else b"\0" + raw
                 offsets.append(at)
                 out.append(block)
                 at += len(block)
-            low = row[~mask]
+            low = row.take(np.flatnonzero(~mask))
             zeros.append(len(low))
-            row = np.concatenate([low, row[mask]])
+            row = np.concatenate([low, row.take(np.flatnonzero(mask))])
         offsets.append(at)
         known = np.array([d is not None for d in doc_ids], np.uint8)
         table = b"".join([np.array([d or 0 for d in doc_ids], "<i8").tobytes(), known.tobytes(), np.asarray(ends, "<i8").tobytes(),
@@ -203,8 +202,8 @@ class WaveletFile:
             cuts = (self.offsets[first:first + self.blocks + 1] - self.offsets[first]).tolist()
             bits = np.concatenate([self._bits(raw[a:b]) for a, b in zip(cuts, cuts[1:])])[:self.n] if self.blocks else np.zeros(0, np.uint8)
             mask, zeros, back = bits.view(bool), int(self.zeros[level]), np.empty_like(row)
-            back[~mask] = row[:zeros]
-            back[mask] = row[zeros:] | row.dtype.type(1 << (self.width - 1 - level))
+            back[np.flatnonzero(~mask)] = row[:zeros]
+            back[np.flatnonzero(mask)] = row[zeros:] | row.dtype.type(1 << (self.width - 1 - level))
             row = back
         return row
 
