@@ -245,7 +245,7 @@ def _strings(text: str) -> np.ndarray:
     return table
 
 
-def _groups(texts: list[str | None], limit: int = 1 << 22):
+def _groups(texts: list[str | None], limit: int = 1 << 21):
     """Runs of about ``limit`` characters."""
     start = size = 0
     for i, t in enumerate(texts):
