@@ -1,7 +1,9 @@
 """Session helpers: defaults, and scratch tables that cut lineage."""
 
+import atexit
 import gc
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -47,8 +49,10 @@ def scratch_dir(spark: SparkSession) -> str:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    folder = os.environ.get("SURVEIL_SCRATCH") or tempfile.mkdtemp(prefix="surveil-")
-    os.environ["SURVEIL_SCRATCH"] = folder
+    folder = os.environ.get("SURVEIL_SCRATCH")
+    if not folder:
+        folder = os.environ["SURVEIL_SCRATCH"] = tempfile.mkdtemp(prefix="surveil-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)   # a folder of its own goes with the process that made it
     return folder
 
 
