@@ -437,9 +437,10 @@ def find_token(index: DataFrame, folder: str, token: int) -> DataFrame:
 def tokens_at(index: DataFrame, folder: str, places: DataFrame) -> DataFrame:
     """(place, token) for a table of places counted from the corpus start; places outside the corpus are left out."""
     shards = placed(index).select("shard", "start", (F.col("start") + F.col("n_ids")).alias("_stop"))
-    asked = places.select(F.col("place").cast("long").alias("place")).distinct()
-    # the index is small; every place falls into one shard
-    rows = asked.join(shards, (F.col("place") >= F.col("start")) & (F.col("place") < F.col("_stop"))).select("shard", "start", "place")
+    # a shard meets few bins as wide as shards are, and every place falls into one
+    bins = F.explode(F.sequence(F.floor(F.col("start") / SHARD_TOKENS), F.floor((F.col("_stop") - 1) / SHARD_TOKENS)))
+    asked = places.select(F.col("place").cast("long").alias("place")).distinct().withColumn("_bin", F.floor(F.col("place") / SHARD_TOKENS))
+    rows = asked.join(shards.withColumn("_bin", bins), "_bin").filter("place >= start AND place < _stop").select("shard", "start", "place")
     rows = rows.repartition("shard").sortWithinPartitions("shard", "place")
     fields = [("place", pa.int64()), ("token", pa.int64())]
 
