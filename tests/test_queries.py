@@ -29,7 +29,7 @@ def test_matches_sql(spark, duck, name):
 def test_registered_keys():
     assert set(all_queries()) <= set(driver.queries())
     without = set(all_queries()) - set(ORACLES)
-    assert without == {"forest_nodes", "forest_flags", "forest_evaluation", "piecewise_forecast"}
+    assert without == {"piecewise_forecast"}
     assert set(ORACLES) <= set(all_queries())
 
 
