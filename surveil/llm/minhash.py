@@ -190,7 +190,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     links, belongs, tested = None, None, None
     for turn in range(TURNS + 1):
-        located = members.select("key", "doc") if belongs is None else members.filter("n > 2").select("key", "doc").join(
+        # buckets of two as well: a document that asked the leader of another bucket has not met its only partner here
+        located = members.select("key", "doc") if belongs is None else members.select("key", "doc").join(
             belongs.withColumnRenamed("node", "doc"), "doc", "left")
         located = located.withColumn("component", F.coalesce("component", "doc") if belongs is not None else F.col("doc"))
         last = turn == TURNS
@@ -210,7 +211,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = found if links is None else links.unionByName(found)
         belongs = stage(components(links), "components")
         release_shuffles(docs.sparkSession)
-    # pairs of a bucket whose components differ still have to be looked at
+    # pairs of a bucket whose components differ still have to be looked at (in a bucket of two the last turn did)
     located = members.filter("n > 2").select("key", "doc").join(
         belongs.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
     mixed = located.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")

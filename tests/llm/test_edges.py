@@ -102,6 +102,23 @@ def test_minhash_matches_all_pairs(docs):
     assert sorted(r.n_shingles for r in got) == sorted(len(s) for _, s in sets)
 
 
+def test_minhash_meets_a_partner_in_a_bucket_of_two(spark):
+    """A document near a smaller one that is no link, and linked with one it meets in buckets of two only."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    rows = []
+    for i in range(60):
+        words = [word() for _ in range(200)]
+        far, linked = list(words), list(words)
+        far[:46] = [word() for _ in range(46)]
+        linked[-22:] = [word() for _ in range(22)]
+        rows += [(3 * i, " ".join(far)), (3 * i + 1, " ".join(linked)), (3 * i + 2, " ".join(words))]
+    sets = [(i, shingles(t)) for i, t in rows]
+    links = [(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if 100 * len(x & y) >= 75 * len(x | y)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(links) == 60 and got == roots(set(got), links)
+
+
 def brute_repeats(rows):
     """(kept text, spans) per row: 100-byte strings that start earlier by (id, start) go."""
     first = {}
