@@ -12,7 +12,8 @@ Links are confirmed on the full sets. Documents with equal sets are one class an
 compared. Then documents take turns: each asks one leader (the smallest of a bucket by id, later by
 a hash) of a component other than its own, over all its buckets, and components are formed anew;
 in a last turn it asks the leaders of all its buckets that still hold several components, and at
-the end all pairs of a bucket whose components differ are compared. So a group of near copies costs
+the end all pairs of a bucket whose components differ are compared, unless 1,024 further values
+rule the threshold out (one in 100,000 pairs at the threshold again). So a group of near copies costs
 a comparison per document and turn, and yet no pair that could join two components goes unchecked.
 Each turn starts jobs of its own: planning a query runs them.
 
@@ -43,20 +44,26 @@ MIN_AGREEING = int(0.765625 * VALUES - 4.4 * (0.765625 * 0.234375 * VALUES) ** 0
 ROWS_PER_SALT = 256
 TURNS = 1       # in which a document asks one leader; every turn is some eighty stages
 LEADERS = 3
+# further values for documents whose buckets stay open, so that few pairs below the threshold are left
+FINE = 512
+FINE_AGREEING = int(0.765625 * 2 * FINE - 4.4 * (0.765625 * 0.234375 * 2 * FINE) ** 0.5)
 
 _XOR = _constants("minhash-xor", PERMUTATIONS)
 _MULTIPLY = _constants("minhash-multiply", PERMUTATIONS)
+_FINE_XOR = _constants("minhash-fine-xor", FINE)
+_FINE_MULTIPLY = _constants("minhash-fine-multiply", FINE)
 
 
-def signatures(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """(documents, 2 * PERMUTATIONS): minima, then maxima. Every set must hold something."""
-    out = np.empty((len(offsets) - 1, 2 * PERMUTATIONS), np.uint64)
+def signatures(offsets: np.ndarray, hashes: np.ndarray, xor: np.ndarray = _XOR, multiply: np.ndarray = _MULTIPLY) -> np.ndarray:
+    """(documents, 2 * permutations): minima, then maxima. Every set must hold something."""
+    n = len(xor)
+    out = np.empty((len(offsets) - 1, 2 * n), np.uint64)
     if not len(out):
         return out
-    for k in range(PERMUTATIONS):
-        values = (hashes ^ _XOR[k]) * _MULTIPLY[k]
+    for k in range(n):
+        values = (hashes ^ xor[k]) * multiply[k]
         out[:, k] = np.minimum.reduceat(values, offsets[:-1])
-        out[:, PERMUTATIONS + k] = np.maximum.reduceat(values, offsets[:-1])
+        out[:, n + k] = np.maximum.reduceat(values, offsets[:-1])
     return out
 
 
@@ -74,8 +81,9 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 def extracts(signature: np.ndarray) -> np.ndarray:
     """(documents, LONGS): four bits of every value, sixteen to a number."""
-    nibbles = np.zeros((len(signature), 16 * LONGS), np.uint8)
-    nibbles[:, :VALUES] = mix(signature).astype(np.uint8) & 15
+    values = signature.shape[1]
+    nibbles = np.zeros((len(signature), 16 * -(-values // 16)), np.uint8)
+    nibbles[:, :values] = mix(signature).astype(np.uint8) & 15
     return np.ascontiguousarray(nibbles[:, ::2] << 4 | nibbles[:, 1::2]).view(np.int64)
 
 
@@ -105,6 +113,20 @@ def describe(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bits array<long>, bands array<long>")
 
 
+def finer(texts: DataFrame) -> DataFrame:
+    """(doc, fine): the extracts of FINE further permutations per text that is not empty. No shuffle."""
+    def run(batches):
+        for batch in batches:
+            raw = [as_bytes(t) for t in batch.column(1).to_pylist()]
+            for part in slices([len(b) for b in raw]):
+                offsets, hashes = shingle_sets(raw[part], SHINGLE)
+                full = np.flatnonzero(np.diff(offsets))
+                words = extracts(signatures(np.append(offsets[full], len(hashes)), hashes, _FINE_XOR, _FINE_MULTIPLY))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(full + part.start)), pa.array(list(words), pa.list_(pa.int64()))], names=["doc", "fine"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc long, fine array<long>")
+
+
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
@@ -157,14 +179,24 @@ def promising():
     """Sizes and signature extracts of two documents allow the threshold."""
     differing = F.lit(0)
     for i in range(LONGS):
-        z = F.col(f"bit{i}_a").bitwiseXOR(F.col(f"bit{i}_b"))
-        for shift in (1, 2):  # the lowest bit of each four becomes 1 where any of them is
-            z = z.bitwiseOR(F.shiftrightunsigned(z, shift))
-        differing = differing + F.bit_count(z.bitwiseAND(F.lit(0x1111111111111111)))
+        differing = differing + _differing(F.col(f"bit{i}_a"), F.col(f"bit{i}_b"))
     sizes = F.expr(f"100 * least(n_shingles_a, n_shingles_b) >= {PERCENT} * greatest(n_shingles_a, n_shingles_b)")
     return sizes & (F.lit(VALUES) - differing >= MIN_AGREEING)
 
 
+def _differing(x, y):
+    """How many of the sixteen values of two extracts differ."""
+    z = x.bitwiseXOR(y)
+    for shift in (1, 2):  # the lowest bit of each four becomes 1 where any of them is
+        z = z.bitwiseOR(F.shiftrightunsigned(z, shift))
+    return F.bit_count(z.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def close():
+    """The finer extracts of two documents allow the threshold."""
+    return F.lit(2 * FINE) - F.aggregate(F.zip_with("fine_a", "fine_b", _differing), F.lit(0), lambda n, x: n + x) >= FINE_AGREEING
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     described = stage(describe(docs), "signatures", "zstd")
@@ -215,9 +247,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     located = members.filter("n > 2").select("key", "doc").join(
         belongs.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
     mixed = located.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    open_rows = stage(located.join(mixed, "key").join(sketch, "doc"), "open")
+    open_rows = stage(located.join(mixed, "key"), "open", "zstd")
+    # what is left are mostly pairs somewhat below the threshold: more values tell before texts are read
+    asking = open_rows.select(F.col("doc").alias("doc_id")).distinct()
+    fine = stage(finer(texts.join(asking, "doc_id")), "fine", "zstd")
+    open_rows = open_rows.join(sketch, "doc").join(fine, "doc")
     ours, other = renamed(open_rows, "a", ["key"]), renamed(open_rows, "b", ["key"])
-    second = ours.join(other, "key").filter(F.expr("a < b AND component_a <> component_b") & promising()).select("a", "b").distinct()
+    second = ours.join(other, "key").filter(F.expr("a < b AND component_a <> component_b") & promising() & close()).select("a", "b").distinct()
     second = stage(second.join(tested, ["a", "b"], "left_anti"), "more-pairs")
     release_shuffles(docs.sparkSession)
     if not second.isEmpty():

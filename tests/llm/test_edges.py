@@ -119,6 +119,21 @@ def test_minhash_meets_a_partner_in_a_bucket_of_two(spark):
     assert len(links) == 60 and got == roots(set(got), links)
 
 
+def test_finer_values_keep_links(spark):
+    """Pairs at the threshold pass; nearly all pairs a tenth below it do not."""
+    rng = random.Random(32)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    rows = []
+    for i in range(40):
+        words = [word() for _ in range(304)]
+        for side, changed in enumerate((0, 42, 64)):
+            rows.append((3 * i + side, " ".join([*words[changed:], *[word() for _ in range(changed)]])))
+    got = {r.doc: r.fine for r in minhash.finer(spark.createDataFrame([*rows, (120, " "), (121, None)], "doc_id long, text string")).collect()}
+    frame = spark.createDataFrame([(3 * i + s, got[3 * i], got[3 * i + s]) for i in range(40) for s in (1, 2)], "doc long, fine_a array<long>, fine_b array<long>")
+    passed = {r.doc for r in frame.filter(minhash.close()).collect()}
+    assert len(got) == 120 and {3 * i + 1 for i in range(40)} <= passed and len(passed) <= 45
+
+
 def brute_repeats(rows):
     """(kept text, spans) per row: 100-byte strings that start earlier by (id, start) go."""
     first = {}
