@@ -1,13 +1,14 @@
 """HTML main text with site template removal.
 
 A page is read once by a forgiving tokenizer (unclosed and misnested tags, raw text of scripts,
-attributes with ``>``). Every element subtree outside the article is hashed (tag, class, text,
-children); Spark counts on how many different pages of a host each hash stands, and subtrees on a
-share of them are template and deleted. Template removal alone cannot give right results: menus and adverts
+attributes with ``>``). Every element subtree is hashed (tag, class, text, children); Spark counts on how many different pages of a host each hash stands, and subtrees on a
+share of them are template and deleted. Inside an article only subtrees of ``CONTAINERS`` can be
+template (a share bar, a subscription box), for a paragraph that articles share is content; an
+article that would lose all its text keeps it. Template removal alone cannot give right results: menus and adverts
 that differ from page to page do not recur, and a paragraph that many articles share does. So
 elements that say what they are (``nav``, ``footer``, ``aside``, ``form``, scripts, classes and
 ids such as ``ad`` or ``comments``) go at once; where a page has an ``article`` or ``main``, the
-text is what is inside; and recurrence decides about everything else.
+text is what is inside; and recurrence decides about everything else, boxes inside included.
 
 Blocks are block-level elements; white space in a block (``<br>`` included) becomes one space,
 character references are decoded, and blocks are joined by one line feed in page order.
@@ -44,6 +45,8 @@ DROPPED = {
     "textarea", "dialog", "menu", "head", "title", "noembed", "noframes", "xmp", "audio", "video", "map", "math",
 }
 MAIN = {"article", "main"}
+# inside an article, elements that can be template: they group blocks
+CONTAINERS = {"center", "details", "dir", "div", "dl", "fieldset", "figure", "header", "hgroup", "ol", "section", "table", "ul"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar"}
 LABELS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "adbox", "banner", "sponsor", "sponsored", "promo",
@@ -88,8 +91,8 @@ class _Open:
 class Page:
     """The blocks of a page and the hashes of its subtrees.
 
-    ``main`` are the blocks inside an article or main element, or None without one; ``blocks``
-    are the blocks outside, each with the subtree it stands in.
+    ``main`` are the blocks inside an article or main element, ``blocks`` those outside, each with
+    the subtree it stands in.
     """
 
     def __init__(self, html: str):
@@ -127,7 +130,7 @@ class Page:
         text = raw_text if raw or "&" not in raw_text else unescape(raw_text)
         if not top.dropped:
             self._text.append(text)
-        if not top.inside and text.strip():
+        if text.strip():
             top.content.append(" ".join(text.split()))
 
     def _flush(self) -> None:
@@ -136,10 +139,7 @@ class Page:
             self._text = []
             if block:
                 top = self._stack[-1]
-                if top.inside:
-                    self.main.append(block)
-                else:
-                    self.blocks.append((block, top))
+                (self.main if top.inside else self.blocks).append((block, top))
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -180,29 +180,38 @@ class Page:
             self._flush()
         self._stack.pop()
         self._open_p -= gone.tag == "p"
-        if not gone.inside and gone.tag not in ("html", "body", "head"):
-            if gone.content:
-                text = f"{gone.tag}\0{gone.label}\0" + "\0".join(gone.content)
-                gone.hash = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
-                self.hashes.add(gone.hash)
-                gone.parent.content.append(str(gone.hash))
+        if gone.content and gone.tag not in ("html", "body", "head"):
+            text = f"{gone.tag}\0{gone.label}\0" + "\0".join(gone.content)
+            own = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+            if not gone.inside or gone.tag in CONTAINERS:
+                gone.hash = own
+                self.hashes.add(own)
+            # what is around an article is told by itself
+            if not gone.inside or gone.parent.inside:
+                gone.parent.content.append(str(own))
 
     def result(self):
-        """(finished text or None, open blocks as (text, hashes of the subtrees around it), all hashes)."""
-        if self._has_main:
-            return "\n".join(self.main), [], self.hashes
+        """(finished text or None, open blocks as (text, hashes of the subtrees around it), all hashes).
+
+        Around a block of an article are the subtrees inside the article.
+        """
         found = []
-        for text, node in self.blocks:
+        for text, node in self.main if self._has_main else self.blocks:
             chain = []
-            while node is not None:
+            while node is not None and node.inside == self._has_main:
                 if node.hash is not None:
                     chain.append(node.hash)
                 node = node.parent
             found.append({"text": text, "chain": chain})
+        if self._has_main and not any(x["chain"] for x in found):
+            return "\n".join(x["text"] for x in found), [], self.hashes
         return (None if found else ""), found, self.hashes
 
+    def has_main(self) -> bool:
+        return self._has_main
+
 
-PARSED = "page_id long, url string, host string, content long, text string, blocks array<struct<text:string,chain:array<long>>>, hashes array<long>"
+PARSED = "page_id long, url string, host string, content long, text string, main boolean, blocks array<struct<text:string,chain:array<long>>>, hashes array<long>"
 _BLOCK = pa.list_(pa.struct([("text", pa.string()), ("chain", pa.list_(pa.int64()))]))
 
 
@@ -213,15 +222,17 @@ def parse(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts, blocks, hashes = [], [], []
+            texts, main, blocks, hashes = [], [], [], []
             for html in batch.column(2).to_pylist():
-                text, own, all_hashes = Page(html or "").result()
+                page = Page(html or "")
+                text, own, all_hashes = page.result()
                 texts.append(text)
+                main.append(page.has_main())
                 blocks.append(own)
                 hashes.append(sorted(all_hashes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(3), batch.column(4), pa.array(texts, pa.string()), pa.array(blocks, _BLOCK), pa.array(hashes, pa.list_(pa.int64()))],
-                names=["page_id", "url", "host", "content", "text", "blocks", "hashes"])
+                [batch.column(0), batch.column(1), batch.column(3), batch.column(4), pa.array(texts, pa.string()), pa.array(main, pa.bool_()), pa.array(blocks, _BLOCK), pa.array(hashes, pa.list_(pa.int64()))],
+                names=["page_id", "url", "host", "content", "text", "main", "blocks", "hashes"])
 
     return rows.mapInArrow(run, PARSED)
 
@@ -245,6 +256,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     asked = left.select("row", "host", F.posexplode("blocks").alias("block", "b")).select("row", "host", "block", F.explode("b.chain").alias("hash"))
     gone = asked.join(template(parsed, min_pages), ["host", "hash"]).groupBy("row").agg(F.collect_set("block").alias("gone"))
     kept = F.filter("blocks", lambda b, i: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
+    # pages that differ only around an article would make all of it template
+    kept = F.when(F.col("main") & (F.size(kept) == 0), F.col("blocks")).otherwise(kept)
     rest = left.join(gone, "row", "left").select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))
     return done.unionByName(rest)
 

@@ -381,6 +381,18 @@ def test_html_template_is_a_share_of_different_pages(spark):
     assert got[205] == "Menu of 5\nStory number 5\nShared words"
 
 
+def test_html_template_inside_articles(spark):
+    """A box that recurs inside articles goes; a shared paragraph, a box of one page and a whole article stay."""
+    page = "<body><div>{0}</div><article><h1>Title {0}</h1><p>Shared by all.</p><div class='body'><p>Story {0}</p></div><div><p>Get our letter</p><ul><li>By post</ul></div></article></body>"
+    rows = [(i, f"http://site/{i}", page.format(i)) for i in range(8)]
+    rows += [(20 + i, f"http://few/{i}", page.format(i)) for i in range(3)]
+    rows += [(40 + i, f"http://same/{i}", f"<body><p>{i}</p><main><div><p>One story</p></div></main></body>") for i in range(8)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(8)] == [f"Title {i}\nShared by all.\nStory {i}" for i in range(8)]
+    assert got[21] == "Title 1\nShared by all.\nStory 1\nGet our letter\nBy post"
+    assert all(got[40 + i] == "One story" for i in range(8))
+
+
 def test_paragraphs_remove_later_copies(spark, docs):
     rows = texts()
     got = {(r.doc_id, r.n_bytes): r for r in paragraphs.remove_passages(docs).collect()}
