@@ -306,13 +306,25 @@ def repeats(docs: DataFrame) -> DataFrame:
     first = stage(live.groupBy("key", "name").agg(
         F.min(F.struct("doc", "p0", "row")).alias("first"), F.max("lead").alias("lead"), F.max("windows").alias("windows"),
         F.count("*").alias("n"), F.max("differ").alias("differ")).select("key", "name", "first.*", "lead", "windows", "n", "differ"), "dictionary", "zstd")
-    foreign = stage(foreign_windows(first.filter("differ").select("key", "name", "doc", "row", "p0", "lead", "windows"), docs), "foreign")
+    release_shuffles(docs.sparkSession)
+    foreign = stage(foreign_windows(first.filter("differ").select("key", "name", "doc", "row", "p0", "lead", "windows"), docs), "foreign", "zstd")
+    release_shuffles(docs.sparkSession)
     marked = first.select("key", "name", F.struct("doc", "p0").alias("first"), "n").join(foreign, ["key", "name"], "left").filter("n > 1 OR foreign IS NOT NULL")
     marked = stage(marked, "marked", "zstd")
+    unstage(first)
+    unstage(foreign)
+    release_shuffles(docs.sparkSession)
     here = F.struct("doc", "p0") == F.col("first")
     hits = live.select("key", "name", "doc", "row", "p0", "windows").join(marked, ["key", "name"]).filter(~here | F.col("foreign").isNotNull())
-    return hits.select("doc", "row", F.struct("p0", "windows", F.when(here, F.col("foreign")).alias("foreign")).alias("hit")).groupBy("doc", "row").agg(
+    gone = hits.select("doc", "row", F.struct("p0", "windows", F.when(here, F.col("foreign")).alias("foreign")).alias("hit")).groupBy("doc", "row").agg(
         F.collect_list("hit").alias("gone"))
+    # texts move after this: the phrases must not lie beside them
+    gone = stage(gone, "gone", "zstd")
+    unstage(live)
+    unstage(marked)
+    unstage(keys)
+    release_shuffles(docs.sparkSession)
+    return gone
 
 
 def removed_runs(gone: list[dict] | None, size: int) -> list[tuple[int, int]]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 
@@ -9,6 +10,7 @@ import numpy as np
 import pytest
 
 from surveil.llm import bpe, chat, covertree, html, minhash, mixing, paragraphs, quality, suffix, warc
+from surveil.session import stage
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 EXTRA = ", size string, kept string, n_bytes int, row int, key int, u int, gone string, copies int, rank int"
@@ -159,6 +161,14 @@ def test_suffix_matches_brute_force(docs):
     assert got == sorted(brute_repeats(texts()))
 
 
+def test_suffix_leaves_one_table_beside_the_texts(spark, docs, monkeypatch):
+    """When texts are joined, phrases, dictionary and marks are gone from the shared folder."""
+    left = {}
+    monkeypatch.setattr(suffix, "stage", lambda frame, name, *codec: left.setdefault(name, stage(frame, name, *codec)))
+    suffix.repeats(docs).count()
+    assert {name for name, table in left.items() if os.path.exists(table.staged_in)} == {"gone"}
+
+
 def test_suffix_splits_a_key_with_many_phrases(spark, monkeypatch):
     rng = random.Random(3)
     line = "this line of boilerplate stands in every single document of the whole corpus, as they sometimes do, again and again. "
