@@ -221,6 +221,11 @@ class PairIndexBpe:
         bounds = np.concatenate([[0], np.cumsum(lengths[at])])[np.concatenate([[0], np.cumsum(sizes)])]
         return flat[ranges(starts[at], lengths[at])], np.diff(bounds)
 
+    def rest(self) -> None:
+        """Drop what was learnt: a reused worker does other work after this task, beside the model alone."""
+        self.words = IdTable()
+        self._forget()
+
     def _forget(self) -> None:
         self.pieces_known = IdTable()
         self.pieces_known.add(list(self.special), np.array(list(self.special.values()), np.int32), np.ones(len(self.special), np.int64))
@@ -275,6 +280,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", digest: bool = True)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, len(group)) for c in batch.columns[1:]], ids], names=[*rest, "ids"])
                 at += len(group)
+        model.rest()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
     done = rows.mapInArrow(run, ", ".join([*fields, "ids array<int>"]))
