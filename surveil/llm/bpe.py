@@ -25,16 +25,18 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveil.llm.idtable import IdTable, ranges
-from surveil.llm.words import slices
+from surveil.llm.words import resting, slices
 
 CACHE_PIECES, CACHE_WORDS = 220_000, 220_000
 DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
 DECODED_IDS = 1 << 18   # ids decoded at a time
+GROUP_BYTES = 1 << 21   # of texts whose pieces are looked up together
 # Unicode white space, as the pattern of the vocabulary file understands it.
 WHITE = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _ODD_SPACES = regex.compile(r"[\x1c-\x1f]")  # str.split() cuts here, the pattern does not
@@ -221,6 +223,10 @@ class PairIndexBpe:
         bounds = np.concatenate([[0], np.cumsum(lengths[at])])[np.concatenate([[0], np.cumsum(sizes)])]
         return flat[ranges(starts[at], lengths[at])], np.diff(bounds)
 
+    def strings(self) -> np.ndarray:
+        """As ``_strings`` gives them."""
+        return _by_id(self.pieces)
+
     def rest(self) -> None:
         """Drop what was learnt: a reused worker does other work after this task, beside the model alone."""
         self.words = IdTable()
@@ -243,48 +249,61 @@ def _model(text: str) -> PairIndexBpe:
 def _strings(text: str) -> np.ndarray:
     """The vocabulary's strings by id, None where there is none (the last one included); without the model's pair index."""
     spec = json.loads(text)
-    pieces = {i: s for s, i in {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec.get("added_tokens", [])}}.items()}
+    return _by_id({i: s for s, i in {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec.get("added_tokens", [])}}.items()})
+
+
+def _by_id(pieces: dict[int, str]) -> np.ndarray:
     table = np.full(max(pieces, default=-1) + 2, None, object)
     for i, piece in pieces.items():
         table[i] = piece
     return table
 
 
-def _groups(texts: list[str | None], limit: int = 1 << 21):
-    """Runs of about ``limit`` characters."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if i > start and size + n > limit:
-            yield texts[start:i]
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield texts[start:]
-
-
 def encode(docs: DataFrame, path: str, text: str = "text", digest: bool = True) -> DataFrame:
     """``docs`` without its text, plus the token ``ids`` and, with ``digest``, ``n_tokens``,
-    ``ids_sha256`` and ``decoded_sha256``, which come from the ids and from decoding them. No shuffle."""
+    ``ids_sha256`` and ``decoded_sha256``, which come from the ids and from decoding them, in the same
+    worker: a second one for ``decode`` would stand beside it in every task. No shuffle."""
     with open(path, encoding="utf-8") as f:  # the driver's copy of a vocabulary of fixed size
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
     rest = [c for c in docs.columns if c not in (text, "ids", *(DIGESTS if digest else ()))]
     rows = docs.select(F.col(text).cast("string").alias(text), *[F.col(f"`{c}`") for c in rest])
 
+    @resting
     def run(batches):
         model = _model(sent.value)
+        table = model.strings() if digest else None
         for batch in batches:
-            at = 0
-            for group in _groups(batch.column(0).to_pylist()):
-                flat, counts = model.encode_all(group)
+            for part in slices(pc.binary_length(batch.column(0)).fill_null(0).to_pylist(), GROUP_BYTES):
+                some = batch.slice(part.start, part.stop - part.start)
+                flat, counts = model.encode_all(some.column(0).to_pylist())
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*[c.slice(at, len(group)) for c in batch.columns[1:]], ids], names=[*rest, "ids"])
-                at += len(group)
+                own = _digests(ids, counts, table) if digest else []
+                yield pa.RecordBatch.from_arrays([*some.columns[1:], ids, *own], names=[*rest, "ids", *DIGESTS[:len(own)]])
         model.rest()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
-    done = rows.mapInArrow(run, ", ".join([*fields, "ids array<int>"]))
-    return digests(done, path, keep_ids=True) if digest else done
+    return rows.mapInArrow(run, ", ".join([*fields, "ids array<int>", *["n_tokens long", "ids_sha256 string", "decoded_sha256 string"] * digest]))
+
+
+def _digests(lists: pa.ListArray, sizes: np.ndarray, table: np.ndarray) -> list[pa.Array]:
+    """The columns DIGESTS of id lists; the ids are decoded in the worker that has their vocabulary."""
+    written, decoded = [], []
+    for part in slices(sizes.tolist(), DECODED_IDS):
+        some = lists.slice(part.start, part.stop - part.start)
+        written += [hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() for ids in some.to_pylist()]
+        decoded += [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in _decoded(some, table)]
+    return [pa.array(sizes, pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())]
+
+
+def _decoded(lists: pa.ListArray, table: np.ndarray) -> list[str | None]:
+    """The vocabulary strings of id lists, joined with blanks; null for a null list."""
+    flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+    strings = table[np.where((flat >= 0) & (flat < len(table) - 1), flat, -1)]
+    at, own = 0, []
+    for size, there in zip([x or 0 for x in lists.value_lengths().to_pylist()], lists.is_valid().to_pylist(), strict=True):
+        own.append(" ".join([x for x in strings[at:at + size].tolist() if x is not None]) if there else None)
+        at += size
+    return own
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -294,6 +313,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     rest = [c for c in rows.columns if c != text]
     shaped = rows.select(*[F.col(f"`{c}`") for c in rest])
 
+    @resting
     def run(batches):
         table = _strings(sent.value)
         for batch in batches:
@@ -301,12 +321,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
             sizes = [x or 0 for x in lists.value_lengths().to_pylist()]
             for part in slices(sizes, DECODED_IDS):
                 some = lists.slice(part.start, part.stop - part.start)
-                flat = some.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-                strings = table[np.where((flat >= 0) & (flat < len(table) - 1), flat, -1)]
-                at, own = 0, []
-                for size, there in zip(sizes[part], some.is_valid().to_pylist(), strict=True):
-                    own.append(" ".join([x for x in strings[at:at + size].tolist() if x is not None]) if there else None)
-                    at += size
+                own = _decoded(some, table)
                 yield pa.RecordBatch.from_arrays([*[c.slice(part.start, len(own)) for c in batch.columns], pa.array(own, pa.string())], names=[*rest, text])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in shaped.schema.fields]

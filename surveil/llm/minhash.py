@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveil.llm.components import components
-from surveil.llm.words import _constants, as_bytes, mix, shingle_sets, slices
+from surveil.llm.words import _constants, as_bytes, mix, resting, shingle_sets, slices
 from surveil.session import release_shuffles, stage
 
 SHINGLE = 5
@@ -89,6 +89,7 @@ def extracts(signature: np.ndarray) -> np.ndarray:
 
 def describe(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, digest, bits, bands) per row; ``bands`` is null for an empty set. No shuffle."""
+    @resting
     def run(batches):
         for batch in batches:
             raw = [as_bytes(t) for t in batch.column(1).to_pylist()]
@@ -115,6 +116,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
 def finer(texts: DataFrame) -> DataFrame:
     """(doc, fine): the extracts of FINE further permutations per text that is not empty. No shuffle."""
+    @resting
     def run(batches):
         for batch in batches:
             raw = [as_bytes(t) for t in batch.column(1).to_pylist()]
@@ -138,6 +140,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     tails = pairs.join(salts, "a").select(F.col("b").alias("doc_id"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("part"))
     rows = heads.unionByName(tails).hint("merge").join(texts, "doc_id").repartition("a", "salt").sortWithinPartitions("a", "salt", "part")
 
+    @resting
     def run(batches):
         head, sets = None, []
         for batch in batches:

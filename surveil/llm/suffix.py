@@ -26,10 +26,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveil.llm.words import BYTE_VALUES, RADIX, _constants, as_bytes, mix
+from surveil.llm.words import BYTE_VALUES, RADIX, _constants, as_bytes, mix, resting, slices
 from surveil.session import release_shuffles, stage, unstage
 
 LENGTH = 100
@@ -122,6 +123,7 @@ def _chunk(parts, doc, offset, size):
 
 def parse(docs: DataFrame) -> DataFrame:
     """(key, name, doc, row, p0, lead, windows): the phrases of every text. No shuffle."""
+    @resting
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -255,6 +257,7 @@ def foreign_windows(dictionary: DataFrame, docs: DataFrame) -> DataFrame:
     per_doc = sized.groupBy("doc", "row").agg(F.collect_list(F.struct("key", "name", "p0", "lead", "windows", "parts")).alias("wanted"))
     rows = per_doc.join(_keyed(docs), ["doc", "row"]).select("doc", "text", "wanted")
 
+    @resting
     def cut(batches):
         for batch in batches:
             out = []
@@ -275,6 +278,7 @@ def foreign_windows(dictionary: DataFrame, docs: DataFrame) -> DataFrame:
     pieces = rows.mapInArrow(cut, "key long, part int, name long, doc long, p0 long, lead short, offsets array<short>, piece binary")
     pieces = pieces.repartition("key", "part").sortWithinPartitions("key", "part")
 
+    @resting
     def resolve(batches):
         held, size = [], 0
         for batch in batches:
@@ -366,20 +370,24 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     gone = repeats(docs).withColumnRenamed("gone", "_gone")
     rows = _keyed(docs, rest).join(gone, ["doc", "row"], "left").select("text", "_gone", *[F.col(f"_{i}").alias(c) for i, c in enumerate(rest)])
 
+    @resting
     def run(batches):
         for batch in batches:
-            texts, columns = [], [[], [], [], []]
-            for text, gone in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = as_bytes(text)
-                runs = removed_runs(gone, len(raw))
-                left = keep(raw, runs) if runs else raw
-                for column, value in zip(columns, (len(raw), len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest()), strict=True):
-                    column.append(value)
-                if with_text:
-                    texts.append(left.decode("utf-8", "ignore"))
-            own = [pa.array(texts, pa.string())] if with_text else []
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)]
-            yield pa.RecordBatch.from_arrays([*own, *batch.columns[2:], *arrays], names=[*["text"] * with_text, *rest, *RESULTS])
+            # a megabyte of text at a time: a batch of Spark's holds as many rows as it may, of any length
+            for part in slices(pc.binary_length(batch.column(0)).fill_null(0).to_pylist()):
+                some = batch.slice(part.start, part.stop - part.start)
+                texts, columns = [], [[], [], [], []]
+                for text, gone in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                    raw = as_bytes(text)
+                    runs = removed_runs(gone, len(raw))
+                    left = keep(raw, runs) if runs else raw
+                    for column, value in zip(columns, (len(raw), len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest()), strict=True):
+                        column.append(value)
+                    if with_text:
+                        texts.append(left.decode("utf-8", "ignore"))
+                own = [pa.array(texts, pa.string())] if with_text else []
+                arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*own, *some.columns[2:], *arrays], names=[*["text"] * with_text, *rest, *RESULTS])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     fields = ["text string"] * with_text + [f"`{c}` {kinds[c]}" for c in rest]

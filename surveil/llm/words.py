@@ -6,10 +6,12 @@ a few megabytes, so memory does not follow the size of a Spark partition; a sing
 text is a batch of its own.
 """
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 1 << 20
@@ -57,6 +59,19 @@ def slices(sizes: list[int], limit: int = BATCH_BYTES) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def resting(run):
+    """The task function ``run``; afterwards what it has freed goes back to the system, as reused workers,
+    idle ones too, stand beside those of the next stage."""
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # of glibc
+        if trim is not None:
+            trim(0)
+
+    return whole
+
+
 def as_bytes(text) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

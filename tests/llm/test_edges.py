@@ -277,6 +277,18 @@ def test_bpe_rests_between_tasks():
     assert model.encode_all(["some words, and more of them"])[0].tolist() == before
 
 
+def test_pipeline_tokenizes_in_one_worker_a_task(spark, monkeypatch):
+    """Encoding and decoding share a Python worker; the digests are those of the ids that are written."""
+    import corpus_pipeline
+    frame = spark.createDataFrame([(1, "s", "Some words, ünï 12"), (2, "s", None), (3, "t", "<|endoftext|> aaa" * 9)], "doc_id long, source string, text string")
+    found = corpus_pipeline.tokenize(spark, frame, "")
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert found.columns == ["doc_id", "source", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    apart = bpe.digests(bpe.encode(frame, bpe.vocabulary_path(), digest=False), bpe.vocabulary_path(), keep_ids=True)
+    monkeypatch.setattr(bpe, "DECODED_IDS", 5)
+    assert sorted(map(str, corpus_pipeline.tokenize(spark, frame, "").collect())) == sorted(map(str, found.collect())) == sorted(map(str, apart.select(found.columns).collect()))
+
+
 def test_ids_are_written_and_decoded(spark, tmp_path, monkeypatch):
     """The pipeline's last table has the ids; op9's digests come from ids that went through decode."""
     from tokenizers import Tokenizer
