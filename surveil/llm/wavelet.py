@@ -32,12 +32,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from surveil.llm.bpe import byte_characters
 from surveil.llm.idtable import ranges
 from surveil.llm.warc import new_folder
-from surveil.llm.words import slices
+from surveil.llm.words import resting, slices
 from surveil.session import stage
 
 SHARD_TOKENS = 1 << 22
@@ -73,21 +75,22 @@ class PlaneWriter:
         row = ids.astype(np.uint16 if width <= 16 else np.uint32)
         zeros, ones, offsets = [], [], []
         for level in range(width - 1, -1, -1):
-            mask = (row & row.dtype.type(1 << level)) != 0
-            packed = np.packbits(mask, bitorder="little").tobytes()
+            bits = np.packbits((row & row.dtype.type(1 << level)) != 0, bitorder="little")
+            packed = bits.tobytes()
             before, step = 0, BLOCK_BITS // 8
             for start in range(0, len(packed), step):
                 raw = packed[start:start + step]
                 ones.append(before)
-                before += int(np.count_nonzero(mask[start * 8:start * 8 + BLOCK_BITS]))
+                before += int(np.bitwise_count(bits[start:start + step]).sum())
                 small = self.squeeze.compress(raw)
                 block = b"\1" + small if len(small) < len(raw) else b"\0" + raw
                 offsets.append(at)
                 out.append(block)
                 at += len(block)
-            low = row.take(np.flatnonzero(~mask))
+            mask = pa.BooleanArray.from_buffers(pa.bool_(), len(row), [None, pa.py_buffer(packed)])
+            low, high = (pc.filter(pa.array(row), m).to_numpy() for m in (pc.invert(mask), mask))
             zeros.append(len(low))
-            row = np.concatenate([low, row.take(np.flatnonzero(mask))])
+            row = np.concatenate([low, high])
         offsets.append(at)
         known = np.array([d is not None for d in doc_ids], np.uint8)
         table = b"".join([np.array([d or 0 for d in doc_ids], "<i8").tobytes(), known.tobytes(), np.asarray(ends, "<i8").tobytes(),
@@ -220,19 +223,36 @@ class CutEncoder:
         self.model.no_padding()
         added = [t["content"] for t in json.loads(spec).get("added_tokens", [])]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        bare = json.loads(spec)
+        before = bare.get("pre_tokenizer") or {}
+        # a piece that the pattern leaves whole goes to the library's model at once, as the characters that stand for its bytes
+        self.bytewise = not bare.get("normalizer") and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        self.characters = dict(enumerate(byte_characters())) | {0: "\0"}
         self._clear()
 
     def _clear(self):
+        self.coarse = set()     # pieces that the library has yet to cut
         self.number, self.ids = {"\0": 0}, [(np.zeros(0, np.int32), np.zeros(2, np.int64))]   # a NUL ends a word and has no ids
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that are not known yet."""
-        found = self.model.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        cuts = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(pieces) + 1))
-        flat = np.array(found.ids, np.int32)
+        whole = [p for p in pieces if p not in self.coarse] if self.bytewise else []
+        if whole:
+            tokenize, flat, cuts = self.model.model.tokenize, [], [0]
+            for piece in "\0".join(whole).encode("utf-8", "surrogatepass").decode("latin-1").translate(self.characters).split("\0"):
+                flat += [token.id for token in tokenize(piece)]
+                cuts.append(len(flat))
+            self._keep(whole, flat, np.array(cuts, np.int64))
+        rest = [p for p in pieces if p in self.coarse] if self.bytewise else pieces
+        if rest:
+            found = self.model.encode(rest, is_pretokenized=True, add_special_tokens=False)
+            self._keep(rest, found.ids, np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(rest) + 1)))
+        self.coarse = set()
+
+    def _keep(self, pieces: list[str], flat: list[int], cuts: np.ndarray) -> None:
         base = len(self.number)
         self.number.update(zip(pieces, range(base, base + len(pieces))))
-        self.ids.append((flat, cuts))
+        self.ids.append((np.array(flat, np.int32), cuts))
 
     def _table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all known pieces, their starts, their lengths)."""
@@ -247,20 +267,24 @@ class CutEncoder:
         flat, cuts = self.ids[0]
         return flat, cuts[:-1], np.diff(cuts)
 
-    def pieces(self, words: list[str]) -> list[str]:
-        """The pieces of all words, with a NUL after each word; letters beyond the known ones are left to the library."""
-        joined = "\0".join([*words, ""])
+    def pieces(self, joined: str) -> list[str]:
+        """The pieces of words that end with a NUL each, with a NUL after each word; letters beyond the known ones are left to the library."""
         if not _UNKNOWN.search(joined):
             return _FINE.findall(joined)
         out = []
-        for word in words:
-            out += (_COARSE if _UNKNOWN.search(word) else _FINE).findall(word)
+        for word in joined.split("\0")[:-1]:
+            if _UNKNOWN.search(word):
+                found = _COARSE.findall(word)
+                self.coarse.update(found)
+            else:
+                found = _FINE.findall(word)
+            out += found
             out.append("\0")
         return out
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all words, their starts, their lengths)."""
-        cut = self.pieces(words)
+    def encode_words(self, joined: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all words, their starts, their lengths); a NUL ends each word."""
+        cut = self.pieces(joined)
         distinct = set(cut)
         new = [p for p in distinct if p not in self.number]
         if len(self.number) + len(new) > CACHE_PIECES:
@@ -288,11 +312,11 @@ class CutEncoder:
         if not plain:
             return out
         # every blank stands between two other characters here
-        split = pa.compute.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
+        split = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
         coded = split.flatten().dictionary_encode()
         firsts = [texts[i].split(" ", 1)[0] for i in plain]
-        words = [" " + w for w in coded.dictionary.to_pylist()]
-        flat, starts, lengths = self.encode_words([*words, *firsts])
+        words = coded.dictionary.to_pylist()
+        flat, starts, lengths = self.encode_words("\0".join([" " + "\0 ".join(words), *firsts, ""]))
         offsets = split.offsets.to_numpy().astype(np.int64)
         codes = coded.indices.to_numpy().astype(np.int64)
         codes[offsets[:-1]] = len(words) + np.arange(len(plain))  # the first word of a text has no blank before it
@@ -326,6 +350,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
     rows = rows.withColumn("_tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text").drop("_tie")
 
+    @resting
     def run(batches):
         from pyarrow import fs
         from pyspark import TaskContext
@@ -348,7 +373,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
         system.create_dir(place, recursive=True)
         end = np.array([end_id], np.int32)
         for batch in batches:
-            sizes = pa.compute.binary_length(batch.column(1)).to_pylist()
+            sizes = pc.binary_length(batch.column(1)).to_pylist()
             for some in slices(sizes, BATCH_CHARS):
                 texts = batch.column(1).slice(some.start, some.stop - some.start).to_pylist()
                 for doc_id, ids in zip(batch.column(0).slice(some.start, len(texts)).to_pylist(), encoder.encode(texts)):

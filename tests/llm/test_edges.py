@@ -619,6 +619,22 @@ def test_wavelet_reads_back_what_the_library_encodes(spark, docs, tmp_path):
     assert {r.place: r.token for r in wavelet.tokens_at(index, folder, asked).collect()} == {i: flat[i] for i in range(0, len(flat), 997)}
 
 
+def test_wavelet_learns_whole_pieces_from_the_model():
+    """Pieces the pattern leaves whole go to the library's BPE at once; pieces with other letters are cut by the library."""
+    from tokenizers import Tokenizer
+
+    from surveil.llm import wavelet
+    spec = open(wavelet.vocabulary_path(), encoding="utf-8").read()
+    library, encoder = Tokenizer.from_str(spec), wavelet.CutEncoder(spec)
+    plain = ["Some words, don't stop 12½", "naïve café\n\nnext", "“quoted” text… €5", "a"]
+    given = []
+    encoder.model = types.SimpleNamespace(model=library.model, encode=lambda pieces, **how: given.extend(pieces) or library.encode(pieces, **how))
+    assert [x.tolist() for x in encoder.encode(plain)] == [library.encode(t, add_special_tokens=False).ids for t in plain] and not given
+    other = ["x 漢字\nabc-def don't", "ёж\n\nb 😀a-b abc-def", "abc-def don't stop"]
+    assert [x.tolist() for x in encoder.encode(other)] == [library.encode(t, add_special_tokens=False).ids for t in other]
+    assert "漢字" in "".join(given) and not any(p == " stop" for p in given)
+
+
 def test_wavelet_of_nothing(spark, empty, tmp_path):
     from surveil.llm import wavelet
     folder = f"file://{tmp_path}/shards"
