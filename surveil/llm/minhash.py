@@ -200,6 +200,17 @@ def close():
     return F.lit(2 * FINE) - F.aggregate(F.zip_with("fine_a", "fine_b", _differing), F.lit(0), lambda n, x: n + x) >= FINE_AGREEING
 
 
+def open_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): pairs of a bucket whose components differ and whose sizes, signatures and finer values allow the threshold.
+
+    Near copies share several buckets; the pair comes from the first of them alone.
+    """
+    rows = rows.join(rows.groupBy("doc").agg(F.collect_set("key").alias("keys")), "doc")
+    ours, other = renamed(rows, "a", ["key"]), renamed(rows, "b", ["key"])
+    first = F.col("key") == F.array_min(F.array_intersect("keys_a", "keys_b"))
+    return ours.join(other, "key").filter(F.expr("a < b AND component_a <> component_b") & promising() & first & close()).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     described = stage(describe(docs), "signatures", "zstd")
@@ -254,9 +265,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # what is left are mostly pairs somewhat below the threshold: more values tell before texts are read
     asking = open_rows.select(F.col("doc").alias("doc_id")).distinct()
     fine = stage(finer(texts.join(asking, "doc_id")), "fine", "zstd")
-    open_rows = open_rows.join(sketch, "doc").join(fine, "doc")
-    ours, other = renamed(open_rows, "a", ["key"]), renamed(open_rows, "b", ["key"])
-    second = ours.join(other, "key").filter(F.expr("a < b AND component_a <> component_b") & promising() & close()).select("a", "b").distinct()
+    second = open_pairs(open_rows.join(sketch, "doc").join(fine, "doc")).distinct()     # an id may repeat
     second = stage(second.join(tested, ["a", "b"], "left_anti"), "more-pairs")
     release_shuffles(docs.sparkSession)
     if not second.isEmpty():

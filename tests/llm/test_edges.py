@@ -106,6 +106,15 @@ def test_minhash_matches_all_pairs(docs):
     assert sorted(r.n_shingles for r in got) == sorted(len(s) for _, s in sets)
 
 
+def test_minhash_lists_a_pair_of_several_buckets_once(spark):
+    """Near copies share many buckets: the last join makes a row per pair, and loses none."""
+    keys = {1: [10, 20, 30], 2: [10, 20, 30], 3: [20, 30, 40], 4: [40, 50], 5: [50, 10, 30]}
+    rows = [(k, d, d, 9, *[7] * minhash.LONGS, [5] * (2 * minhash.FINE // 16)) for d, own in keys.items() for k in own]
+    schema = "key long, doc long, component long, n_shingles long, " + "".join(f"bit{i} long, " for i in range(minhash.LONGS)) + "fine array<long>"
+    found = minhash.open_pairs(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(map(tuple, found)) == [(a, b) for a, b in itertools.combinations(keys, 2) if set(keys[a]) & set(keys[b])]
+
+
 def test_minhash_meets_a_partner_in_a_bucket_of_two(spark):
     """A document near a smaller one that is no link, and linked with one it meets in buckets of two only."""
     rng = random.Random(31)
