@@ -6,7 +6,7 @@ A stage takes (spark, docs, sf_dir) and works on all that the one before kept.
 from pyspark.sql import DataFrame, SparkSession
 
 from surveil.llm import bpe, minhash, mixing, quality, suffix
-from surveil.session import stage
+from surveil.session import release_heaps, stage
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,16 +21,19 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix array: strings of 100 bytes that stand earlier are cut out."""
+    release_heaps(spark)
     return suffix.cut_repeats(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Source weights: each document as often as it is taken."""
+    release_heaps(spark)
     return mixing.mix(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE: one row per mixed document, with its token ids."""
+    release_heaps(spark)
     return bpe.encode(docs.select("doc_id", "source", "text"), bpe.vocabulary_path())
 
 

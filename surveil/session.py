@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _staged: ContextVar[list | None] = ContextVar("staged", default=None)
 
@@ -103,3 +104,9 @@ def release_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished jobs now, not when the driver next collects garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def release_heaps(spark: SparkSession) -> None:
+    """Let executors collect garbage: a heap that a shuffle has filled shrinks before Python workers grow beside it."""
+    tasks = spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).write.format("noop").mode("overwrite").save()

@@ -277,6 +277,18 @@ def test_bpe_matches_the_library(spark, docs):
     assert bpe.encode(frame.limit(0), path).collect() == []
 
 
+def test_pipeline_stages_give_back_heap(spark):
+    """Stages that follow a shuffle or load a model have executors collect garbage first (local: in the driver's JVM)."""
+    import corpus_pipeline
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    collected = lambda: sum(beans[i].getCollectionCount() for i in range(beans.size()) if "Young" not in beans[i].getName())
+    docs = spark.createDataFrame([(1, "a", "some words")], "doc_id long, source string, text string")
+    for step in (corpus_pipeline.mix, corpus_pipeline.tokenize):
+        before = collected()
+        step(spark, docs, "")
+        assert collected() > before
+
+
 def test_bpe_rests_between_tasks():
     """A worker that goes on to other work keeps the model, not the pieces of its last task."""
     model = bpe.PairIndexBpe(open(bpe.vocabulary_path(), encoding="utf-8").read())
