@@ -6,16 +6,19 @@ One starts at every sentence. A sentence of more than 40 words is cut where the
 is the least of 12 to either side, so the cuts move with the words; a piece without such a place
 is cut every 40 words.
 
-A paragraph is its set of 5-word shingles. Bands are tuned for recall: ``tune`` picks the fewest
-values that miss at most ``MISSED`` of pairs at the threshold, which gives single-value bands.
-Paragraphs with equal shingles are one class, reduced to one row before the bands are dealt out. In a bucket each class is compared with the
-smallest; then only pairs whose components still differ. Pairs whose sizes or signature bits rule
-the threshold out are dropped before texts are read. Similarity is exact Jaccard on the full sets. Of a component, the paragraphs of its first document stay, and the words of all others are
-removed, so a passage survives once and clean documents keep all they have. Repeats inside the
-first document are left alone.
+A paragraph is its set of 5-word shingles. Bands of two values or more are tuned for recall: ``tune``
+picks the fewest values that miss at most ``MISSED`` of pairs at the threshold. Overlapping paragraphs
+of one text share most of their values, so bands first tell which values stand in two different
+texts, and only paragraphs that hold one leave their text. Of those, paragraphs with equal shingles are one
+class. In a bucket each class is compared with the smallest and two others; then only pairs whose
+components still differ. Pairs whose sizes or signature bits rule the threshold out are dropped before
+texts are read. Links inside a text are found in the task that holds it, by the same bands, in texts that
+share something. Similarity is exact Jaccard on the full sets. Of a component, the paragraphs of its
+first document stay, and the words of all others are removed, so a passage survives once and clean
+documents keep all they have. Repeats inside the first document are left alone.
 
 Defined results: null text is empty; a null id comes after all others; rows that repeat an id are
-one document for the order, but each loses only its own passages (``row`` is a hash of the text); a text with 5 to 19 words is one paragraph, a shorter one has none; texts may be of
+one document for the order, but each loses only its own passages (``row`` is a hash of the text; equal texts are looked at once); a text with 5 to 19 words is one paragraph, a shorter one has none; texts may be of
 any length; an empty table gives no rows.
 """
 
@@ -27,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveil.llm.components import components
-from surveil.llm.minhash import LONGS, extracts, promising, renamed, signatures, similar
-from surveil.llm.words import Words, _constants, as_bytes, mix, shingle_sets, slices
+from surveil.llm.idtable import ranges
+from surveil.llm.minhash import LONGS, PERCENT, extracts, promising, renamed, signatures, similar
+from surveil.llm.words import Words, _constants, as_bytes, mix, resting, shingle_sets, slices
 from surveil.session import release_shuffles, stage, unstage
 
 SHINGLE = 5
@@ -38,13 +42,16 @@ AROUND = 12         # words to either side of a cut in a long sentence
 THRESHOLD = 0.75
 MISSED = 0.02
 LAST_ID = (1 << 63) - 1
+SET_ITEMS = 1 << 21     # shingles compared at a time inside texts
 RESULTS = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
 def tune(threshold: float = THRESHOLD, missed: float = MISSED) -> tuple[int, int]:
-    """(bands, rows): the fewest values per paragraph that miss at most ``missed`` at the threshold."""
+    """(bands, rows): the fewest values per paragraph that miss at most ``missed`` at the threshold.
+
+    Bands of one value are not among them: unrelated texts share too many five-word runs."""
     choices = []
-    for rows in range(1, 5):
+    for rows in range(2, 5):
         bands = 1
         while (1 - threshold ** rows) ** bands > missed:
             bands += 1
@@ -86,12 +93,14 @@ def _sentence_starts(words: Words, shingle: np.ndarray) -> np.ndarray:
 
 
 def paragraphs(texts: list[bytes]):
-    """(text, first byte, end byte, class, values) of the paragraphs of a batch of texts."""
+    """(text, first byte, end byte, class, values, first shingle, end shingle) of the paragraphs of a batch of texts, and its shingles."""
+    none = np.zeros(0, np.int64)
+    nothing = (none, none, none, np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64), none, none, np.zeros(0, np.uint64))
     words = Words(texts, lower=True)
     n = len(words.starts)
     at, h = words.windows(SHINGLE)
     if not len(at):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64))
+        return nothing
     shingle = np.zeros(n + 1, np.uint64)
     shingle[at] = h
     starts = _sentence_starts(words, mix(shingle))
@@ -108,7 +117,7 @@ def paragraphs(texts: list[bytes]):
     good = (end <= last) & (end - first >= SHINGLE)
     first, end, owner = first[good], end[good], owner[good]
     if not len(first):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64))
+        return nothing
     stop = end - SHINGLE + 1
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingle))])
     name = mix(total[stop] - total[first] + (stop - first).astype(np.uint64))
@@ -121,25 +130,32 @@ def paragraphs(texts: list[bytes]):
             key = mix(key + np.minimum.reduceat(scrambled, pairs)[::2])
         values[:, b] = key
     base = words.text_starts[owner]
-    return owner, words.starts[first] - base, words.ends[end - 1] - base, name, values
+    return owner, words.starts[first] - base, words.ends[end - 1] - base, name, values, first, stop, shingle
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where rows begin that differ from the row before."""
+    begins = np.ones(len(columns[0]), bool)
+    begins[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return begins
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """(doc, row, s, e, u, v): the paragraphs of every text as byte ranges, their class and bands. No shuffle."""
+    """(row, key): the band values that stand in every text, each once. No shuffle."""
+    @resting
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            keys = batch.column(1).to_numpy(zero_copy_only=False)
-            raw = [as_bytes(t) for t in batch.column(2).to_pylist()]
+            rows = batch.column(0).to_numpy(zero_copy_only=False)
+            raw = [as_bytes(t) for t in batch.column(1).to_pylist()]
             for part in slices([len(b) for b in raw]):
-                owner, s, e, name, values = paragraphs(raw[part])
-                flat = pa.array(values.view(np.int64).ravel())
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[part][owner]), pa.array(keys[part][owner]), pa.array(s.astype(np.int64)), pa.array(e.astype(np.int64)), pa.array(name.view(np.int64)), lists],
-                    names=["doc", "row", "s", "e", "u", "v"])
+                owner, _, _, _, values, *_ = paragraphs(raw[part])
+                owner, key = np.repeat(owner, BANDS), values.ravel()
+                order = np.lexsort((key, owner))
+                owner, key = owner[order], key[order]
+                new = _runs(owner, key)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[part][owner[new]], pa.int64()), pa.array(key[new].view(np.int64))], names=["row", "key"])
 
-    return _keyed(docs).select("doc", "row", "text").mapInArrow(run, "doc long, row long, s long, e long, u long, v array<long>")
+    return docs.select("row", "text").mapInArrow(run, "row long, key long")
 
 
 def _keyed(docs: DataFrame, rest: tuple = ()) -> DataFrame:
@@ -149,28 +165,139 @@ def _keyed(docs: DataFrame, rest: tuple = ()) -> DataFrame:
                        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(rest)])
 
 
-def cut(units: DataFrame, docs: DataFrame) -> DataFrame:
-    """(u, piece, n_shingles, bits): each class at its first place (doc, row, s, e), with its set size and signature bits."""
-    per_doc = units.groupBy("doc", "row").agg(F.collect_list(F.struct("u", "s", "e")).alias("wanted"))
-    rows = per_doc.hint("merge").join(_keyed(docs), ["doc", "row"]).select("text", "wanted")
+def shared_paragraphs(texts: DataFrame) -> DataFrame:
+    """(u, row, low, keys, piece): of ``texts`` (row, low, keys, text), the classes that hold some of the ``keys``. No shuffle."""
+    @resting
+    def run(batches):
+        for batch in batches:
+            rows, lows = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            raw = [as_bytes(t) for t in batch.column(3).to_pylist()]
+            for part in slices([len(b) for b in raw]):
+                # a value that is asked for in one text is asked for in all that hold it
+                keys = batch.column(2).slice(part.start, part.stop - part.start).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                owner, s, e, name, values, *_ = paragraphs(raw[part])
+                hit = np.isin(values, keys)
+                order = np.lexsort((name, owner))
+                order = order[_runs(owner[order], name[order])]
+                order = order[hit[order].any(axis=1)]
+                hit, owner = hit[order], owner[order]
+                held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(hit.sum(axis=1))]), pa.int32()), pa.array(values[order][hit].view(np.int64)))
+                pieces = [raw[part.start + i][a:b] for i, a, b in zip(owner.tolist(), s[order].tolist(), e[order].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(name[order].view(np.int64)), pa.array(rows[part][owner], pa.int64()), pa.array(lows[part][owner], pa.int64()), held, pa.array(pieces, pa.binary())],
+                    names=["u", "row", "low", "keys", "piece"])
+
+    return texts.select("row", "low", "keys", "text").mapInArrow(run, "u long, row long, low long, keys array<long>, piece binary")
+
 
+def sketched(classes: DataFrame) -> DataFrame:
+    """``classes`` with the set size and the signature bits of their pieces. No shuffle."""
+    @resting
     def run(batches):
         for batch in batches:
-            names, pieces, sizes, bits = [], [], [], []
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = as_bytes(text)
-                for w in wanted:
-                    names.append(w["u"])
-                    pieces.append(raw[w["s"]:w["e"]])
+            pieces = batch.column(4).to_pylist()
             for part in slices([len(x) for x in pieces]):
                 offsets, hashes = shingle_sets(pieces[part], SHINGLE)
-                sizes += np.diff(offsets).tolist()
-                bits += list(extracts(signatures(offsets, hashes)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(pieces, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bits, pa.list_(pa.int64()))],
-                names=["u", "piece", "n_shingles", "bits"])
-
-    return rows.mapInArrow(run, "u long, piece binary, n_shingles long, bits array<long>")
+                own = [pa.array(np.diff(offsets)), pa.array(list(extracts(signatures(offsets, hashes))), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*batch.slice(part.start, part.stop - part.start).columns, *own], names=["u", "low", "text", "keys", "piece", "n_shingles", "bits"])
+
+    return classes.select("u", "low", "text", "keys", "piece").mapInArrow(
+        run, "u long, low long, text long, keys array<long>, piece binary, n_shingles long, bits array<long>")
+
+
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Bring the components of a[i] and b[i] together; ``label`` is the smallest member of a component."""
+    while True:
+        x, y = label[a], label[b]
+        if (x == y).all():
+            return
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(further := label[label], label):
+            label[:] = further
+
+
+def linked_inside(owner: np.ndarray, name: np.ndarray, values: np.ndarray, first: np.ndarray, stop: np.ndarray, shingle: np.ndarray) -> np.ndarray:
+    """A number per paragraph, equal for those of one text that links inside the text connect."""
+    order = np.lexsort((name, owner))
+    new = _runs(owner[order], name[order])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    rep = order[new]
+    owner, values, first, lengths = owner[rep], values[rep], first[rep], (stop - first)[rep]
+    m = len(rep)
+    # the sorted set of each class, as numbers of the batch's shingles
+    kinds, ids = np.unique(shingle, return_inverse=True)
+    sets = np.unique(np.repeat(np.arange(m), lengths) * len(kinds) + ids[ranges(first, lengths)])
+    sizes = np.bincount(sets // len(kinds), minlength=m)
+    starts, sets = np.cumsum(sizes) - sizes, sets % len(kinds)
+    label = np.arange(m)
+
+    def compare(a: np.ndarray, b: np.ndarray) -> None:
+        fits = 100 * np.minimum(sizes[a], sizes[b]) >= PERCENT * np.maximum(sizes[a], sizes[b])
+        a, b = a[fits], b[fits]
+        for part in slices((sizes[a] + sizes[b]).tolist(), SET_ITEMS):
+            x, y = a[part], b[part]
+            place = np.arange(len(x)) * len(kinds)
+            both = np.sort(np.concatenate([np.repeat(place, sizes[i]) + sets[ranges(starts[i], sizes[i])] for i in (x, y)]))
+            common = np.bincount(both[1:][both[1:] == both[:-1]] // len(kinds), minlength=len(x))
+            good = 100 * common >= PERCENT * (sizes[x] + sizes[y] - common)
+            _joined(label, x[good], y[good])
+
+    for band in range(BANDS):
+        order = np.lexsort((values[:, band], owner))
+        begins = np.flatnonzero(_runs(owner[order], values[order, band]))
+        ends = np.repeat(np.append(begins[1:], m), np.diff(np.append(begins, m)))
+        at, step = np.arange(m), 1
+        while len(at := at[at + step < ends[at]]):
+            a, b = order[at], order[at + step]
+            open_ = label[a] != label[b]
+            a, b = a[open_], b[open_]
+            if len(a):
+                met = (values[a, :band] == values[b, :band]).any(axis=1)    # in an earlier band
+                compare(a[~met], b[~met])
+            step += 1
+    return label[number]
+
+
+def reach(texts: DataFrame) -> DataFrame:
+    """(row, low, root, members, spans): what in ``texts`` (row, low, high, here, text) may go, by component.
+
+    ``here`` are classes that other texts hold or link with: a component inside the text has the smallest as
+    its ``root`` and all as ``members``. A text of several documents has the rest under a null ``root``. No shuffle.
+    """
+    @resting
+    def run(batches):
+        for batch in batches:
+            rows, lows, highs = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            raw = [as_bytes(t) for t in batch.column(4).to_pylist()]
+            for part in slices([len(b) for b in raw]):
+                # a class that is asked for in one text is asked for in all that hold it
+                here = batch.column(3).slice(part.start, part.stop - part.start).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                owner, s, e, name, *rest = paragraphs(raw[part])
+                u = name.view(np.int64)
+                label = linked_inside(owner, name, *rest)
+                touched = np.isin(u, here)
+                through = np.zeros(len(u), bool)
+                through[label[touched]] = True
+                through = through[label]
+                copied = (lows[part] != highs[part])[owner]
+                group = np.where(through, label + len(raw), owner)
+                order = np.flatnonzero(through | copied)
+                order = order[np.lexsort((s[order], group[order]))]
+                columns = [[], [], [], [], []]
+                begins = np.flatnonzero(_runs(group[order])).tolist()
+                for a, b in zip(begins, [*begins[1:], len(order)], strict=True):
+                    own = order[a:b]
+                    members = np.unique(u[own][touched[own]]).tolist()
+                    spans = merged([{"s": x, "e": y} for x, y in zip(s[own].tolist(), e[own].tolist(), strict=True)])
+                    at = part.start + int(owner[own[0]])
+                    for column, value in zip(columns, (rows[at], lows[at], members[0] if members else None, members, [{"s": x, "e": y} for x, y in spans]), strict=True):
+                        column.append(value)
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["row", "low", "root", "members", "spans"])
+
+    return texts.select("row", "low", "high", "here", "text").mapInArrow(
+        run, "row long, low long, root long, members array<long>, spans array<struct<s:long,e:long>>")
 
 
 def confirm(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -196,29 +323,41 @@ def confirm(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
 def removals(docs: DataFrame) -> DataFrame:
     """(doc, row, gone): the byte ranges to remove from each text."""
     spark = docs.sparkSession
-    found = stage(parse(docs), "paragraphs", "zstd")
-    # one row per class before the bands are dealt out
-    distinct = found.groupBy("u").agg(F.min(F.struct("doc", "s", "e", "row")).alias("at"), F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("v").alias("v"))
-    distinct = stage(distinct, "distinct", "zstd")
-    keyed = distinct.select("u", F.explode(F.array_distinct("v")).alias("key"))
+    rows = _keyed(docs)
+    owners = stage(rows.groupBy("row").agg(F.min("doc").alias("low"), F.max("doc").alias("high")), "owners", "zstd")
+
+    def with_text(asked: DataFrame) -> DataFrame:
+        """``asked`` (row, low, ...) with the text, which moves by a shuffle at every size."""
+        return rows.select(F.col("doc").alias("low"), "row", "text").join(asked.hint("merge"), ["low", "row"])
+
+    # values that stand in two different texts
+    values = stage(parse(rows), "values", "zstd")
+    common = stage(values.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key"), "common", "zstd")
+    release_shuffles(spark)
+    holding = values.join(common, "key").groupBy("row").agg(F.collect_set("key").alias("keys"))
+    holding = stage(holding, "holding", "zstd")
+    unstage(values)
+    release_shuffles(spark)
+    found = stage(shared_paragraphs(with_text(holding.join(owners.select("row", "low"), "row"))), "found", "zstd")
+    release_shuffles(spark)
+    # one row per class before the bands are dealt out; ``text`` is the only text that holds it, or null
+    classes = found.groupBy("u").agg(F.min("low").alias("low"), F.min("row").alias("lo"), F.max("row").alias("hi"), F.first("keys").alias("keys"), F.first("piece").alias("piece"))
+    classes = stage(sketched(classes.withColumn("text", F.expr("if(lo = hi, lo, null)"))), "classes", "zstd")
+    found = found.select("u", "row")
+    release_shuffles(spark)
+    keyed = classes.select("u", F.explode(F.array_distinct("keys")).alias("key"))
     # buckets that hold two different classes
     leaders = F.array_distinct(F.array(F.min("u"), *[F.min_by("u", F.xxhash64("u", F.lit(i))) for i in range(2)]))
     buckets = keyed.groupBy("key").agg(leaders.alias("leaders"), F.min("u").alias("low"), F.max("u").alias("high")).filter("low <> high").select("key", "leaders")
     buckets = stage(buckets, "buckets", "zstd")  # staged, so that a key with very many paragraphs can be split in the join
     members = stage(keyed.join(buckets, "key"), "members", "zstd")
-    asked = members.select("u").distinct().withColumn("asked", F.lit(True))
-    classes = stage(distinct.drop("v").join(asked, "u", "left").filter("asked OR low <> high").select("u", "at.*", "low", "high", "asked"), "classes", "zstd")
-    places = stage(found.select("doc", "row", "s", "e", "u").join(classes.select("u"), "u"), "places", "zstd")
-    unstage(found)
-    unstage(distinct)
-    release_shuffles(spark)
-    pieces = stage(cut(classes.filter("asked").select("u", "doc", "row", "s", "e"), docs), "pieces", "zstd")
-    release_shuffles(spark)
-    sketch = pieces.select(F.col("u").alias("doc"), "n_shingles", *[F.element_at("bits", i + 1).alias(f"bit{i}") for i in range(LONGS)])
+    pieces = classes.select("u", "piece")
+    sketch = classes.select(F.col("u").alias("doc"), "text", "n_shingles", *[F.element_at("bits", i + 1).alias(f"bit{i}") for i in range(LONGS)])
     first = members.select("u", F.explode("leaders").alias("leader")).filter("u <> leader").select(
         F.least("leader", "u").alias("a"), F.greatest("leader", "u").alias("b")).distinct()
     first = first.join(renamed(sketch, "a"), "a").join(renamed(sketch, "b"), "b").filter(promising()).select("a", "b")
     first = stage(first, "pairs")
+    release_shuffles(spark)
     links = stage(confirm(first, pieces), "confirmed")
     belongs = stage(components(links), "components")
     located = members.select("key", "u").join(belongs.withColumnRenamed("node", "u"), "u", "left").select(
@@ -226,21 +365,34 @@ def removals(docs: DataFrame) -> DataFrame:
     mixed = located.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo <> hi AND n > 2").select("key")
     open_rows = stage(located.join(mixed, "key").join(sketch, "doc"), "open", "zstd")
     ours, other = renamed(open_rows, "a", ["key"]), renamed(open_rows, "b", ["key"])
-    second = ours.join(other, "key").filter(F.expr("a < b AND component_a <> component_b") & promising()).select("a", "b").distinct()
+    apart = F.expr("a < b AND component_a <> component_b AND coalesce(text_a <> text_b, true)")     # links inside a text come later
+    second = ours.join(other, "key").filter(apart & promising()).select("a", "b").distinct()
     second = stage(second.join(first, ["a", "b"], "left_anti"), "more-pairs")
+    unstage(open_rows)
     release_shuffles(spark)
     if not second.isEmpty():
         belongs = stage(components(links.unionByName(confirm(second, pieces))), "components")
-    unstage(pieces)
+    # what several texts hold, or link with, leads on to its neighbours inside each text
+    touched = classes.filter("text IS NULL").select("u").unionByName(belongs.select(F.col("node").alias("u"))).distinct()
+    here = found.join(touched, "u").groupBy("row").agg(F.collect_set("u").alias("here"))
+    asked = stage(owners.join(here, "row", "left").filter("here IS NOT NULL OR low <> high"), "asked", "zstd")
+    release_shuffles(spark)
+    reached = stage(reach(with_text(asked)), "reached", "zstd")
     release_shuffles(spark)
+    inside = reached.select(F.col("root").alias("a"), F.explode("members").alias("b")).filter("a <> b")
+    belongs = stage(components(belongs.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(inside)), "components")
     grouped = classes.select("u", "low").join(belongs.withColumnRenamed("node", "u"), "u", "left").withColumn("component", F.coalesce("component", "u"))
     firsts = grouped.groupBy("component").agg(F.min("low").alias("first_doc"))
-    owner = grouped.select("u", "component").join(firsts, "component").select("u", "first_doc")
-    hits = places.join(owner, "u").filter("doc <> first_doc").select("doc", "row", "s", "e").distinct()
-    return stage(hits.groupBy("doc", "row").agg(F.collect_list(F.struct("s", "e")).alias("gone")), "gone")
+    owner = grouped.select(F.col("u").alias("root"), "component").join(firsts, "component").select("root", "first_doc")
+    hits = reached.join(owner, "root", "left").select("row", F.coalesce("first_doc", "low").alias("first_doc"), "spans")
+    places = rows.select("doc", "row").distinct().join(hits, "row").filter("doc <> first_doc")
+    gone = stage(places.groupBy("doc", "row").agg(F.flatten(F.collect_list("spans")).alias("gone")), "gone", "zstd")
+    unstage(classes)
+    release_shuffles(spark)
+    return gone
 
 
-def merged(gone: list[dict] | None, size: int) -> list[tuple[int, int]]:
+def merged(gone: list[dict] | None, size: int = LAST_ID) -> list[tuple[int, int]]:
     """Maximal removed runs."""
     out: list[list[int]] = []
     for s, e in sorted((g["s"], min(g["e"], size)) for g in gone or []):

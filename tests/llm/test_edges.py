@@ -519,6 +519,52 @@ def test_rows_of_one_id_lose_only_their_own_repeats(spark, remove):
         assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()) == sorted(brute_repeats(rows))
 
 
+def test_paragraphs_of_one_text_stay_there(spark, monkeypatch):
+    """Overlapping paragraphs share values with each other; only those that share one with another text leave their text."""
+    rng = random.Random(31)
+    rows = [(i, " ".join(sentence(rng, 4) for _ in range(30))) for i in range(20)]
+    passage = " ".join(sentence(rng, 10) for _ in range(3))
+    rows += [(100, passage), (101, rows[3][1] + " " + passage)]
+    counts, keep = {}, paragraphs.stage
+
+    def counting(frame, name, *rest):
+        out = keep(frame, name, *rest)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(paragraphs, "stage", counting)
+    gone = {r.doc: r.gone for r in paragraphs.removals(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(gone) == {101} and sum(b - a for a, b in paragraphs.merged(gone[101])) > 0.95 * len(rows[-1][1])
+    assert counts["classes"] <= 60    # of more than 500, which shared buckets with their neighbours
+
+
+def test_links_inside_texts_by_brute_force():
+    """Components inside texts hold no pair that is not linked, and miss no pair that is well above the threshold."""
+    rng = random.Random(32)
+    texts = []
+    for _ in range(6):
+        parts = [sentence(rng, 24) for _ in range(8)]
+        near = [" ".join([*p.split()[:-1], "other."]) for p in parts]
+        texts.append(" ".join([*parts, *near, *[sentence(rng, 3) for _ in range(20)]]).encode())
+    owner, _, _, name, values, first, stop, shingle = paragraphs.paragraphs(texts)
+    label = paragraphs.linked_inside(owner, name, values, first, stop, shingle)
+    sets = [set(shingle[a:b].tolist()) for a, b in zip(first, stop, strict=True)]
+    parent = list(range(len(sets)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        common = len(sets[i] & sets[j])
+        if owner[i] == owner[j] and 4 * common >= 3 * len(sets[i] | sets[j]):
+            parent[root(i)] = root(j)
+            assert label[i] == label[j] or 100 * common < 90 * len(sets[i] | sets[j])
+    assert len({*label.tolist()}) < len(sets)
+    assert all(root(i) == root(j) for i, j in itertools.combinations(range(len(sets)), 2) if label[i] == label[j])
+
+
 def test_paragraph_bands_reach_their_recall():
     bands, rows = paragraphs.tune()
     assert 1 - (1 - paragraphs.THRESHOLD ** rows) ** bands >= 1 - paragraphs.MISSED
