@@ -40,7 +40,7 @@ MIN_WORDS = 20
 LONG_SENTENCE = 40
 AROUND = 12         # words to either side of a cut in a long sentence
 THRESHOLD = 0.75
-MISSED = 0.02
+MISSED = 0.002
 LAST_ID = (1 << 63) - 1
 SET_ITEMS = 1 << 21     # shingles compared at a time inside texts
 RESULTS = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -343,7 +343,9 @@ def removals(docs: DataFrame) -> DataFrame:
     # one row per class before the bands are dealt out; ``text`` is the only text that holds it, or null
     classes = found.groupBy("u").agg(F.min("low").alias("low"), F.min("row").alias("lo"), F.max("row").alias("hi"), F.first("keys").alias("keys"), F.first("piece").alias("piece"))
     classes = stage(sketched(classes.withColumn("text", F.expr("if(lo = hi, lo, null)"))), "classes", "zstd")
-    found = found.select("u", "row")
+    places = stage(found.select("u", "row"), "occurrences", "zstd")
+    unstage(found)
+    unstage(holding)
     release_shuffles(spark)
     keyed = classes.select("u", F.explode(F.array_distinct("keys")).alias("key"))
     # buckets that hold two different classes
@@ -374,7 +376,7 @@ def removals(docs: DataFrame) -> DataFrame:
         belongs = stage(components(links.unionByName(confirm(second, pieces))), "components")
     # what several texts hold, or link with, leads on to its neighbours inside each text
     touched = classes.filter("text IS NULL").select("u").unionByName(belongs.select(F.col("node").alias("u"))).distinct()
-    here = found.join(touched, "u").groupBy("row").agg(F.collect_set("u").alias("here"))
+    here = places.join(touched, "u").groupBy("row").agg(F.collect_set("u").alias("here"))
     asked = stage(owners.join(here, "row", "left").filter("here IS NOT NULL OR low <> high"), "asked", "zstd")
     release_shuffles(spark)
     reached = stage(reach(with_text(asked)), "reached", "zstd")
@@ -385,8 +387,8 @@ def removals(docs: DataFrame) -> DataFrame:
     firsts = grouped.groupBy("component").agg(F.min("low").alias("first_doc"))
     owner = grouped.select(F.col("u").alias("root"), "component").join(firsts, "component").select("root", "first_doc")
     hits = reached.join(owner, "root", "left").select("row", F.coalesce("first_doc", "low").alias("first_doc"), "spans")
-    places = rows.select("doc", "row").distinct().join(hits, "row").filter("doc <> first_doc")
-    gone = stage(places.groupBy("doc", "row").agg(F.flatten(F.collect_list("spans")).alias("gone")), "gone", "zstd")
+    later = rows.select("doc", "row").distinct().join(hits, "row").filter("doc <> first_doc")
+    gone = stage(later.groupBy("doc", "row").agg(F.flatten(F.collect_list("spans")).alias("gone")), "gone", "zstd")
     unstage(classes)
     release_shuffles(spark)
     return gone
