@@ -178,13 +178,13 @@ def renamed(rows: DataFrame, side: str, keep: list[str] | None = None) -> DataFr
     return rows.select(*[F.col(c).alias(side if c == "doc" else c if c in (keep or []) else f"{c}_{side}") for c in rows.columns])
 
 
-def promising():
-    """Sizes and signature extracts of two documents allow the threshold."""
+def promising(longs: int = LONGS, agreeing: int = MIN_AGREEING):
+    """Sizes and the first signature extracts of two documents allow the threshold."""
     differing = F.lit(0)
-    for i in range(LONGS):
+    for i in range(longs):
         differing = differing + _differing(F.col(f"bit{i}_a"), F.col(f"bit{i}_b"))
     sizes = F.expr(f"100 * least(n_shingles_a, n_shingles_b) >= {PERCENT} * greatest(n_shingles_a, n_shingles_b)")
-    return sizes & (F.lit(VALUES) - differing >= MIN_AGREEING)
+    return sizes & (F.lit(min(VALUES, 16 * longs)) - differing >= agreeing)
 
 
 def _differing(x, y):

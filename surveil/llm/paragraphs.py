@@ -11,7 +11,8 @@ picks the fewest values that miss at most ``MISSED`` of pairs at the threshold.
 of one text share most of their values, so bands first tell which values stand in two different
 texts, and only paragraphs that hold one leave their text. Of those, paragraphs with equal shingles are one
 class. In a bucket each class is compared with the smallest and two others; then only pairs whose
-components still differ. Pairs whose sizes or signature bits rule the threshold out are dropped before
+components still differ; a bucket of more than ``CROWD`` classes is first divided by runs of signature
+extracts (``divisions``). Pairs whose sizes or signature bits rule the threshold out are dropped before
 texts are read. Links inside a text are found in the task that holds it, by the same bands, in texts that
 share something. Similarity is exact Jaccard on the full sets. Of a component, the paragraphs of its
 first document stay, and the words of all others are removed, so a passage survives once and clean
@@ -26,12 +27,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveil.llm.components import components
 from surveil.llm.idtable import ranges
-from surveil.llm.minhash import LONGS, PERCENT, extracts, promising, renamed, signatures, similar
+from surveil.llm.minhash import LONGS, PERCENT, VALUES, extracts, promising, renamed, signatures, similar
 from surveil.llm.words import Words, _constants, as_bytes, mix, resting, shingle_sets, slices
 from surveil.session import release_shuffles, stage, unstage
 
@@ -43,6 +45,12 @@ THRESHOLD = 0.75
 MISSED = 0.002
 LAST_ID = (1 << 63) - 1
 SET_ITEMS = 1 << 21     # shingles compared at a time inside texts
+KEY_BITS = 48           # of a band value; equal ones of different bands only add pairs to compare
+BATCH_VALUES = 1 << 21
+PACKED = 1 << 16
+CROWD = 100             # classes of a bucket; more are divided before pairs are formed
+EARLY = 4               # numbers of extracts that members of open buckets carry; again 4.4 standard deviations below the threshold
+EARLY_AGREEING = int(0.765625 * 16 * EARLY - 4.4 * (0.765625 * 0.234375 * 16 * EARLY) ** 0.5)
 RESULTS = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
@@ -128,7 +136,7 @@ def paragraphs(texts: list[bytes]):
         for k in range(b * ROWS, b * ROWS + ROWS):
             scrambled = (shingle ^ _XOR[k]) * _MULTIPLY[k]
             key = mix(key + np.minimum.reduceat(scrambled, pairs)[::2])
-        values[:, b] = key
+        values[:, b] = key >> np.uint64(64 - KEY_BITS)
     base = words.text_starts[owner]
     return owner, words.starts[first] - base, words.ends[end - 1] - base, name, values, first, stop, shingle
 
@@ -140,22 +148,75 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return begins
 
 
-def parse(docs: DataFrame) -> DataFrame:
-    """(row, key): the band values that stand in every text, each once. No shuffle."""
+def parse(docs: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, rows, keys, passed): the band values of every text, packed by range of values. No shuffle.
+
+    Of a value that several texts of a batch hold, two of them stand for all in its bucket; the others are
+    known to share it, and go with ``passed`` to any bucket, so a value has few entries however common it is.
+    """
+    names = ["bucket", "rows", "keys", "passed"]
+
+    def packed(bucket: list[int], cuts: list[int], rows: np.ndarray, keys: np.ndarray, passed: bool) -> pa.RecordBatch:
+        blobs = [[x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (rows, keys)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), *[pa.array(x, pa.binary()) for x in blobs], pa.array([passed] * len(bucket), pa.bool_())], names=names)
+
+    def dealt(rows: np.ndarray, keys: np.ndarray):
+        """The values of a batch in which no row stands twice."""
+        order = np.argsort(keys)
+        rows, keys = rows[order], keys[order]
+        begins = _runs(keys)
+        middle = ~(begins | np.append(begins[1:], True))
+        known, rows, keys = (rows[middle], keys[middle]), rows[~middle], keys[~middle]
+        cuts = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) * np.uint64((1 << KEY_BITS) // buckets + 1))
+        full = np.flatnonzero(np.diff(cuts))
+        yield packed(full.tolist(), [*cuts[full].tolist(), len(keys)], rows, keys, False)
+        at = list(range(0, len(known[0]), PACKED))
+        yield packed([int(known[1][i]) % buckets for i in at], [*at, len(known[0])], *known, True)
+
     @resting
     def run(batches):
         for batch in batches:
-            rows = batch.column(0).to_numpy(zero_copy_only=False)
-            raw = [as_bytes(t) for t in batch.column(1).to_pylist()]
+            rows, at = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
+            raw = [as_bytes(t) for t in batch.column(1).take(pa.array(at)).to_pylist()]
+            held, n = [], 0
             for part in slices([len(b) for b in raw]):
                 owner, _, _, _, values, *_ = paragraphs(raw[part])
                 owner, key = np.repeat(owner, BANDS), values.ravel()
                 order = np.lexsort((key, owner))
                 owner, key = owner[order], key[order]
                 new = _runs(owner, key)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[part][owner[new]], pa.int64()), pa.array(key[new].view(np.int64))], names=["row", "key"])
-
-    return docs.select("row", "text").mapInArrow(run, "row long, key long")
+                held.append((rows[part][owner[new]], key[new]))
+                n += len(held[-1][0])
+                if n > BATCH_VALUES:
+                    yield from dealt(*map(np.concatenate, zip(*held)))
+                    held, n = [], 0
+            if n:
+                yield from dealt(*map(np.concatenate, zip(*held)))
+
+    return docs.select("row", "text").mapInArrow(run, "bucket long, rows binary, keys binary, passed boolean")
+
+
+def shared_values(docs: DataFrame) -> DataFrame:
+    """(row, key): the band values that stand in two different texts, with the texts. One shuffle of packed values."""
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(group: pa.Table) -> pa.Table:
+        passed = group.column("passed").combine_chunks()
+        rows, keys = [], []
+        for some in (passed, pc.invert(passed)):
+            own = group.filter(some)
+            rows.append(np.frombuffer(b"".join(own.column("rows").to_pylist()), np.int64))
+            keys.append(np.frombuffer(b"".join(own.column("keys").to_pylist()), np.uint64))
+        order = np.argsort(keys[1])
+        row, key = rows[1][order], keys[1][order]
+        begins = np.flatnonzero(_runs(key)) if len(key) else np.zeros(0, np.int64)
+        if len(key):
+            several = np.minimum.reduceat(row, begins) != np.maximum.reduceat(row, begins)
+            several = np.repeat(several, np.diff(np.append(begins, len(key))))
+            row, key = row[several], key[several]
+        return pa.table({"row": pa.array(np.concatenate([rows[0], row])), "key": pa.array(np.concatenate([keys[0], key]).view(np.int64))})
+
+    return parse(docs, buckets).groupBy("bucket").applyInArrow(run, "row long, key long")
 
 
 def _keyed(docs: DataFrame, rest: tuple = ()) -> DataFrame:
@@ -320,6 +381,27 @@ def confirm(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def divisions(rows: DataFrame, sketch: DataFrame) -> DataFrame:
+    """``rows`` of crowded buckets, dealt into parts by runs of five signature extracts; ``key`` is the part.
+
+    Classes at the threshold agree in some run of the 36 but for one pair in 60,000; most others of a bucket in none.
+    Parts with a single component are left out.
+    """
+    runs = [F.xxhash64("key", F.lit(3 * i + j), F.shiftrightunsigned(f"bit{i}", 20 * j).bitwiseAND(F.lit((1 << 20) - 1))) for i in range(VALUES // 16) for j in range(3)]
+    full = rows.select("key", "doc", "component").join(sketch, "doc")
+    parts = full.select(F.explode(F.array(*runs)).alias("key"), *[c for c in rows.columns if c != "key"])
+    mixed = parts.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    return parts.join(mixed, "key")
+
+
+def open_pairs(rows: DataFrame, sketch: DataFrame) -> DataFrame:
+    """(a, b): the pairs of a bucket, or a part of one, whose components differ and whose sizes and signatures allow the threshold."""
+    apart = F.expr("a < b AND component_a <> component_b AND coalesce(text_a <> text_b, true)")     # links inside a text come later
+    pairs = renamed(rows, "a", ["key"]).join(renamed(rows, "b", ["key"]), "key").filter(apart & promising(EARLY, EARLY_AGREEING)).select("a", "b").distinct()
+    bare = sketch.drop("text")
+    return pairs.join(renamed(bare, "a"), "a").join(renamed(bare, "b"), "b").filter(promising()).select("a", "b")
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """(doc, row, gone): the byte ranges to remove from each text."""
     spark = docs.sparkSession
@@ -331,12 +413,8 @@ def removals(docs: DataFrame) -> DataFrame:
         return rows.select(F.col("doc").alias("low"), "row", "text").join(asked.hint("merge"), ["low", "row"])
 
     # values that stand in two different texts
-    values = stage(parse(rows), "values", "zstd")
-    common = stage(values.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).filter("lo <> hi").select("key"), "common", "zstd")
-    release_shuffles(spark)
-    holding = values.join(common, "key").groupBy("row").agg(F.collect_set("key").alias("keys"))
+    holding = shared_values(rows).groupBy("row").agg(F.collect_set("key").alias("keys"))
     holding = stage(holding, "holding", "zstd")
-    unstage(values)
     release_shuffles(spark)
     found = stage(shared_paragraphs(with_text(holding.join(owners.select("row", "low"), "row"))), "found", "zstd")
     release_shuffles(spark)
@@ -364,11 +442,19 @@ def removals(docs: DataFrame) -> DataFrame:
     belongs = stage(components(links), "components")
     located = members.select("key", "u").join(belongs.withColumnRenamed("node", "u"), "u", "left").select(
         "key", F.col("u").alias("doc"), F.coalesce("component", "u").alias("component"))
-    mixed = located.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo <> hi AND n > 2").select("key")
-    open_rows = stage(located.join(mixed, "key").join(sketch, "doc"), "open", "zstd")
-    ours, other = renamed(open_rows, "a", ["key"]), renamed(open_rows, "b", ["key"])
-    apart = F.expr("a < b AND component_a <> component_b AND coalesce(text_a <> text_b, true)")     # links inside a text come later
-    second = ours.join(other, "key").filter(apart & promising()).select("a", "b").distinct()
+    mixed = located.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo <> hi AND n > 2").select("key", "n")
+    slim = sketch.select("doc", "text", "n_shingles", *[f"bit{i}" for i in range(EARLY)])
+    open_rows = stage(located.join(mixed, "key").join(slim, "doc"), "open", "zstd")
+    unstage(members)
+    unstage(buckets)
+    release_shuffles(spark)
+    divided = stage(divisions(open_rows.filter(F.col("n") > CROWD).drop("n"), sketch), "divided", "zstd")
+    release_shuffles(spark)
+    # one after the other, as the shuffles of both would lie on the disks
+    crowded = stage(open_pairs(divided, sketch), "crowded-pairs")
+    unstage(divided)
+    release_shuffles(spark)
+    second = open_pairs(open_rows.filter(F.col("n") <= CROWD).drop("n"), sketch).unionByName(crowded).distinct()
     second = stage(second.join(first, ["a", "b"], "left_anti"), "more-pairs")
     unstage(open_rows)
     release_shuffles(spark)

@@ -538,6 +538,37 @@ def test_paragraphs_of_one_text_stay_there(spark, monkeypatch):
     assert counts["classes"] <= 60    # of more than 500, which shared buckets with their neighbours
 
 
+def test_shared_values_are_packed(spark):
+    """Values that two texts hold are found through packed rows, of which a common value has two a batch, not one per text."""
+    rng = random.Random(33)
+    common = " ".join(sentence(rng, 10) for _ in range(4))
+    rows = [(i, f"{common} " + " ".join(sentence(rng, 10) for _ in range(3))) for i in range(60)] + [(99, " ".join(sentence(rng, 10) for _ in range(6)))]
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "row long, text string").coalesce(1)
+    got = [(r.row, r.key) for r in paragraphs.shared_values(docs.unionByName(docs.limit(5)).repartition(2)).collect()]
+    holders = {}
+    for i, t in rows:
+        for key in paragraphs.paragraphs([t.encode()])[4].ravel().tolist():
+            holders.setdefault(key, set()).add(i)
+    assert set(got) == {(i, key) for key, own in holders.items() if len(own) > 1 for i in own}
+    packed = paragraphs.parse(docs, 4).collect()
+    entries = [k for r in packed if not r.passed for k in np.frombuffer(r["keys"], np.uint64).tolist()]
+    assert max(entries.count(k) for k in set(entries)) <= 2 and {k for k in entries} == set(holders)
+
+
+def test_crowded_buckets_are_divided(spark):
+    """A bucket of unlike classes does not make all its pairs, and loses none that is near the threshold."""
+    rng = random.Random(34)
+    texts = [[f"w{rng.randrange(10 ** 6)}" for _ in range(30)] for _ in range(150)]
+    texts += [[*t[:29], "other"] for t in texts[:20]]     # Jaccard 25 / 27
+    offsets, hashes = minhash.shingle_sets([" ".join(t).encode() for t in texts])
+    bits = list(minhash.extracts(minhash.signatures(offsets, hashes)))
+    sketch = spark.createDataFrame([(i, i, 26, *map(int, b)) for i, b in enumerate(bits)], "doc long, text long, n_shingles long, " + ", ".join(f"bit{i} long" for i in range(len(bits[0]))))
+    rows = sketch.selectExpr("1L AS key", "doc", "doc AS component", "text", "n_shingles", *[f"bit{i}" for i in range(paragraphs.EARLY)])
+    parts = paragraphs.divisions(rows, sketch)
+    assert parts.groupBy("key").count().selectExpr("sum(count * (count - 1) / 2)").first()[0] < 2000     # of 36 times 14,365
+    assert sorted(map(tuple, paragraphs.open_pairs(parts, sketch).collect())) == [(i, 150 + i) for i in range(20)]
+
+
 def test_links_inside_texts_by_brute_force():
     """Components inside texts hold no pair that is not linked, and miss no pair that is well above the threshold."""
     rng = random.Random(32)
