@@ -31,6 +31,7 @@ ROWS_HELD = 1 << 18          # positions counted at a time
 _CHUNK = 1 << 18             # strips, or positions compared, at a time
 _BY_ENDS = 8                 # a range of more positions is worth an inner part
 _UNITS = 1 << 24             # longitudes are ordered by so many steps a degree
+_STRIPS = 8192               # of a group, about
 _CIRCLE, _STRIP = 360 * _UNITS, 1 << 33
 _SLACK = 1e-9
 _BLOCK = ["window_end", "block"]
@@ -101,11 +102,17 @@ def count_near(eps_km: float, pairwise: int, at: tuple[np.ndarray, ...], near: t
     turn, s_turn = np.mod(lon + 180, 360.0), np.mod(s_lon + 180, 360.0)
     strips = np.clip(np.ceil(np.sqrt(_crowding(s_group, s_lat, s_turn, eps, groups))), 2, 1024)
     size = np.bincount(s_group, minlength=groups)
-    height = np.where(asked * size <= pairwise, 360.0, 2 * eps / strips)
-    row = np.floor((s_lat + 90) / height[s_group]).astype(np.int64)
     ends = np.cumsum(size)
-    low, high = row[np.minimum(ends - size, len(row) - 1)], row[np.maximum(ends - 1, 0)]    # positions go up in a group
+    first, last = np.minimum(ends - size, len(s_lat) - 1), np.maximum(ends - 1, 0)           # positions go up in a group
+    height = np.where(asked * size <= pairwise, 360.0, np.maximum(2 * eps / strips, (s_lat[last] - s_lat[first]) / _STRIPS))
+    row = np.floor((s_lat + 90) / height[s_group]).astype(np.int64)
+    low, high = row[first], row[last]
     offset = np.cumsum(np.where(size > 0, high - low + 1, 0)) - high - 1                     # strip = row + offset
+    r, of = _ranges(low[size > 0], high[size > 0] + 1)
+    h = height[size > 0][of]
+    south, north = np.maximum(r * h - 90 - _SLACK, -90), np.minimum((r + 1) * h - 90 + _SLACK, 90)
+    thinnest, widest = np.sort([np.cos(np.radians(south)), np.cos(np.radians(north))], axis=0)
+    widest[(south <= 0) & (north >= 0)] = 1.0
     key = (row + offset[s_group]) * _STRIP + np.floor(s_turn * _UNITS).astype(np.int64)
     by = np.argsort(key, kind="stable")
     key, s_lat, s_lon, s_n = key[by], s_lat[by], s_lon[by], s_n[by]
@@ -113,10 +120,14 @@ def count_near(eps_km: float, pairwise: int, at: tuple[np.ndarray, ...], near: t
     cos, chord = np.cos(np.radians(lat)), math.sin(eps_km / EARTH_RADIUS_KM / 2) ** 2
     inside, outside = chord * (1 - _SLACK), chord * (1 + _SLACK)
 
+    def reach(ratio):
+        return np.degrees(2 * np.arcsin(np.sqrt(np.clip(ratio, 0, 1))))
+
     def add(of, n):
-        lowest = of.min(initial=0 if not len(of) else of[0])
-        sums = np.bincount(of - lowest, n)
-        found[lowest:lowest + len(sums)] += sums.astype(np.int64)
+        if len(of):
+            lowest = of.min()
+            sums = np.bincount(of - lowest, n)
+            found[lowest:lowest + len(sums)] += sums.astype(np.int64)
 
     def compare(a, b, of):
         """Adds what ranges [a, b) hold within eps of the positions ``of``."""
@@ -137,29 +148,21 @@ def count_near(eps_km: float, pairwise: int, at: tuple[np.ndarray, ...], near: t
     for part in _chunks(end - start):
         r, t = _ranges(start[part], end[part])
         t += part.start
-        h, here = height[group[t]], lat[t]
-        south, north = np.maximum(r * h - 90 - _SLACK, -90), np.minimum((r + 1) * h - 90 + _SLACK, 90)
-        cos_south, cos_north = np.cos(np.radians(south)), np.cos(np.radians(north))
-        widest = np.where((south <= 0) & (north >= 0), 1.0, np.maximum(cos_south, cos_north))
+        strip, here = r + offset[group[t]], lat[t]
         with np.errstate(divide="ignore", invalid="ignore"):
-            outer = (outside - _half_sine(np.maximum(np.maximum(south - here, here - north), 0))) / (cos[t] * np.minimum(cos_south, cos_north))
-            inner = (inside - _half_sine(np.maximum(north - here, here - south))) / (cos[t] * widest)
-
-        def reach(ratio):
-            return 2 * np.degrees(np.arcsin(np.sqrt(np.clip(ratio, 0, 1))))
-
-        whole = reach(outer) >= 180 - 1e-6
+            outer = (outside - _half_sine(np.maximum(np.maximum(south[strip] - here, here - north[strip]), 0))) / (cos[t] * thinnest[strip])
+            inner = (inside - _half_sine(np.maximum(north[strip] - here, here - south[strip]))) / (cos[t] * widest[strip])
         lon_out, lon_in, x = reach(outer), reach(inner), turn[t]
+        whole = lon_out >= 180 - 1e-6
         a = np.where(whole, 0, np.floor((x - lon_out) * _UNITS) - 1).astype(np.int64)
         d = np.where(whole, _CIRCLE, np.floor((x + lon_out) * _UNITS) + 1).astype(np.int64)
         b = np.where(inner >= 1, 0, np.floor((x - lon_in) * _UNITS) + 2).astype(np.int64)
         c = np.where(inner >= 1, _CIRCLE, np.floor((x + lon_in) * _UNITS) - 1).astype(np.int64)
-        strip = (r + offset[group[t]]) * _STRIP
         in_reach = outer >= 0
         for shift, some in ((0, in_reach), (_CIRCLE, in_reach & (a < 0)), (-_CIRCLE, in_reach & (d > _CIRCLE))):
             if not some.any():
                 continue
-            base, of = strip[some], t[some]
+            base, of = strip[some] * _STRIP, t[some]
             first = np.searchsorted(key, base + np.clip(a[some] + shift, 0, _CIRCLE), "left")
             last = np.searchsorted(key, base + np.clip(d[some] + shift, 0, _CIRCLE), "right")
             long = last - first > _BY_ENDS
